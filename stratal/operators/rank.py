@@ -10,10 +10,10 @@ size is bounded by the partition count, not by the data, and it is
 broadcast.
 
 Partition ids and in-partition positions come from a range shuffle whose
-boundaries are sampled. They are materialised once with a reliable
-``checkpoint`` (in the session's shared checkpoint folder) so that the
-per-partition counts and the numbered rows are read from the same copy,
-also when executors are lost and tasks are retried.
+boundaries are sampled. They are materialised once as a table in the
+session's shared checkpoint folder, so that the per-partition counts and
+the numbered rows are read from the same copy, also when executors are lost
+and tasks are retried.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratal.session import shared_checkpoint_dir
+from stratal.session import materialize
 
 _PID = "__rank_pid"
 _POS = "__rank_pos"
@@ -39,16 +39,14 @@ def rank_distinct(keys: DataFrame, order_cols: Sequence[str], rank_col: str = "r
     then). Nulls take part in the order and receive numbers like any value.
     """
     spark = keys.sparkSession
-    shared_checkpoint_dir(spark)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = (
+    numbered = materialize(
         keys.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .select("*", F.spark_partition_id().alias(_PID),
-                F.monotonically_increasing_id().alias(_POS))
-        .checkpoint(eager=True)
-    )
+                F.monotonically_increasing_id().alias(_POS)),
+        "ranked-keys")
     within = F.col(_POS) - F.shiftleft(F.col(_PID).cast("long"), _ROW_BITS)
     counts = numbered.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)

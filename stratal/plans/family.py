@@ -23,6 +23,7 @@ from stratal.functions.casts import lenient_int
 from stratal.functions.stamps import load_stamps
 from stratal.operators.dedupe import dedupe_keep
 from stratal.operators.rank import rank_distinct
+from stratal.session import materialize
 
 GROUP_KEYS = ["idplanta", "name_concat_general"]
 DEDUPE_KEYS = ["idplanta", "id_prod", "sku", "familyid"]
@@ -76,11 +77,11 @@ def assign_families(sales: DataFrame, products: DataFrame, category: str,
     """Family id for each (plant, product) sold in the window.
 
     The sales-product branch feeds both the group ranking and the rows the
-    ranks are attached to. It is materialised once with a reliable
-    checkpoint, so the fact scan and aggregation run a single time and a
-    lost executor re-reads the checkpoint instead of the fact table.
+    ranks are attached to. It is materialised once as a table in the shared
+    checkpoint folder, so the fact scan and aggregation run a single time
+    and a lost executor re-reads that table instead of the fact table.
     """
-    rows = sales_products(sales, products, category).checkpoint(eager=True)
+    rows = materialize(sales_products(sales, products, category), "family-rows")
     ranked = rank_groups(rows, num_partitions)
     with_ids = attach_ranks(rows, ranked).withColumn("familyid", family_id("idplanta", "n_grupo", id_type))
     return dedupe_keep(with_ids.select(*ASSIGNED_COLUMNS), DEDUPE_KEYS, TIE_BREAK)

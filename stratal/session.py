@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
@@ -50,6 +50,21 @@ def shared_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and
+    return the table read back.
+
+    This cuts the lineage like a reliable ``checkpoint()``, but the copy is
+    columnar and compressed (reads prune columns), and the read-back carries
+    its real size, so later joins can pick broadcast from the planner's
+    estimate instead of shuffling first. A lost executor re-reads the table;
+    nothing upstream is recomputed.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for sink round trips."""
     return f"{shared_checkpoint_dir(spark).rstrip('/')}/stratal-scratch/{name}-{uuid.uuid4().hex}"
