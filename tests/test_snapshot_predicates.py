@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratal.operators.enrich import DimSpec, lookup
 from stratal.operators.predicates import active_products, recent_window
@@ -72,3 +73,14 @@ def test_snapshot_max_stays_in_the_plan(spark, capsys):
     df = spark.createDataFrame([(1, T1), (2, T2)], "k int, process_timestamp timestamp_ntz")
     latest_snapshot(df).explain()
     assert "Subquery" in capsys.readouterr().out
+
+
+def test_snapshot_prunes_partitions_of_a_partitioned_table(spark, tmp_out, capsys):
+    df = spark.range(400).select(F.col("id").alias("k"),
+                                 F.expr("date_add(date'2025-01-01', cast(id % 4 as int))").alias("snapshot_date"))
+    df.write.partitionBy("snapshot_date").parquet(tmp_out)
+    latest = latest_snapshot(spark.read.parquet(tmp_out), "snapshot_date")
+    latest.explain("formatted")
+    plan = capsys.readouterr().out
+    assert any("PartitionFilters" in line and "Subquery" in line for line in plan.splitlines())
+    assert latest.count() == 100
