@@ -68,8 +68,17 @@ def rank_groups(rows: DataFrame, num_partitions: int | None = None) -> DataFrame
 
 
 def attach_ranks(rows: DataFrame, ranked: DataFrame) -> DataFrame:
-    """Join ranks back with plain equality: a null key never matches."""
-    return rows.join(ranked, GROUP_KEYS, "left")
+    """Join ranks back with plain equality: a null key never matches.
+
+    Rows with a null plant or name cannot match, so they bypass the join
+    and get a null rank directly. In a shuffle join they would all hash to
+    one partition (unlisted cities can be a large share of the rows); here
+    they never enter the exchange.
+    """
+    keyed = F.col(GROUP_KEYS[0]).isNotNull() & F.col(GROUP_KEYS[1]).isNotNull()
+    matched = rows.where(keyed).join(ranked.where(keyed), GROUP_KEYS, "left")
+    bypass = rows.where(~keyed).withColumn("n_grupo", F.lit(None).cast(ranked.schema["n_grupo"].dataType))
+    return matched.unionByName(bypass)
 
 
 def assign_families(sales: DataFrame, products: DataFrame, category: str,
