@@ -41,16 +41,17 @@ def file_hashes(spark: SparkSession, path: str, glob: str | None = None,
 def detect_changes(current: DataFrame, previous: DataFrame, include_deleted: bool = False) -> DataFrame:
     """``(key, hash, status)`` for each current item.
 
-    A missing saved hash means new; a different one means changed. With
+    A key missing from the saved manifest means new; a different hash
+    (null-safe) means changed. With
     ``include_deleted`` the keys only in ``previous`` are added with a null
     hash and status ``deleted``. Both sides are keyed uniquely, so the join
     has no hot keys; a small saved manifest is broadcast by adaptive
     execution.
     """
     prev = previous.select(F.col("key").alias("__pkey"), F.col("hash").alias("__phash"))
-    joined = current.join(prev, current["key"] == prev["__pkey"], "left")
-    status = (F.when(F.col("__phash").isNull(), F.lit(NEW))
-              .when(F.col("__phash") != F.col("hash"), F.lit(CHANGED))
+    joined = current.join(prev, F.col("key") == F.col("__pkey"), "left")
+    status = (F.when(F.col("__pkey").isNull(), F.lit(NEW))
+              .when(~F.col("__phash").eqNullSafe(F.col("hash")), F.lit(CHANGED))
               .otherwise(F.lit(UNCHANGED)))
     out = joined.select("key", "hash", status.alias("status"))
     if include_deleted:

@@ -26,7 +26,7 @@ def dedupe_keep(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | No
         return df.select(*keys).distinct()
     best = F.min(F.struct(*[F.col(c) for c in payload])).alias("__best")
     out = df.groupBy(*keys).agg(best)
-    return out.select(*keys, *[F.col(f"__best.{c}").alias(c) for c in payload]).select(*df.columns)
+    return out.select(*keys, *[F.col("__best").getField(c).alias(c) for c in payload]).select(*df.columns)
 
 
 def dedupe_rows(df: DataFrame) -> DataFrame:

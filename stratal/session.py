@@ -35,18 +35,25 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
     return spark
 
 
+_FALLBACK_DIRS: dict[int, str] = {}
+
+
 def shared_checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster this must be shared storage and is read from the session.
-    Only when nothing is configured (unit tests) is a scratch folder set.
+    On a cluster this is shared storage and is read from the session. Only
+    when nothing is configured (unit tests) is a scratch folder chosen, once
+    per session.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="stratal-ckpt-"))
+    if configured:
+        return configured
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        return _FALLBACK_DIRS.setdefault(id(spark), tempfile.mkdtemp(prefix="stratal-ckpt-"))
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="stratal-ckpt-"))
     return sc.getCheckpointDir()
 
 

@@ -81,3 +81,18 @@ def test_failed_batch_is_replayed(spark, tmp_out):
     back = spark.read.parquet(out)
     assert back.count() == 50
     assert [r.batch_id for r in back.select("batch_id").distinct().collect()] == [0]
+
+
+def test_statuses_partition_the_current_set(spark):
+    from stratal.suite.queries import _manifests
+
+    current, previous = _manifests(spark, SF_MID)
+    out = detect_changes(current, previous)
+    assert out.count() == current.count()
+    assert out.select("key").distinct().count() == current.count()
+    assert out.select("key", "hash").exceptAll(current).count() == 0
+
+
+def test_same_manifest_on_both_sides_is_unchanged(spark):
+    m = content_hash(spark.createDataFrame([("a", "x"), ("b", None)], "key string, t string"), "key", "t")
+    assert {r.status for r in detect_changes(m, m).collect()} == {"unchanged"}
