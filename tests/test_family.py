@@ -65,3 +65,30 @@ def test_run_family_writes_and_counts(spark, tmp_out):
     assert [r.fecha for r in fam_back.select("fecha").distinct().collect()] == [dt.date(2000, 6, 30)]
     families, _ = build_family(t, p)
     assert families.count() == 27
+
+
+def test_sales_branch_evaluated_once(spark, capsys):
+    """After assignment the plan reads only the materialised tables: the
+    fact table and the dimensions are not scanned again."""
+    t = standin_tables(load_tables(spark, SF_SMALL))
+    p = family_params()
+    pm = product_master(t, p.valid_after, p.sku_below)
+    rs = recent_sales(t, p.as_of, p.months, p.tx_types, p.plant_map, p.valid_after, p.sku_below)
+    assign_families(rs, pm, p.category).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "lineitem.parquet" not in plan and "part.parquet" not in plan
+    assert "stratal-scratch/family-rows" in plan
+
+
+def test_no_unpartitioned_window_over_rows(spark, capsys):
+    t = standin_tables(load_tables(spark, SF_SMALL))
+    p = family_params()
+    pm = product_master(t, p.valid_after, p.sku_below)
+    rs = recent_sales(t, p.as_of, p.months, p.tx_types, p.plant_map, p.valid_after, p.sku_below)
+    assign_families(rs, pm, p.category).explain("formatted")
+    lines = capsys.readouterr().out.splitlines()
+    windows = [i for i, line in enumerate(lines) if line.startswith("(") and ") Window" in line]
+    assert windows  # the offsets window over per-partition counts
+    for i in windows:
+        spec = " ".join(lines[i:i + 6])
+        assert "__rank_pid" in spec  # ordered by partition id: one row per partition
