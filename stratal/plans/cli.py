@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 
 from stratal.operators.mapping import mappings_from_tuples
 from stratal.plans.jobs import FamilyParams, land_table, run_family
+from stratal.plans.presets import article_mapping, source_family_params
 from stratal.session import shared_checkpoint_dir
 from stratal.sinks.writers import jdbc_options
 
@@ -29,10 +30,17 @@ FAMILY_TABLES = ("d_prod", "d_marca", "d_tamano", "d_tipo_empaque", "d_sabor", "
 def _family(spark: SparkSession, a: argparse.Namespace) -> dict:
     prefix = f"{a.database}." if a.database else ""
     tables = {n: spark.table(f"{prefix}{n}") for n in FAMILY_TABLES}
-    params = FamilyParams(
-        plant_map=json.loads(a.plant_map), tx_types=[int(x) for x in a.tx_types.split(",")],
-        valid_after=a.valid_after, sku_below=a.sku_below, category=a.category, months=a.months,
-        as_of=a.as_of, stamp=dt.datetime.fromisoformat(a.stamp) if a.stamp else None, stamp_tz=a.stamp_tz)
+    given = dict(plant_map=json.loads(a.plant_map) if a.plant_map else None,
+                 tx_types=[int(x) for x in a.tx_types.split(",")] if a.tx_types else None,
+                 valid_after=a.valid_after, sku_below=a.sku_below, category=a.category)
+    if a.preset == "source":
+        base = source_family_params()
+        given = {k: (v if v is not None else getattr(base, k)) for k, v in given.items()}
+    missing = [k for k, v in given.items() if v is None]
+    if missing:
+        raise SystemExit(f"missing settings (or use --preset source): {missing}")
+    params = FamilyParams(**given, months=a.months, as_of=a.as_of,
+                          stamp=dt.datetime.fromisoformat(a.stamp) if a.stamp else None, stamp_tz=a.stamp_tz)
     sink = None
     if a.jdbc_url:
         sink = jdbc_options(a.jdbc_url, a.jdbc_table, os.environ.get(a.jdbc_user_env),
@@ -42,8 +50,11 @@ def _family(spark: SparkSession, a: argparse.Namespace) -> dict:
 
 
 def _landing(spark: SparkSession, a: argparse.Namespace) -> dict:
-    with open(a.mapping, encoding="utf-8") as fh:
-        maps = mappings_from_tuples(json.load(fh))
+    if a.mapping == "article":
+        maps = article_mapping()
+    else:
+        with open(a.mapping, encoding="utf-8") as fh:
+            maps = mappings_from_tuples(json.load(fh))
     stamp = dt.datetime.fromisoformat(a.stamp) if a.stamp else None
     rows = land_table(spark.table(a.source), maps, a.out, stamp, a.tz, a.format, a.compression,
                       strict=not a.lenient, max_files=a.max_files)
@@ -56,11 +67,13 @@ def main(argv: list[str] | None = None) -> None:
     f = sub.add_parser("family")
     f.add_argument("--database", default="", help="catalog database; empty = temporary views")
     f.add_argument("--out", required=True)
-    f.add_argument("--plant-map", required=True, help='JSON object, e.g. {"CITY": 1}')
-    f.add_argument("--tx-types", required=True, help="comma-separated ints")
-    f.add_argument("--valid-after", required=True)
-    f.add_argument("--sku-below", type=float, required=True)
-    f.add_argument("--category", required=True)
+    f.add_argument("--preset", choices=["source"], default=None,
+                   help="take unset settings from the source job's values")
+    f.add_argument("--plant-map", default=None, help='JSON object, e.g. {"CITY": 1}')
+    f.add_argument("--tx-types", default=None, help="comma-separated ints")
+    f.add_argument("--valid-after", default=None)
+    f.add_argument("--sku-below", type=float, default=None)
+    f.add_argument("--category", default=None)
     f.add_argument("--months", type=int, default=3)
     f.add_argument("--as-of", default=None)
     f.add_argument("--stamp", default=None, help="ISO instant with offset; default now")
@@ -76,7 +89,8 @@ def main(argv: list[str] | None = None) -> None:
     f.add_argument("--jdbc-batch", type=int, default=None)
     g = sub.add_parser("landing")
     g.add_argument("--source", required=True)
-    g.add_argument("--mapping", required=True, help="JSON list of [src, src_type, dst, dst_type]")
+    g.add_argument("--mapping", required=True,
+                   help="'article' for the landing job's mapping, or a JSON file of [src, src_type, dst, dst_type]")
     g.add_argument("--out", required=True)
     g.add_argument("--stamp", default=None)
     g.add_argument("--tz", default=None)

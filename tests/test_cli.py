@@ -29,3 +29,25 @@ def test_cli_family_and_landing(spark, tmp_out, capsys):
                              "date_raw_partition date").json(f"{tmp_out}/land")
     assert back.count() == 200
     assert [str(r[0]) for r in back.select("date_raw_partition").distinct().collect()] == ["2025-03-01"]
+
+
+def test_presets_are_complete():
+    from stratal.plans.presets import SOURCE_PLANT_MAP, article_mapping, source_family_params
+
+    maps = article_mapping()
+    assert len(maps) == 27 and len({m.target for m in maps}) == 27
+    assert sum(m.target_type == "int" for m in maps) == 2
+    p = source_family_params(as_of="2025-06-30")
+    assert sorted(SOURCE_PLANT_MAP.values()) == list(range(1, 8)) and p.category == "STILL"
+
+
+def test_article_mapping_lands_a_catalog_like_table(spark):
+    from stratal.plans.jobs import land
+    from stratal.plans.presets import ARTICLE_MAPPING_ROWS, article_mapping
+
+    cols = ", ".join(f"`{src}` {typ}" for src, typ, _, _ in ARTICLE_MAPPING_ROWS) + ", extra string"
+    row = tuple(7 if typ == "int" else src for src, typ, _, _ in ARTICLE_MAPPING_ROWS) + ("dropped",)
+    df = spark.createDataFrame([row], cols)
+    out = land(df, article_mapping(), tz="-04:00")
+    assert "extra" not in out.columns and "tamaño" in out.columns
+    assert len(out.columns) == 29
