@@ -20,6 +20,11 @@ def lenient_int(c: ColumnOrName, target: str = "int") -> Column:
     becomes null instead of 12), so the value goes through a wide decimal
     first: decimal text truncates toward zero, junk and overflow become null.
     ``target='bigint'`` widens the result instead of losing large ids.
+
+    Differences from the legacy cast, on purpose: numbers that overflow the
+    target become null (the legacy cast wraps a bigint and saturates a
+    double), and exponent text such as '1e5' parses (the legacy cast gives
+    null for it).
     """
     return _col(c).try_cast("decimal(38,9)").try_cast(target)
 
