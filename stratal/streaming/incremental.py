@@ -12,7 +12,7 @@ replay idempotent.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -38,11 +38,15 @@ def run_available_now(spark: SparkSession, source_path: str, schema: StructType,
                       batch_fn: Callable[[DataFrame, int], None], fmt: str = "parquet",
                       max_files_per_batch: int | None = None,
                       transform: Callable[[DataFrame], DataFrame] | None = None,
-                      timeout_s: float | None = None) -> StreamingQuery:
+                      timeout_s: float | None = None,
+                      options: Mapping[str, str] | None = None) -> StreamingQuery:
     """Process every file under ``source_path`` not yet committed in
     ``checkpoint``, then stop. The schema is explicit (no inference on a
-    stream). ``max_files_per_batch`` bounds each micro-batch."""
-    reader = spark.readStream.schema(schema).format(fmt)
+    stream). ``max_files_per_batch`` bounds each micro-batch; ``transform``
+    is applied to the stream (e.g. the landing mapping and stamps);
+    ``options`` go to the file source (``cleanSource``/``sourceArchiveDir``
+    to move processed files away, ``maxFileAge`` to bound the listing)."""
+    reader = spark.readStream.schema(schema).format(fmt).options(**(options or {}))
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_batch))
     stream = reader.load(source_path)

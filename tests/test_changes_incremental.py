@@ -96,3 +96,28 @@ def test_statuses_partition_the_current_set(spark):
 def test_same_manifest_on_both_sides_is_unchanged(spark):
     m = content_hash(spark.createDataFrame([("a", "x"), ("b", None)], "key string, t string"), "key", "t")
     assert {r.status for r in detect_changes(m, m).collect()} == {"unchanged"}
+
+
+def test_incremental_landing_composes_mapping_and_stamps(spark, tmp_out):
+    import datetime as dt
+
+    from stratal.operators.mapping import Mapping
+    from stratal.plans.jobs import land
+
+    part = spark.read.parquet(f"{SF_MID}/part.parquet")
+    src, out, ckpt = f"{tmp_out}/src", f"{tmp_out}/out", f"{tmp_out}/ckpt"
+    part.where(F.col("p_size") <= 25).write.parquet(src)
+    maps = [Mapping("p_partkey", "bigint", "articulokey", "int"), Mapping("p_name", "string", "nombre", "string")]
+    instant = dt.datetime(2025, 3, 1, 21, 30, tzinfo=dt.timezone(dt.timedelta(hours=-4)))
+    run_available_now(spark, src, part.schema, ckpt,
+                      batch_folder_writer(out, "json", ["date_raw_partition"]),
+                      transform=lambda df: land(df, maps, instant, "-04:00"), max_files_per_batch=1)
+    part.where(F.col("p_size") > 25).write.mode("append").parquet(src)
+    run_available_now(spark, src, part.schema, ckpt,
+                      batch_folder_writer(out, "json", ["date_raw_partition"]),
+                      transform=lambda df: land(df, maps, instant, "-04:00"))
+    back = spark.read.schema("articulokey int, nombre string, raw_timestamp timestamp, "
+                             "date_raw_partition date, batch_id int").json(out)
+    assert back.count() == part.count()
+    assert back.select("articulokey").distinct().count() == part.count()
+    assert [str(r[0]) for r in back.select("date_raw_partition").distinct().collect()] == ["2025-03-01"]
