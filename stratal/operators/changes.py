@@ -26,8 +26,9 @@ def content_hash(df: DataFrame, key: str, content: str) -> DataFrame:
 
 
 def file_hashes(spark: SparkSession, path: str, glob: str | None = None,
-                recursive: bool = True) -> DataFrame:
-    """Manifest of files under ``path``: key = file path, hash of the bytes.
+                recursive: bool = True, key: str = "path") -> DataFrame:
+    """Manifest of files under ``path``: key = file path (``key='name'``:
+    the file name only), hash = SHA-256 of the bytes.
 
     Each file is one row of the binary-file source, so files are hashed in
     parallel across tasks.
@@ -35,7 +36,10 @@ def file_hashes(spark: SparkSession, path: str, glob: str | None = None,
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return content_hash(reader.load(path), "path", "content")
+    files = reader.load(path)
+    if key == "name":
+        files = files.withColumn("path", F.element_at(F.split("path", "/"), -1))
+    return content_hash(files, "path", "content")
 
 
 def detect_changes(current: DataFrame, previous: DataFrame, include_deleted: bool = False) -> DataFrame:

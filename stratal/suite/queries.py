@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratal.functions.stamps import stamp_load
-from stratal.operators.changes import content_hash, detect_changes
+from stratal.operators.changes import content_hash, detect_changes, file_hashes
 from stratal.operators.dedupe import dedupe_keep, dedupe_rows
 from stratal.operators.enrich import DimSpec, enrich, lookup
 from stratal.operators.mapping import Mapping, apply_mapping
@@ -340,6 +340,10 @@ def content_hash_q(spark, sf_dir):
     return content_hash(_base(spark, sf_dir)["documents"], "doc_id", "text")
 
 
+def file_manifest(spark, sf_dir):
+    return file_hashes(spark, sf_dir, "*.parquet", key="name")
+
+
 def detect_changes_q(spark, sf_dir):
     current, previous = _manifests(spark, sf_dir)
     return detect_changes(current, previous)
@@ -403,6 +407,7 @@ QUERIES: dict[str, Query] = {
     "landing_job": landing_job,
     "family_job": family_job,
     "content_hash": content_hash_q,
+    "file_manifest": file_manifest,
     "detect_changes": detect_changes_q,
     "manifest_refresh": manifest_refresh,
     "incremental_read": incremental_read,

@@ -9,7 +9,7 @@ import pytest
 
 from conftest import SF_SMALL
 from stratal.sources.tables import TEST_TABLES
-from stratal.suite.oracle import ORACLE
+from stratal.suite.oracle import ORACLE, ORACLE_FILES_DIR
 from stratal.suite.queries import QUERIES
 
 
@@ -45,7 +45,7 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     sdf = QUERIES[name](spark, SF_SMALL)
-    res = duck.execute(ORACLE[name])
+    res = duck.execute(ORACLE[name].replace(ORACLE_FILES_DIR, SF_SMALL))
     dcols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(dcols)
     srows = [tuple(r) for r in sdf.collect()]
