@@ -35,6 +35,33 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
     return spark
 
 
+def scale_settings(total_cores: int, shuffle_bytes: int | None = None,
+                   target_partition_bytes: int = 256 << 20, broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """Settings for a large cluster, to pass as ``extra`` or to spark-submit.
+
+    Shuffle partitions start high (at least 3 waves of tasks, or the
+    expected shuffle volume over the target partition size) and adaptive
+    execution coalesces them down to the advisory size at run time, so one
+    setting serves both the small and the large stages; skewed partitions
+    are split. Scan splits match the target size. The broadcast threshold
+    bounds what may be broadcast (dimension snapshots); larger sides are
+    shuffle-joined.
+    """
+    partitions = 3 * total_cores
+    if shuffle_bytes:
+        partitions = max(partitions, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+    }
+
+
 _FALLBACK_DIRS: dict[int, str] = {}
 
 
