@@ -43,7 +43,7 @@ class FamilyParams:
 
 def build_family(tables: Mapping[str, DataFrame], p: FamilyParams) -> tuple[DataFrame, DataFrame]:
     """M1-M5: (family table, family relation)."""
-    products = product_master(tables, p.valid_after, p.sku_below)
+    products = product_master(tables, p.valid_after, p.sku_below, with_flavour=False)
     sales = recent_sales(tables, p.as_of, p.months, p.tx_types, p.plant_map, p.valid_after, p.sku_below)
     assigned = assign_families(sales, products, p.category, p.rank_partitions, p.id_type)
     families = family_table(assigned, p.stamp, p.stamp_tz)

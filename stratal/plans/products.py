@@ -47,17 +47,26 @@ def current_products(d_prod: DataFrame, valid_after: dt.date | str, sku_below: f
 
 
 def product_master(tables: Mapping[str, DataFrame], valid_after: dt.date | str,
-                   sku_below: float) -> DataFrame:
+                   sku_below: float, with_flavour: bool = True) -> DataFrame:
     """One row per active product with category and composite labels.
 
     The product table's version filter and validity predicates are applied
     before the lookups, so they reach the scan of the product table.
+
+    ``with_flavour=False`` leaves out the flavour lookup and the two columns
+    built from it (``desc_sabor``, ``name_concat``). The family pipeline uses
+    none of them; the optimizer cannot drop an unused left join by itself
+    because it cannot prove the dimension key unique, and any rows a
+    duplicate flavour key would add are removed by the family dedupe.
     """
     prods = current_products(tables["d_prod"], valid_after, sku_below).select(
         "id_prod", "id_marca", "id_tamano", "id_tipo_empaque", "id_sabor", "id_catego",
         "id_tipo_consum", "bote", "sku", "sku_padre", "azucar")
-    wide = enrich(prods, product_specs(tables))
-    return wide.withColumns(product_labels()).select(
-        "id_prod", wide["desc_catego"].alias("categoria"), "marcamkt", "formato", "formatomkt",
-        wide["bote"].alias("cantsubunidades"), "sku", "sku_padre", "desc_sabor", "name_concat",
-        "name_concat_general")
+    wide = enrich(prods, product_specs(tables, with_flavour))
+    labels = product_labels()
+    if not with_flavour:
+        labels.pop("name_concat")
+    cols = [c for c in OUTPUT_COLUMNS if with_flavour or c not in ("desc_sabor", "name_concat")]
+    renamed = {"categoria": wide["desc_catego"].alias("categoria"),
+               "cantsubunidades": wide["bote"].alias("cantsubunidades")}
+    return wide.withColumns(labels).select(*[renamed.get(c, c) for c in cols])

@@ -66,12 +66,17 @@ def _products(t):
     return product_master(t, VALID_AFTER, SKU_BELOW)
 
 
+def _family_products(t):
+    """The product master as the family pipeline needs it (no flavour lookup)."""
+    return product_master(t, VALID_AFTER, SKU_BELOW, with_flavour=False)
+
+
 def _sales(t):
     return recent_sales(t, AS_OF, MONTHS, TX_TYPES, PLANT_MAP, VALID_AFTER, SKU_BELOW)
 
 
 def _assigned(t):
-    return assign_families(_sales(t), _products(t), CATEGORY)
+    return assign_families(_sales(t), _family_products(t), CATEGORY)
 
 
 def _families(t):
@@ -175,7 +180,7 @@ def join_shared_name(spark, sf_dir):
 
 def join_back_null_keys(spark, sf_dir):
     _, t = _fixtures(spark, sf_dir)
-    rows = sales_products(_sales(t), _products(t), CATEGORY)
+    rows = sales_products(_sales(t), _family_products(t), CATEGORY)
     return attach_ranks(rows, rank_groups(rows)).select(
         "idplanta", "name_concat_general", "id_prod", "sku", "n_grupo")
 
@@ -207,7 +212,7 @@ def recent_sales_q(spark, sf_dir):
 
 def distinct_groups_q(spark, sf_dir):
     _, t = _fixtures(spark, sf_dir)
-    return distinct_groups(sales_products(_sales(t), _products(t), CATEGORY))
+    return distinct_groups(sales_products(_sales(t), _family_products(t), CATEGORY))
 
 
 def _rank_input(part: DataFrame) -> DataFrame:
@@ -223,7 +228,7 @@ def dense_rank_global_q(spark, sf_dir):
 
 def family_id_q(spark, sf_dir):
     _, t = _fixtures(spark, sf_dir)
-    rows = sales_products(_sales(t), _products(t), CATEGORY)
+    rows = sales_products(_sales(t), _family_products(t), CATEGORY)
     return rank_groups(rows).withColumn("familyid", family_id("idplanta", "n_grupo"))
 
 
