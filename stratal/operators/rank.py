@@ -37,12 +37,16 @@ def rank_distinct(keys: DataFrame, order_cols: Sequence[str], rank_col: str = "r
 
     ``keys`` must hold each key combination once (dense rank = row number
     then). Nulls take part in the order and receive numbers like any value.
+    ``num_partitions`` fixes the number of ranges; by default adaptive
+    execution chooses it from the data size.
     """
-    spark = keys.sparkSession
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Without an explicit count, adaptive execution sizes the range shuffle
+    # (it only merges neighbouring ranges, so partition order is kept).
+    ranged = (keys.repartitionByRange(num_partitions, *order) if num_partitions
+              else keys.repartitionByRange(*order))
     numbered = materialize(
-        keys.repartitionByRange(n, *order)
+        ranged
         .sortWithinPartitions(*order)
         .select("*", F.spark_partition_id().alias(_PID),
                 F.monotonically_increasing_id().alias(_POS)),
