@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 def _instant(as_of: dt.datetime | Column | None) -> Column:
     if as_of is None:
-        return F.current_timestamp()  # evaluated once per query
+        # One instant per call, fixed as a literal: every action, retry and
+        # recomputation of the stamped frame sees the same value, unlike
+        # current_timestamp(), which is fixed per query only.
+        return F.lit(dt.datetime.now(dt.timezone.utc))
     if isinstance(as_of, Column):
         return as_of
     if as_of.tzinfo is None:

@@ -52,3 +52,13 @@ def test_naive_instant_rejected(spark):
     df = spark.createDataFrame([(1,)], "k int")
     with pytest.raises(ValueError):
         stamp_load(df, dt.datetime(2025, 1, 1))
+
+
+def test_default_instant_is_fixed_across_actions(spark):
+    import time
+
+    df = spark.createDataFrame([(1,)], "k int")
+    stamped = stamp_load(df)
+    first = stamped.first()["raw_timestamp"]
+    time.sleep(1.1)
+    assert stamped.first()["raw_timestamp"] == first
