@@ -65,6 +65,29 @@ def detect_changes(current: DataFrame, previous: DataFrame, include_deleted: boo
     return out
 
 
+def save_manifest(manifest: DataFrame, target: str, buckets: int | None = None) -> None:
+    """Replace the saved manifest with ``manifest`` (a refresh, not a merge).
+
+    ``target`` is a path, or with ``buckets`` a catalog table bucketed and
+    sorted by key: the next run's ``detect_changes`` then reads the saved
+    side already hash-partitioned by key and shuffles only the current set.
+    Call it only after the work on the changed items succeeded, and never
+    with a frame that reads the table being replaced.
+    """
+    writer = manifest.select("key", "hash").write.mode("overwrite").format("parquet")
+    if buckets:
+        writer.bucketBy(buckets, "key").sortBy("key").saveAsTable(target)
+    else:
+        writer.save(target)
+
+
+def load_manifest(spark: SparkSession, target: str, bucketed: bool = False) -> DataFrame:
+    """The saved manifest: a catalog table when ``bucketed``, else a path."""
+    if bucketed:
+        return spark.table(target)
+    return spark.read.parquet(target)  # Parquet keeps the key's type
+
+
 def changed_items(changes: DataFrame) -> DataFrame:
     """Items to act on: new or changed."""
     return changes.where(F.col("status").isin(NEW, CHANGED))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratal.functions.stamps import stamp_load
-from stratal.operators.changes import content_hash, detect_changes, file_hashes
+from stratal.operators.changes import content_hash, detect_changes, file_hashes, load_manifest, save_manifest
 from stratal.operators.dedupe import dedupe_keep, dedupe_rows
 from stratal.operators.enrich import DimSpec, enrich, lookup
 from stratal.operators.mapping import Mapping, apply_mapping
@@ -357,8 +357,8 @@ def detect_changes_q(spark, sf_dir):
 def manifest_refresh(spark, sf_dir):
     current, _ = _manifests(spark, sf_dir)
     path = scratch_path(spark, "manifest")
-    write_partitioned(current, path, None, "parquet", dynamic=False)
-    return spark.read.schema("key bigint, hash string").parquet(path)
+    save_manifest(current, path)
+    return load_manifest(spark, path)
 
 
 # -- incremental ---------------------------------------------------------------

@@ -14,7 +14,11 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("local[*]", 8, app_name="stratal-tests")
+    import tempfile
+
+    # catalog tables of the tests go to a scratch warehouse, not the repository
+    session = build_session("local[*]", 8, app_name="stratal-tests",
+                            extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="stratal-wh-")})
     yield session
     session.stop()
 
