@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratal.functions.casts import ts_ntz
+from stratal.sources.tables import LazyTables
 
 # Fixed values of the stand-ins (shared with the SQL oracle).
 T2 = "2000-06-01 00:00:00"
@@ -146,20 +147,20 @@ def h_ventas(lineitem: DataFrame) -> DataFrame:
         F.col("l_linenumber").alias("id_tipo_transaccion"))
 
 
-def standin_tables(base: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All stand-ins keyed by the names the pipelines expect."""
-    part = base["part"]
-    return {
-        "d_prod": d_prod(part),
-        "d_marca": d_marca(part),
-        "d_tamano": d_tamano(part),
-        "d_tipo_empaque": d_tipo_empaque(part),
-        "d_sabor": d_sabor(part),
-        "d_categoria": d_categoria(part),
-        "d_tipo_consum": d_tipo_consum(part),
-        "d_localidad": d_localidad(base["supplier"], base["nation"]),
-        "h_ventas": h_ventas(base["lineitem"]),
-    }
+def standin_tables(base: Mapping[str, DataFrame]) -> LazyTables:
+    """All stand-ins keyed by the names the pipelines expect, each built on
+    first use."""
+    return LazyTables({
+        "d_prod": lambda: d_prod(base["part"]),
+        "d_marca": lambda: d_marca(base["part"]),
+        "d_tamano": lambda: d_tamano(base["part"]),
+        "d_tipo_empaque": lambda: d_tipo_empaque(base["part"]),
+        "d_sabor": lambda: d_sabor(base["part"]),
+        "d_categoria": lambda: d_categoria(base["part"]),
+        "d_tipo_consum": lambda: d_tipo_consum(base["part"]),
+        "d_localidad": lambda: d_localidad(base["supplier"], base["nation"]),
+        "h_ventas": lambda: h_ventas(base["lineitem"]),
+    })
 
 
 def family_params(**overrides):

@@ -6,7 +6,7 @@ DataFrames; column pruning and filters reach the scan through the optimizer.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,11 +25,40 @@ def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet",
     return reader.load(name_or_path)
 
 
+class LazyTables(Mapping[str, DataFrame]):
+    """A name → DataFrame mapping whose frames are built on first access.
+
+    Building a frame is driver work: opening a file-based table lists its
+    files and reads a footer, and every DataFrame call is analysed. A query
+    that touches two tables of a folder should pay for those two only.
+    """
+
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
+        self._builders = dict(builders)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def load_tables(spark: SparkSession, base: str, names: Iterable[str] = TEST_TABLES,
-                fmt: str = "parquet", suffix: str = ".parquet") -> dict[str, DataFrame]:
-    """``{name: DataFrame}`` for ``base/<name><suffix>``."""
+                fmt: str = "parquet", suffix: str = ".parquet") -> LazyTables:
+    """``{name: DataFrame}`` for ``base/<name><suffix>``, each table opened
+    when first used."""
     root = base.rstrip("/")
-    return {n: spark.read.format(fmt).load(f"{root}/{n}{suffix}") for n in names}
+
+    def opener(name: str) -> Callable[[], DataFrame]:
+        return lambda: spark.read.format(fmt).load(f"{root}/{name}{suffix}")
+
+    return LazyTables({n: opener(n) for n in names})
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:
