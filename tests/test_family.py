@@ -92,3 +92,33 @@ def test_no_unpartitioned_window_over_rows(spark, capsys):
     for i in windows:
         spec = " ".join(lines[i:i + 6])
         assert "__rank_pid" in spec  # ordered by partition id: one row per partition
+
+
+def test_family_semantics_on_hand_made_rows(spark):
+    sales = spark.createDataFrame(
+        [  # id_localidad, agru_local, id_prod, cajas, ultima, idplanta
+            (1, "ORURO_X", 10, 1.0, None, None),   # unlisted city: plant null
+            (2, "BETA_Y", 10, 2.0, None, None),    # another unlisted city, same product
+            (3, "CITY_A", 10, 3.0, None, 2),
+            (4, "CITY_B", 11, 4.0, None, 1),
+            (5, "CITY_B", 12, 5.0, None, 1),
+            (6, "CITY_B", 13, 6.0, None, 1),       # product 13 has a null category
+        ],
+        "id_localidad long, agru_local string, id_prod long, cajas_fisicas double, ultima_compra date, idplanta int")
+    products = spark.createDataFrame(
+        [  # id_prod, categoria, marcamkt, formato, formatomkt, cantsubunidades, sku, sku_padre, name
+            (10, "STILL", "M1-X", "G1-C1", "E1-T1", 6, 10, 1, "M1 T1 E1"),
+            (11, "STILL", "M2-X", "G1-C1", "E1-T1", 6, 11, 1, None),        # missed lookup: null name
+            (12, "STILL", "M3-X", "G1-C1", "E1-T1", 6, 12, 2, "M3 T1 E1"),
+            (13, None, "M4-X", "G1-C1", "E1-T1", 6, 13, 2, "M4 T1 E1"),
+            (14, "OTHER", "M5-X", "G1-C1", "E1-T1", 6, 14, 3, "M5 T1 E1"),
+        ],
+        "id_prod long, categoria string, marcamkt string, formato string, formatomkt string, "
+        "cantsubunidades int, sku long, sku_padre long, name_concat_general string")
+    out = {(r.idplanta, r.id_prod): r for r in assign_families(sales, products, "STILL").collect()}
+    # groups in order: (null,'M1 T1 E1')=1, (1,null)=2, (1,'M3 T1 E1')=3, (2,'M1 T1 E1')=4
+    assert set(out) == {(None, 10), (1, 11), (1, 12), (2, 10)}
+    assert out[(None, 10)].agru_local == "BETA_Y" and out[(None, 10)].familyid is None
+    assert out[(1, 11)].familyid is None
+    assert out[(1, 12)].familyid == 10003
+    assert out[(2, 10)].familyid == 20004
