@@ -39,3 +39,24 @@ def test_product_lookups_are_broadcast_when_small(spark, capsys):
     plan = _plan(product_master(t, VALID_AFTER, SKU_BELOW), capsys)
     assert plan.count("BroadcastHashJoin LeftOuter") == 6
     assert "SortMergeJoin" not in plan
+
+
+def test_category_lookup_becomes_inner_in_the_family_path(spark, capsys):
+    from stratal.plans.family import sales_products
+    from stratal.plans.products import product_master
+    from stratal.sources.standins import CATEGORY
+
+    t = standin_tables(load_tables(spark, SF_SMALL))
+    pm = product_master(t, VALID_AFTER, SKU_BELOW, with_flavour=False)
+    rs = recent_sales(t, AS_OF, MONTHS, TX_TYPES, PLANT_MAP, VALID_AFTER, SKU_BELOW)
+    blocks = _plan(sales_products(rs, pm, CATEGORY), capsys).split("\n\n")
+    joins = {}
+    for b in blocks:
+        if "Join" in b.splitlines()[0] and "Right keys" in b:
+            right = b[b.index("Right keys"):].splitlines()[0]
+            kind = b[b.index("Join type: "):].splitlines()[0].split(": ")[1]
+            joins[right] = kind
+    by_key = {k.split("__k0_")[1].split("#")[0]: v for k, v in joins.items() if "__k0_" in k}
+    # the equality filter on the category rejects nulls, so the optimizer turns that lookup inner
+    assert by_key == {"id_marca": "LeftOuter", "id_tamano": "LeftOuter", "id_tipo_empaque": "LeftOuter",
+                      "id_catego": "Inner", "id_tipo_consum": "LeftOuter"}
