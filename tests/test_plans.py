@@ -52,7 +52,8 @@ def test_category_lookup_becomes_inner_in_the_family_path(spark, capsys):
     blocks = _plan(sales_products(rs, pm, CATEGORY), capsys).split("\n\n")
     joins = {}
     for b in blocks:
-        if "Join" in b.splitlines()[0] and "Right keys" in b:
+        lines = b.strip().splitlines()
+        if lines and "Join" in lines[0] and "Right keys" in b:
             right = b[b.index("Right keys"):].splitlines()[0]
             kind = b[b.index("Join type: "):].splitlines()[0].split(": ")[1]
             joins[right] = kind
