@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from collections.abc import Mapping as TableMap
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,11 +54,11 @@ PART_MAPPING = [
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _base(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _base(spark: SparkSession, sf_dir: str) -> TableMap[str, DataFrame]:
     return load_tables(spark, sf_dir)
 
 
-def _fixtures(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+def _fixtures(spark: SparkSession, sf_dir: str) -> tuple[TableMap[str, DataFrame], TableMap[str, DataFrame]]:
     base = _base(spark, sf_dir)
     return base, standin_tables(base)
 
