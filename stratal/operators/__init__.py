@@ -1,6 +1,7 @@
 """Relational operators of the curation pipelines."""
 
-from stratal.operators.changes import content_hash, detect_changes, file_hashes
+from stratal.operators.changes import (changed_items, content_hash, detect_changes, file_hashes, load_manifest,
+                                       save_manifest)
 from stratal.operators.dedupe import dedupe_keep, dedupe_rows
 from stratal.operators.enrich import DimSpec, enrich, lookup
 from stratal.operators.mapping import Mapping, MissingColumnsError, apply_mapping
@@ -9,7 +10,7 @@ from stratal.operators.rank import dense_rank_global, rank_distinct
 from stratal.operators.snapshot import EmptySnapshotError, latest_snapshot, max_scalar
 
 __all__ = [
-    "content_hash", "detect_changes", "file_hashes", "dedupe_keep", "dedupe_rows",
+    "changed_items", "content_hash", "detect_changes", "file_hashes", "load_manifest", "save_manifest", "dedupe_keep", "dedupe_rows",
     "DimSpec", "enrich", "lookup", "Mapping", "MissingColumnsError", "apply_mapping",
     "active_products", "in_list", "like", "recent_window", "dense_rank_global",
     "rank_distinct", "EmptySnapshotError", "latest_snapshot", "max_scalar",
