@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stratal.functions.casts import lenient_int
@@ -82,9 +82,14 @@ def attach_ranks(rows: DataFrame, ranked: DataFrame) -> DataFrame:
 
 
 def assign_families(sales: DataFrame, products: DataFrame, category: str,
-                    num_partitions: int | None = None, id_type: str = "int") -> DataFrame:
+                    num_partitions: int | None = None, id_type: str = "int",
+                    overflow: Observation | None = None) -> DataFrame:
     """Family id for each (plant, product) sold in the window.
 
+    ``overflow``, an ``Observation``, receives ``id_overflow``: the number
+    of rows whose id overflowed ``id_type`` (counted while the result is
+    computed, no extra pass).
+
     The sales-product branch feeds both the group ranking and the rows the
     ranks are attached to. It is materialised once as a table in the shared
     checkpoint folder, so the fact scan and aggregation run a single time
@@ -93,6 +98,10 @@ def assign_families(sales: DataFrame, products: DataFrame, category: str,
     rows = materialize(sales_products(sales, products, category), "family-rows")
     ranked = rank_groups(rows, num_partitions)
     with_ids = attach_ranks(rows, ranked).withColumn("familyid", family_id("idplanta", "n_grupo", id_type))
+    if overflow is not None:
+        # rows whose plant and rank exist but whose id does not fit ``id_type``
+        lost = F.col("idplanta").isNotNull() & F.col("n_grupo").isNotNull() & F.col("familyid").isNull()
+        with_ids = with_ids.observe(overflow, F.count_if(lost).alias("id_overflow"))
     return dedupe_keep(with_ids.select(*ASSIGNED_COLUMNS), DEDUPE_KEYS, TIE_BREAK)
 
 

@@ -41,11 +41,12 @@ class FamilyParams:
     extra: dict = field(default_factory=dict)
 
 
-def build_family(tables: Mapping[str, DataFrame], p: FamilyParams) -> tuple[DataFrame, DataFrame]:
+def build_family(tables: Mapping[str, DataFrame], p: FamilyParams,
+                 overflow: Observation | None = None) -> tuple[DataFrame, DataFrame]:
     """M1-M5: (family table, family relation)."""
     products = product_master(tables, p.valid_after, p.sku_below, with_flavour=False)
     sales = recent_sales(tables, p.as_of, p.months, p.tx_types, p.plant_map, p.valid_after, p.sku_below)
-    assigned = assign_families(sales, products, p.category, p.rank_partitions, p.id_type)
+    assigned = assign_families(sales, products, p.category, p.rank_partitions, p.id_type, overflow)
     families = family_table(assigned, p.stamp, p.stamp_tz)
     return families, family_relation(families)
 
@@ -57,17 +58,19 @@ def run_family(tables: Mapping[str, DataFrame], p: FamilyParams, families_path:
     (replacing only that day's folder), then refresh the relation.
 
     The family table is persisted for the two writes and released after;
-    row counts are observed during the writes instead of extra passes.
+    row counts, and the number of rows whose family id overflowed, are
+    observed during the writes instead of extra passes.
     ``relation_sink`` is JDBC options (full refresh with truncate) or a
     callable taking the relation frame.
     """
-    families, _ = build_family(tables, p)
+    overflow = Observation("family-id-overflow")
+    families, _ = build_family(tables, p, overflow)
     families = families.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fam_obs = Observation("families")
         write_partitioned(families.observe(fam_obs, F.count(F.lit(1)).alias("rows")), families_path,
                           "fecha", "parquet", compression, max_files=max_files)
-        counts = {"families": fam_obs.get["rows"]}
+        counts = {"families": fam_obs.get["rows"], "id_overflow": overflow.get["id_overflow"]}
         if relation_sink is not None:
             rel_obs = Observation("relation")
             relation = family_relation(families).observe(rel_obs, F.count(F.lit(1)).alias("rows"))

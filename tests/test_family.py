@@ -59,7 +59,7 @@ def test_run_family_writes_and_counts(spark, tmp_out):
     rel_path = f"{tmp_out}/rel"
     counts = run_family(t, p, f"{tmp_out}/fam",
                         relation_sink=lambda df: df.write.mode("overwrite").parquet(rel_path), max_files=1)
-    assert counts == {"families": 27, "relation": 22}
+    assert counts == {"families": 27, "relation": 22, "id_overflow": 0}
     fam_back = spark.read.parquet(f"{tmp_out}/fam")
     assert fam_back.count() == 27
     assert [r.fecha for r in fam_back.select("fecha").distinct().collect()] == [dt.date(2000, 6, 30)]
@@ -122,3 +122,10 @@ def test_family_semantics_on_hand_made_rows(spark):
     assert out[(1, 11)].familyid is None
     assert out[(1, 12)].familyid == 10003
     assert out[(2, 10)].familyid == 20004
+
+    from pyspark.sql import Observation
+
+    obs = Observation("overflow")
+    small = assign_families(sales, products, "STILL", id_type="tinyint", overflow=obs).collect()
+    assert obs.get["id_overflow"] == 2  # 10003 and 20004 do not fit a tinyint
+    assert all(r.familyid is None for r in small)
