@@ -84,3 +84,15 @@ def test_snapshot_prunes_partitions_of_a_partitioned_table(spark, tmp_out, capsy
     plan = capsys.readouterr().out
     assert any("PartitionFilters" in line and "Subquery" in line for line in plan.splitlines())
     assert latest.count() == 100
+
+
+def test_snapshot_independent_of_session_zone(spark):
+    df = spark.createDataFrame([(1, T1), (2, T2)], "k int, process_timestamp timestamp_ntz")
+    df_ltz = df.withColumn("process_timestamp", F.col("process_timestamp").cast("timestamp"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/La_Paz")
+        assert [r.k for r in latest_snapshot(df_ltz).collect()] == [2]
+        assert [r.k for r in latest_snapshot(df).collect()] == [2]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
