@@ -129,3 +129,10 @@ def test_family_semantics_on_hand_made_rows(spark):
     small = assign_families(sales, products, "STILL", id_type="tinyint", overflow=obs).collect()
     assert obs.get["id_overflow"] == 2  # 10003 and 20004 do not fit a tinyint
     assert all(r.familyid is None for r in small)
+
+
+def test_empty_sales_window_gives_empty_outputs(spark):
+    t = standin_tables(load_tables(spark, SF_SMALL))
+    families, relation = build_family(t, family_params(as_of="1990-01-01"))
+    assert families.count() == 0 and relation.count() == 0
+    assert families.columns[-1] == "fecha"
