@@ -111,7 +111,9 @@ def family_table(assigned: DataFrame, as_of: dt.datetime | Column | None = None,
 
     ``process_timestamp`` and ``fecha`` are text stamps of one instant.
     Whole-row dedupe runs before the int casts, as in the source job, so two
-    text keys that cast to the same int may leave equal rows.
+    text keys that cast to the same int may leave equal rows. After
+    ``assign_families`` the rows are already unique; the dedupe then runs
+    inside the same stage (the keyed partitioning satisfies it), no shuffle.
     """
     stamped = assigned.withColumns(load_stamps(as_of, tz))
     fam = stamped.select(
