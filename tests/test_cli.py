@@ -51,3 +51,21 @@ def test_article_mapping_lands_a_catalog_like_table(spark):
     out = land(df, article_mapping(), tz="-04:00")
     assert "extra" not in out.columns and "tamaño" in out.columns
     assert len(out.columns) == 29
+
+
+def test_cli_family_with_source_preset(spark, tmp_out, capsys):
+    base = load_tables(spark, SF_SMALL)
+    for name, df in standin_tables(base).items():
+        df.createOrReplaceTempView(name)
+    # The source job's own settings (transaction types 9-13, validity after 2025-01-01) match nothing in the
+    # test tables: the job must run through and report empty output rather than fail.
+    cli.main(["family", "--preset", "source", "--as-of", "2000-06-30", "--out", f"{tmp_out}/fam",
+              "--stamp", "2000-06-30T12:00:00+00:00", "--stamp-tz", "UTC"])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"families": 0, "id_overflow": 0}
+    # explicit settings override the preset
+    cli.main(["family", "--preset", "source", "--as-of", "2000-06-30", "--out", f"{tmp_out}/fam2",
+              "--tx-types", "2,3,4,5,6", "--valid-after", "2000-01-01", "--sku-below", "1500",
+              "--plant-map", json.dumps({"NATION_3": 1, "NATION_8": 2, "NATION_12": 3, "NATION_13": 4,
+                                         "NATION_15": 5, "NATION_18": 6, "NATION_19": 7}),
+              "--stamp", "2000-06-30T12:00:00+00:00", "--stamp-tz", "UTC"])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"families": 27, "id_overflow": 0}
