@@ -1,7 +1,9 @@
 """Global dense rank: unpartitioned window vs range-partitioned offsets.
 
 Keys are derived from lineitem: (l_orderkey, l_linenumber) repeated with a
-replica number from ``explode(sequence(..))`` to reach the target count.
+replica number from ``explode(sequence(..))`` to reach the target count; the
+``limit`` sets that count (it is the measured size, this is not a
+registered query).
 Prints one JSON line per size with both timings (median of runs) and
 whether the two ranks agree on every key.
 """
