@@ -64,7 +64,7 @@ def op3_token_files(spark, sf_dir):
 
 
 def op4_near_text(spark, sf_dir):
-    return near_duplicate_texts(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
+    return near_duplicate_texts(_table(spark, sf_dir, "documents"), shingle=3, percent=85, bands=36, rows=7)
 
 
 def op5_bpe(spark, sf_dir):

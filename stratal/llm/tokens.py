@@ -137,15 +137,18 @@ class TextEncoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per text)."""
         extra: dict[str, int] = {}
+        whole: dict[int, np.ndarray] = {}
         split = []
-        for t in texts:
+        for i, t in enumerate(texts):
+            if "\0" in t:  # our mark
+                whole[i] = self.encoder.one(t)
+                t = ""
             x = t.split(" ")
             x[0] = "\0" + x[0]
             split.append(x)
         codes, ends = self._pieces(split, extra)
         starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         bad = np.minimum.reduceat(codes, starts) < 0 if len(ends) else np.empty(0, bool)
-        whole: dict[int, np.ndarray] = {}
         if bad.any():
             again = np.flatnonzero(bad)
             odd = [i for i in again if ODD.search(texts[i]) or self.encoder.has_special(texts[i])]

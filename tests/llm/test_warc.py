@@ -1,0 +1,94 @@
+import base64
+import gzip
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratal.llm.queries import op1_warc
+from stratal.llm.warc import assemble_captures, parse_records, read_records, sha1_base32, write_captures
+
+SF = "/root/testdata/sf0.01"
+
+
+def digest(html):
+    return base64.b32encode(hashlib.sha1((html or "").encode()).digest()).decode()
+
+
+def expected(rows):
+    largest = {}
+    for i, html in rows:
+        largest[html or ""] = max(largest.get(html or "", i), i)
+    out = []
+    for i, html in rows:
+        keeper = largest[html or ""]
+        out.append((i, len((html or "").encode()), digest(html), *(("response", None) if i == keeper else ("revisit", keeper))))
+    return sorted(out)
+
+
+def test_pages_against_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html").collect()]
+    assert sorted(tuple(r) for r in op1_warc(spark, SF).collect()) == expected(rows)
+
+
+def test_base32_digest(spark):
+    texts = ["", "a", "é" * 1000, "<html>"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", sha1_base32(F.encode("t", "UTF-8"))).collect()
+    assert all(d == digest(t) for t, d in got)
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(i, u, h, "x", 1) for i, u, h in rows],
+                                 "page_id long, url string, html string, record_type string, digest int")
+
+
+def test_hand_made_pages(spark, tmp_out):
+    rows = [(1, "http://a.example/x y", "same"), (2, None, "same"), (3, "http://b.example", None), (4, "not a url", ""),
+            (5, "http://c.example/", "WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n" * 3), (6, "http://é.example/\r\nX: y", "ü"),
+            (None, "http://n.example", "none"), (7, "http://long.example", "z" * 300_000), (8, "http://d.example", "twice"),
+            (8, "http://d.example", "twice"), (None, "http://n.example", "same")]
+    write_captures(pages(spark, rows), tmp_out, file_bytes=100_000)
+    records = read_records(spark, tmp_out)
+    assert records.count() == 3 * len(rows) and records.where("NOT digest_ok").count() == 0
+    caps = assemble_captures(records).collect()
+    assert len(caps) == len(rows)
+    assert all(len(c["requests"]) == 1 and len(c["metadata"]) == 1 for c in caps)
+    by = {}
+    for c in caps:
+        by.setdefault(c["metadata"][0]["page_id"], []).append(c["response"])
+    assert by[1][0]["kind"] == "revisit" and by[1][0]["payload_bytes"] == 4 and bytes(by[1][0]["body"]) == b""
+    assert by[3][0]["kind"] == "revisit" and by[4][0]["kind"] == "response"
+    assert bytes(by[5][0]["body"]).decode() == rows[4][2] and bytes(by[7][0]["body"]) == b"z" * 300_000
+    assert [r["kind"] for r in by[8]] == ["response", "response"] and len({r["record_id"] for r in by[8]}) == 2
+    assert sorted(r["kind"] for r in by[None]) == ["response", "revisit"]
+    keeper = by[2][0]["record_id"]
+    assert by[1][0]["refers_to"] == keeper and by[2][0]["kind"] == "response"
+
+
+def test_empty_table(spark, tmp_out):
+    write_captures(pages(spark, []), tmp_out)
+    assert assemble_captures(read_records(spark, tmp_out)).collect() == []
+
+
+def test_links_of_either_direction(spark):
+    row = "record_id string, kind string, concurrent_to array<string>, refers_to string, uri string, digest string, " \
+          "payload_bytes long, digest_ok boolean, page_id long, body binary"
+    recs = [("r1", "response", ["q1"]), ("q1", "request", []), ("m1", "metadata", ["r1"]), ("m2", "metadata", ["r1", "r2"]),
+            ("r2", "response", []), ("q2", "request", ["r2"]), ("q2", "request", ["r2"]), ("q9", "request", ["gone"]),
+            ("w", "warcinfo", []), ("q1", "request", ["r1"]), ("x", "revisit", [])]
+    df = spark.createDataFrame([(i, k, c, None, "u", None, 0, None, None, b"") for i, k, c in recs], row)
+    got = {c["capture_id"]: c for c in assemble_captures(df).collect()}
+    assert set(got) == {"r1", "r2", "q9", "w", "x"}
+    assert [m["record_id"] for m in got["r1"]["requests"]] == ["q1"]
+    assert sorted(m["record_id"] for m in got["r1"]["metadata"]) == ["m1", "m2"]
+    assert [m["record_id"] for m in got["r2"]["metadata"]] == ["m2"] and len(got["r2"]["requests"]) == 1
+    assert got["q9"]["response"] is None and got["x"]["requests"] == [] and got["w"]["metadata"][0]["kind"] == "warcinfo"
+
+
+def test_parser_reads_gzip_members_and_refuses_damage():
+    rec = b"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: 4\r\n\r\na\r\n\r\r\n\r\n"
+    assert [b for _, b in parse_records(rec * 2)] == [b"a\r\n\r"] * 2
+    assert len(list(parse_records(gzip.compress(rec) + gzip.compress(rec)))) == 2
+    for bad in (rec[:-8], b"HELLO\r\n\r\n" + rec):
+        with pytest.raises(ValueError):
+            list(parse_records(bad))
