@@ -9,6 +9,28 @@ def test_lenient_int_matches_legacy_cast(spark):
     assert got == [12, 12, -12, None, None, 5, None]
 
 
+def test_lenient_int_truncates_like_the_legacy_cast(spark):
+    texts = ["12.9999999999", "0.99999999999", "-0.99999999999", "-12.5", ".5", "5.", ".", "-", "+", "", " ", "+7", "-.9",
+             "1e5", "1.2.3", "12a", "2147483647.9", "2147483648", "-2147483648.99", "\t8\n", "00012", "1_0", "٣",
+             "9" * 60, "1." + "9" * 60]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r[0] for r in df.select(lenient_int("s")).collect()]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert got == [r[0] for r in df.selectExpr("cast(s as int)").collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_lenient_int_of_numbers_truncates(spark):
+    row = spark.sql("SELECT 1.9999999999D a, -1.9999999999D b, CAST(7.99 AS DECIMAL(20,10)) c, 7000123456L d, 3e10D e, 5 f, "
+                    "true g, CAST('NaN' AS DOUBLE) h")
+    got = row.select(*[lenient_int(c) for c in row.columns]).first()
+    assert list(got) == [1, -1, 7, None, None, 5, 1, None]
+    assert row.select(lenient_int("d", "bigint"), lenient_int("e", "bigint")).first() == (7000123456, 30_000_000_000)
+
+
 def test_lenient_bigint_keeps_large_values(spark):
     df = spark.createDataFrame([("7000123456",)], "s string")
     assert df.select(lenient_int("s", "bigint")).first()[0] == 7000123456
