@@ -9,9 +9,13 @@ keys that vanished drop out of it.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratal.session import glob_paths, qualified, remove_path
+
 NEW, CHANGED, UNCHANGED, DELETED = "new", "changed", "unchanged", "deleted"
 
 
@@ -27,31 +31,50 @@ def content_hash(df: DataFrame, key: str, content: str) -> DataFrame:
 
 def file_hashes(spark: SparkSession, path: str, glob: str | None = None,
                 recursive: bool = True, key: str = "path") -> DataFrame:
-    """Manifest of files under ``path``: key = file path (``key='name'``:
-    the file name only), hash = SHA-256 of the bytes.
+    """Manifest of files under ``path``: key = full file URI, or with
+    ``key='relative'`` the path below ``path`` (stays the same when the root
+    moves), or with ``key='name'`` the file name only (not unique under
+    recursive reads); hash = SHA-256 of the bytes.
 
     Each file is one row of the binary-file source, so files are hashed in
-    parallel across tasks.
+    parallel across tasks; a file must be below that source's 2 GiB limit
+    and fit a task's memory. Meant for artefacts; use ``content_hash`` for
+    table data.
     """
+    if key not in ("path", "relative", "name"):
+        raise ValueError(f"key must be path, relative or name, not {key!r}")
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(path)
-    if key == "name":
+    if key == "relative":
+        root = qualified(spark, path).rstrip("/") + "/"
+        files = files.withColumn("path", F.regexp_replace("path", "^" + re.escape(root), ""))
+    elif key == "name":
         files = files.withColumn("path", F.element_at(F.split("path", "/"), -1))
     return content_hash(files, "path", "content")
 
 
+def _unique(manifest: DataFrame) -> DataFrame:
+    """The manifest, failing on a repeated key. Grouping by the join key adds
+    no shuffle to a shuffled comparison."""
+    grouped = manifest.groupBy("key").agg(F.min("hash").alias("hash"), F.count(F.lit(1)).alias("n"))
+    message = F.concat(F.lit("manifest key occurs more than once: "), F.col("key").cast("string"))
+    checked = F.when(F.col("n") > 1, F.raise_error(message).cast("string")).otherwise(F.col("hash"))
+    return grouped.select("key", checked.alias("hash"))
+
+
 def detect_changes(current: DataFrame, previous: DataFrame, include_deleted: bool = False) -> DataFrame:
     """``(key, hash, status)`` for each current item.
 
     A key missing from the saved manifest means new; a different hash
     (null-safe) means changed. With
     ``include_deleted`` the keys only in ``previous`` are added with a null
-    hash and status ``deleted``. Both sides are keyed uniquely, so the join
-    has no hot keys; a small saved manifest is broadcast by adaptive
-    execution.
+    hash and status ``deleted``. Both sides must be keyed uniquely: a
+    repeated key fails the query and names the key. So the join has no hot
+    keys; a small saved manifest is broadcast by adaptive execution.
     """
+    current, previous = _unique(current), _unique(previous)
     prev = previous.select(F.col("key").alias("__pkey"), F.col("hash").alias("__phash"))
     joined = current.join(prev, F.col("key") == F.col("__pkey"), "left")
     status = (F.when(F.col("__pkey").isNull(), F.lit(NEW))
@@ -71,21 +94,54 @@ def save_manifest(manifest: DataFrame, target: str, buckets: int | None = None)
     ``target`` is a path, or with ``buckets`` a catalog table bucketed and
     sorted by key: the next run's ``detect_changes`` then reads the saved
     side already hash-partitioned by key and shuffles only the current set.
-    Call it only after the work on the changed items succeeded, and never
-    with a frame that reads the table being replaced.
+    Call it only after the work on the changed items succeeded.
+
+    The old manifest stays until the new one is complete: a path holds
+    numbered versions, of which readers take the newest finished one, and the
+    version before it is kept; a table is written beside the old one and
+    renamed.
     """
+    spark = manifest.sparkSession
     writer = manifest.select("key", "hash").write.mode("overwrite").format("parquet")
     if buckets:
-        writer.bucketBy(buckets, "key").sortBy("key").saveAsTable(target)
-    else:
-        writer.save(target)
+        writer.bucketBy(buckets, "key").sortBy("key").saveAsTable(target + _NEXT)
+        spark.sql(f"DROP TABLE IF EXISTS {target}")
+        spark.sql(f"ALTER TABLE {target + _NEXT} RENAME TO {target}")
+        return
+    numbers = _versions(spark, target)
+    new = max(numbers, default=0) + 1
+    writer.save(_version_path(target, new))
+    for old in numbers:
+        if old < new - 1:
+            remove_path(spark, _version_path(target, old))
+
+
+_NEXT = "__next"
 
 
-def load_manifest(spark: SparkSession, target: str, bucketed: bool = False) -> DataFrame:
-    """The saved manifest: a catalog table when ``bucketed``, else a path."""
+def _version_path(target: str, number: int) -> str:
+    return f"{target.rstrip('/')}/version={number:010d}"
+
+
+def _versions(spark: SparkSession, target: str) -> list[int]:
+    """Numbers of the finished versions under a path."""
+    done = glob_paths(spark, f"{target.rstrip('/')}/version=*/_SUCCESS")
+    return sorted(int(p.rsplit("/", 2)[1].removeprefix("version=")) for p in done)
+
+
+def load_manifest(spark: SparkSession, target: str, bucketed: bool = False, key_type: str = "string") -> DataFrame:
+    """The saved manifest: a catalog table when ``bucketed``, else a path.
+
+    Before the first ``save_manifest`` it is empty with keys of ``key_type``,
+    so a first comparison finds everything new.
+    """
     if bucketed:
-        return spark.table(target)
-    return spark.read.parquet(target)  # Parquet keeps the key's type
+        for name in (target, target + _NEXT):  # the second after a crash between drop and rename
+            if spark.catalog.tableExists(name):
+                return spark.table(name)
+    elif numbers := _versions(spark, target):
+        return spark.read.parquet(_version_path(target, numbers[-1]))  # Parquet keeps the key's type
+    return spark.createDataFrame([], f"key {key_type}, hash string")
 
 
 def changed_items(changes: DataFrame) -> DataFrame:

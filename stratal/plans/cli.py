@@ -16,9 +16,10 @@ import json
 import os
 
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StructType
 
 from stratal.operators.mapping import mappings_from_tuples
-from stratal.plans.jobs import FamilyParams, land_table, run_family
+from stratal.plans.jobs import FamilyParams, land_incremental, land_table, run_family
 from stratal.plans.presets import article_mapping, source_family_params
 from stratal.session import shared_checkpoint_dir
 from stratal.sinks.writers import jdbc_options
@@ -40,7 +41,8 @@ def _family(spark: SparkSession, a: argparse.Namespace) -> dict:
     if missing:
         raise SystemExit(f"missing settings (or use --preset source): {missing}")
     params = FamilyParams(**given, months=a.months, as_of=a.as_of,
-                          stamp=dt.datetime.fromisoformat(a.stamp) if a.stamp else None, stamp_tz=a.stamp_tz)
+                          stamp=dt.datetime.fromisoformat(a.stamp) if a.stamp else None, stamp_tz=a.stamp_tz,
+                          id_type=a.id_type, rank_partitions=a.rank_partitions)
     sink = None
     if a.jdbc_url:
         sink = jdbc_options(a.jdbc_url, a.jdbc_table, os.environ.get(a.jdbc_user_env),
@@ -56,6 +58,13 @@ def _landing(spark: SparkSession, a: argparse.Namespace) -> dict:
         with open(a.mapping, encoding="utf-8") as fh:
             maps = mappings_from_tuples(json.load(fh))
     stamp = dt.datetime.fromisoformat(a.stamp) if a.stamp else None
+    if a.checkpoint:
+        if not a.schema:
+            raise SystemExit("an incremental landing needs --schema (DDL of the source files)")
+        batches = land_incremental(spark, a.source, StructType.fromDDL(a.schema), maps, a.out, a.checkpoint, stamp, a.tz,
+                                   a.source_format, a.format, a.compression, strict=not a.lenient,
+                                   max_files_per_batch=a.max_files_per_batch)
+        return {"batches": batches}
     rows = land_table(spark.table(a.source), maps, a.out, stamp, a.tz, a.format, a.compression,
                       strict=not a.lenient, max_files=a.max_files)
     return {"landed": rows}
@@ -78,6 +87,8 @@ def main(argv: list[str] | None = None) -> None:
     f.add_argument("--as-of", default=None)
     f.add_argument("--stamp", default=None, help="ISO instant with offset; default now")
     f.add_argument("--stamp-tz", default=None)
+    f.add_argument("--id-type", choices=["int", "bigint"], default="int", help="type of the family id")
+    f.add_argument("--rank-partitions", type=int, default=None, help="ranges of the global rank; default: by size")
     f.add_argument("--max-files", type=int, default=None)
     f.add_argument("--compression", default="uncompressed")
     f.add_argument("--jdbc-url")
@@ -88,7 +99,11 @@ def main(argv: list[str] | None = None) -> None:
     f.add_argument("--jdbc-partitions", type=int, default=None)
     f.add_argument("--jdbc-batch", type=int, default=None)
     g = sub.add_parser("landing")
-    g.add_argument("--source", required=True)
+    g.add_argument("--source", required=True, help="catalog table, or with --checkpoint a folder of files")
+    g.add_argument("--checkpoint", default=None, help="land only files that arrived since the last run")
+    g.add_argument("--schema", default=None, help="DDL of the source files (incremental)")
+    g.add_argument("--source-format", default="parquet")
+    g.add_argument("--max-files-per-batch", type=int, default=None)
     g.add_argument("--mapping", required=True,
                    help="'article' for the landing job's mapping, or a JSON file of [src, src_type, dst, dst_type]")
     g.add_argument("--out", required=True)

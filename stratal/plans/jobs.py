@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stratal.functions.stamps import stamp_load
 from stratal.operators.mapping import Mapping as ColumnMapping
@@ -16,7 +17,9 @@ from stratal.operators.mapping import apply_mapping
 from stratal.plans.family import assign_families, family_relation, family_table
 from stratal.plans.products import product_master
 from stratal.plans.sales import recent_sales
+from stratal.session import scratch_scope
 from stratal.sinks.writers import write_jdbc, write_partitioned
+from stratal.streaming.incremental import land_batch_writer, run_available_now
 
 
 @dataclass(frozen=True)
@@ -38,7 +41,6 @@ class FamilyParams:
     stamp_tz: str | None = None
     rank_partitions: int | None = None
     id_type: str = "int"
-    extra: dict = field(default_factory=dict)
 
 
 def build_family(tables: Mapping[str, DataFrame], p: FamilyParams,
@@ -47,7 +49,7 @@ def build_family(tables: Mapping[str, DataFrame], p: FamilyParams,
     products = product_master(tables, p.valid_after, p.sku_below, with_flavour=False)
     sales = recent_sales(tables, p.as_of, p.months, p.tx_types, p.plant_map, p.valid_after, p.sku_below)
     assigned = assign_families(sales, products, p.category, p.rank_partitions, p.id_type, overflow)
-    families = family_table(assigned, p.stamp, p.stamp_tz)
+    families = family_table(assigned, p.stamp, p.stamp_tz, p.id_type)
     return families, family_relation(families)
 
 
@@ -61,8 +63,15 @@ def run_family(tables: Mapping[str, DataFrame], p: FamilyParams, families_path:
     row counts, and the number of rows whose family id overflowed, are
     observed during the writes instead of extra passes.
     ``relation_sink`` is JDBC options (full refresh with truncate) or a
-    callable taking the relation frame.
+    callable taking the relation frame; it gets the pairs unordered. Scratch
+    tables of the run are removed when it ends.
     """
+    spark = next(iter(tables.values())).sparkSession
+    with scratch_scope(spark, "family-run"):
+        return _run_family(tables, p, families_path, relation_sink, max_files, compression)
+
+
+def _run_family(tables, p, families_path, relation_sink, max_files, compression) -> dict[str, int]:
     overflow = Observation("family-id-overflow")
     families, _ = build_family(tables, p, overflow)
     families = families.persist(StorageLevel.MEMORY_AND_DISK)
@@ -73,7 +82,7 @@ def run_family(tables: Mapping[str, DataFrame], p: FamilyParams, families_path:
         counts = {"families": fam_obs.get["rows"], "id_overflow": overflow.get["id_overflow"]}
         if relation_sink is not None:
             rel_obs = Observation("relation")
-            relation = family_relation(families).observe(rel_obs, F.count(F.lit(1)).alias("rows"))
+            relation = family_relation(families, ordered=False).observe(rel_obs, F.count(F.lit(1)).alias("rows"))
             if callable(relation_sink):
                 relation_sink(relation)
             else:
@@ -102,3 +111,28 @@ def land_table(df: DataFrame, mappings: Sequence[ColumnMapping], path: str,
     write_partitioned(out.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_col, fmt,
                       compression, max_files=max_files)
     return obs.get["rows"]
+
+
+def land_incremental(spark: SparkSession, source_path: str, schema: StructType, mappings: Sequence[ColumnMapping],
+                     path: str, checkpoint: str, as_of: dt.datetime | None = None, tz: str | None = None,
+                     source_format: str = "parquet", fmt: str = "json", compression: str = "gzip", strict: bool = True,
+                     partition_col: str = "date_raw_partition", max_files_per_batch: int | None = None,
+                     timeout_s: float | None = None) -> int:
+    """M7 with S3: land only the files that arrived since the last run.
+
+    Rows go to ``path/<partition_col>=<day>/batch_id=<n>/``: the day stays
+    the top folder, later runs on one day add to it, and a batch that is
+    replayed after a failure replaces its own folders (also those of an
+    earlier day), so nothing is landed twice. Returns the batches written.
+    """
+    writer = land_batch_writer(path, partition_col, fmt, compression)
+    done: list[int] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writer(land(batch, mappings, as_of, tz, strict, partition_col=partition_col), batch_id)
+        done.append(batch_id)
+
+    write.output = path
+    run_available_now(spark, source_path, schema, checkpoint, write, source_format, max_files_per_batch,
+                      timeout_s=timeout_s)
+    return len(done)

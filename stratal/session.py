@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,24 +65,28 @@ def scale_settings(total_cores: int, shuffle_bytes: int | None = None,
     }
 
 
-_FALLBACK_DIRS: dict[int, str] = {}
+_NEEDS_DIR = "set spark.checkpoint.dir to a folder that the driver and all executors share"
+_SCOPE: contextvars.ContextVar[str] = contextvars.ContextVar("stratal-scratch-scope", default="")
 
 
 def shared_checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster this is shared storage and is read from the session. Only
-    when nothing is configured (unit tests) is a scratch folder chosen, once
-    per session.
+    On a cluster this is shared storage and is read from the session; without
+    the setting a cluster run is refused, because executors on several
+    machines would each write to their own disk. Only a ``local`` master
+    (unit tests) gets a scratch folder, once per session.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     try:
         sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
-        return _FALLBACK_DIRS.setdefault(id(spark), tempfile.mkdtemp(prefix="stratal-ckpt-"))
+    except Exception as e:  # sessions without a SparkContext of their own
+        raise RuntimeError(_NEEDS_DIR) from e
     if not sc.getCheckpointDir():
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError(_NEEDS_DIR)
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="stratal-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -100,5 +107,49 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for sink round trips."""
-    return f"{shared_checkpoint_dir(spark).rstrip('/')}/stratal-scratch/{name}-{uuid.uuid4().hex}"
+    """A fresh folder under the shared checkpoint folder (inside the current
+    ``scratch_scope``, if any)."""
+    return f"{shared_checkpoint_dir(spark).rstrip('/')}/stratal-scratch/{_SCOPE.get()}{name}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession, name: str) -> Iterator[None]:
+    """Scratch folders made inside share one folder, removed at the end.
+
+    Everything that reads them must run inside the scope.
+    """
+    scope = f"{name}-{uuid.uuid4().hex}/"
+    token = _SCOPE.set(scope)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        remove_path(spark, f"{shared_checkpoint_dir(spark).rstrip('/')}/stratal-scratch/{scope}")
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) in the store that holds ``path``."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _hadoop(spark, path)
+    return bool(fs.exists(place))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, place = _hadoop(spark, path)
+    fs.delete(place, True)
+
+
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Existing paths that match a glob pattern, as full URIs."""
+    fs, place = _hadoop(spark, pattern)
+    return sorted(s.getPath().toString() for s in (fs.globStatus(place) or []))
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as the full URI that file listings report."""
+    fs, place = _hadoop(spark, path)
+    return fs.makeQualified(place).toString()

@@ -15,9 +15,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from stratal.session import glob_paths, path_exists, remove_path
+
 BATCH_COLUMN = "batch_id"
 
 
@@ -31,9 +34,39 @@ def batch_folder_writer(out_path: str, fmt: str = "parquet",
             writer = writer.partitionBy(*partition_by)
         writer.save(f"{out_path.rstrip('/')}/{BATCH_COLUMN}={batch_id}")
 
+    write.output = out_path
+    return write
+
+
+def land_batch_writer(out_path: str, partition_col: str, fmt: str = "json",
+                      compression: str | None = "gzip") -> Callable[[DataFrame, int], None]:
+    """foreachBatch function writing batch ``b`` to
+    ``out_path/<partition_col>=<value>/batch_id=b``. Folders an earlier
+    attempt of the batch left under any value are removed first."""
+    root = out_path.rstrip("/")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        for old in glob_paths(batch.sparkSession, f"{root}/*/{BATCH_COLUMN}={batch_id}"):
+            remove_path(batch.sparkSession, old)
+        writer = batch.withColumn(BATCH_COLUMN, F.lit(batch_id)).write.mode("append").format(fmt)
+        if compression:
+            writer = writer.option("compression", compression)
+        writer.partitionBy(partition_col, BATCH_COLUMN).save(root)
+
+    write.output = out_path
     return write
 
 
+def _refuse_lost_checkpoint(spark: SparkSession, checkpoint: str, output: str) -> None:
+    """A new checkpoint numbers batches from 0 again and would replace what
+    earlier batches wrote."""
+    root = output.rstrip("/")
+    if not path_exists(spark, f"{checkpoint.rstrip('/')}/offsets") and (
+            glob_paths(spark, f"{root}/{BATCH_COLUMN}=*") or glob_paths(spark, f"{root}/*/{BATCH_COLUMN}=*")):
+        raise RuntimeError(f"{output} holds batches but the checkpoint {checkpoint} is new; restore the checkpoint or "
+                           "choose another output")
+
+
 def run_available_now(spark: SparkSession, source_path: str, schema: StructType, checkpoint: str,
                       batch_fn: Callable[[DataFrame, int], None], fmt: str = "parquet",
                       max_files_per_batch: int | None = None,
@@ -45,7 +78,15 @@ def run_available_now(spark: SparkSession, source_path: str, schema: StructType,
     stream). ``max_files_per_batch`` bounds each micro-batch; ``transform``
     is applied to the stream (e.g. the landing mapping and stamps);
     ``options`` go to the file source (``cleanSource``/``sourceArchiveDir``
-    to move processed files away, ``maxFileAge`` to bound the listing)."""
+    to move processed files away, ``maxFileAge`` to bound the listing).
+
+    A run still going after ``timeout_s`` seconds is stopped and raises
+    ``TimeoutError``; the next run goes on after the last committed batch. A
+    batch function with an ``output`` path is refused when that holds batches
+    while the checkpoint is new."""
+    output = getattr(batch_fn, "output", None)
+    if output is not None:
+        _refuse_lost_checkpoint(spark, checkpoint, output)
     reader = spark.readStream.schema(schema).format(fmt).options(**(options or {}))
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_batch))
@@ -57,8 +98,9 @@ def run_available_now(spark: SparkSession, source_path: str, schema: StructType,
              .trigger(availableNow=True).start())
     if timeout_s is None:
         query.awaitTermination()
-    else:
-        query.awaitTermination(timeout_s)
+    elif not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"the run was stopped after {timeout_s} s; files not yet committed stay for the next run")
     if query.exception() is not None:
         raise query.exception()
     return query

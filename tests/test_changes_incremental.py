@@ -1,8 +1,11 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_MID
-from stratal.operators.changes import changed_items, content_hash, detect_changes, file_hashes
+from stratal.operators.changes import (changed_items, content_hash, detect_changes, file_hashes, load_manifest,
+                                       save_manifest)
 from stratal.sinks.writers import write_partitioned
 from stratal.streaming.incremental import batch_folder_writer, run_available_now
 from stratal.suite.queries import QUERIES
@@ -150,3 +153,84 @@ def test_manifest_path_round_trip(spark, tmp_out):
     m = content_hash(spark.createDataFrame([("a", "1"), ("b", "2")], "key string, t string"), "key", "t")
     save_manifest(m, tmp_out)
     assert sorted(r.key for r in load_manifest(spark, tmp_out).collect()) == ["a", "b"]
+
+
+def test_first_run_relative_keys_and_replacement(spark, tmp_out, tmp_path):
+    from stratal.operators.changes import file_hashes
+    from stratal.session import glob_paths
+
+    for folder in ("a", "b"):
+        (tmp_path / "one" / folder).mkdir(parents=True)
+        (tmp_path / "one" / folder / "j.py").write_text(folder)
+    files = file_hashes(spark, str(tmp_path / "one"), "*.py", key="relative")
+    assert sorted(r["key"] for r in files.collect()) == ["a/j.py", "b/j.py"]
+    first = detect_changes(files, load_manifest(spark, tmp_out))
+    assert {r["status"] for r in first.collect()} == {"new"}
+    save_manifest(files, tmp_out)
+    (tmp_path / "two").mkdir()
+    (tmp_path / "one").rename(tmp_path / "two" / "moved")  # the root moves: nothing is new
+    moved = file_hashes(spark, str(tmp_path / "two" / "moved"), "*.py", key="relative")
+    assert {r["status"] for r in detect_changes(moved, load_manifest(spark, tmp_out)).collect()} == {"unchanged"}
+    for text in ("x", "y", "z"):
+        save_manifest(moved.limit(1).selectExpr("key", f"'{text}' AS hash"), tmp_out)
+        assert [r["hash"] for r in load_manifest(spark, tmp_out).collect()] == [text]
+    assert len(glob_paths(spark, f"{tmp_out}/version=*")) == 2  # the newest and the one before it
+    # an unfinished version is not read
+    moved.write.parquet(f"{tmp_out}/version=0000000099")
+    (done,) = glob_paths(spark, f"{tmp_out}/version=0000000099/_SUCCESS")
+    from stratal.session import remove_path
+
+    remove_path(spark, done)
+    assert load_manifest(spark, tmp_out).count() == 1
+
+
+def test_repeated_keys_fail_the_comparison(spark):
+    twice = spark.createDataFrame([("k", "1"), ("k", "2")], "key string, hash string")
+    once = spark.createDataFrame([("k", "1")], "key string, hash string")
+    for current, previous in ((twice, once), (once, twice)):
+        with pytest.raises(Exception, match="occurs more than once: k"):
+            detect_changes(current, previous).collect()
+
+
+def test_incremental_landing_keeps_both_runs_and_replays(spark, tmp_out):
+    from stratal.operators.mapping import Mapping
+    from stratal.plans.jobs import land_incremental
+    from stratal.session import glob_paths
+
+    maps = [Mapping("id", "bigint", "n", "int")]
+    src = f"{tmp_out}/src"
+    schema = spark.range(1).schema
+
+    def run():
+        return land_incremental(spark, src, schema, maps, f"{tmp_out}/out", f"{tmp_out}/ckpt",
+                                dt.datetime(2025, 3, 1, 12, tzinfo=dt.timezone.utc), "UTC")
+
+    spark.range(0, 5).coalesce(1).write.mode("append").parquet(src)
+    assert run() == 1
+    spark.range(5, 9).coalesce(1).write.mode("append").parquet(src)
+    assert run() == 1 and run() == 0
+    back = spark.read.json(f"{tmp_out}/out")
+    assert sorted(r["n"] for r in back.collect()) == list(range(9))
+    assert [p.rsplit("/", 1)[1] for p in glob_paths(spark, f"{tmp_out}/out/*=*")] == ["date_raw_partition=2025-03-01"]
+    # a replay of batch 1 after its commit was lost replaces it, also when the day has changed
+    for lost in glob_paths(spark, f"{tmp_out}/ckpt/commits/1") + glob_paths(spark, f"{tmp_out}/ckpt/commits/.1.crc"):
+        from stratal.session import remove_path
+
+        remove_path(spark, lost)
+    land_incremental(spark, src, schema, maps, f"{tmp_out}/out", f"{tmp_out}/ckpt",
+                     dt.datetime(2025, 3, 2, 12, tzinfo=dt.timezone.utc), "UTC")
+    back = spark.read.json(f"{tmp_out}/out")
+    assert sorted(r["n"] for r in back.collect()) == list(range(9))
+    assert back.where("date_raw_partition = '2025-03-02'").count() == 4
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        land_incremental(spark, src, schema, maps, f"{tmp_out}/out", f"{tmp_out}/other", None, "UTC")
+
+
+def test_timeout_stops_the_run_and_raises(spark, tmp_out):
+    import time
+
+    spark.range(3).write.parquet(f"{tmp_out}/src")
+    with pytest.raises(TimeoutError):
+        run_available_now(spark, f"{tmp_out}/src", spark.range(1).schema, f"{tmp_out}/ckpt",
+                          lambda batch, i: time.sleep(20), timeout_s=1)
+    assert not spark.streams.active

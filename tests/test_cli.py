@@ -17,7 +17,7 @@ def test_cli_family_and_landing(spark, tmp_out, capsys):
               "--tx-types", "2,3,4,5,6", "--valid-after", "2000-01-01", "--sku-below", "1500",
               "--category", "STILL", "--as-of", "2000-06-30", "--stamp", "2000-06-30T12:00:00+00:00",
               "--stamp-tz", "UTC"])
-    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"families": 27, "id_overflow": 0}
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"families": 18, "id_overflow": 0}
     base["part"].createOrReplaceTempView("part_src")
     mapping = f"{tmp_out.replace('file:', '')}-mapping.json"
     with open(mapping, "w", encoding="utf-8") as fh:
@@ -68,4 +68,4 @@ def test_cli_family_with_source_preset(spark, tmp_out, capsys):
               "--plant-map", json.dumps({"NATION_3": 1, "NATION_8": 2, "NATION_12": 3, "NATION_13": 4,
                                          "NATION_15": 5, "NATION_18": 6, "NATION_19": 7}),
               "--stamp", "2000-06-30T12:00:00+00:00", "--stamp-tz", "UTC"])
-    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"families": 27, "id_overflow": 0}
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"families": 18, "id_overflow": 0}
