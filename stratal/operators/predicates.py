@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _date(value: dt.date | str | Column | None) -> Column:
@@ -23,15 +25,23 @@ def active_products(df: DataFrame, valid_after: dt.date | str, sku_below: float,
     """Products still valid, not flagged deleted and below a sku bound.
 
     ``<> 'S'`` drops rows whose flag is null as well (SQL three-valued
-    logic), which is the source behaviour and is kept. The sku bound
-    compares through ``try_cast`` to double so malformed sku text is dropped
-    instead of failing the query under ANSI mode.
+    logic), which is the source behaviour and is kept. Numeric sku columns
+    are compared in their own type, so the bound reaches the scan; text goes
+    through ``try_cast`` to double, so malformed sku text is dropped instead
+    of failing the query under ANSI mode.
     """
+    kind = df.schema[sku].dataType
+    if isinstance(kind, T.IntegralType):
+        below = F.col(sku) < F.lit(math.ceil(sku_below)).cast("bigint")  # x < 2.5 is x < 3 for integers
+    elif isinstance(kind, T.NumericType):
+        below = F.col(sku) < F.lit(float(sku_below))
+    else:
+        below = F.col(sku).try_cast("double") < F.lit(float(sku_below))
     return df.where(
         (F.col(valid_to) > _date(valid_after))
         & (F.col(deleted_flag) != F.lit("S"))
         & F.col(deleted_on).isNull()
-        & (F.col(sku).try_cast("double") < F.lit(float(sku_below)))
+        & below
     )
 
 

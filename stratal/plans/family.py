@@ -25,11 +25,13 @@ from stratal.operators.dedupe import dedupe_keep
 from stratal.operators.rank import rank_distinct
 from stratal.session import materialize
 
+# Column and key names of the published tables.
 GROUP_KEYS = ["idplanta", "name_concat_general"]
 DEDUPE_KEYS = ["idplanta", "id_prod", "sku", "familyid"]
 # Every other selected column, in output order, so the survivor is total.
 TIE_BREAK = ["agru_local", "categoria", "marcamkt", "formato", "formatomkt", "cantsubunidades", "sku_padre"]
 ASSIGNED_COLUMNS = DEDUPE_KEYS + TIE_BREAK
+ROW_KEYS = DEDUPE_KEYS[:3] + ["name_concat_general"]
 # Fixed value: the text placed between plant and rank in a family id.
 FAMILY_ID_SEPARATOR = "000"
 
@@ -95,7 +97,9 @@ def assign_families(sales: DataFrame, products: DataFrame, category: str,
     checkpoint folder, so the fact scan and aggregation run a single time
     and a lost executor re-reads that table instead of the fact table.
     """
-    rows = materialize(sales_products(sales, products, category), "family-rows")
+    # The id depends on (plant, name) only, so the survivor of each (plant, product, sku, name) decides; what
+    # is stored, joined and deduplicated afterwards is one row per such key, not one per location.
+    rows = materialize(dedupe_keep(sales_products(sales, products, category), ROW_KEYS, TIE_BREAK), "family-rows")
     ranked = rank_groups(rows, num_partitions)
     with_ids = attach_ranks(rows, ranked).withColumn("familyid", family_id("idplanta", "n_grupo", id_type))
     if overflow is not None:
@@ -106,8 +110,9 @@ def assign_families(sales: DataFrame, products: DataFrame, category: str,
 
 
 def family_table(assigned: DataFrame, as_of: dt.datetime | Column | None = None,
-                 tz: str | None = None) -> DataFrame:
-    """The published family table.
+                 tz: str | None = None, id_type: str = "int") -> DataFrame:
+    """The published family table; ``id_type`` is the type of ``familyid``
+    (the one ``assign_families`` was given, so no id is lost here).
 
     ``process_timestamp`` and ``fecha`` are text stamps of one instant.
     Whole-row dedupe runs before the int casts, as in the source job, so two
@@ -122,12 +127,13 @@ def family_table(assigned: DataFrame, as_of: dt.datetime | Column | None = None,
         F.col("sku_padre").alias("parentid"), "process_timestamp", F.col("agru_local").alias("planta"),
         "fecha",
     ).distinct()
-    return fam.withColumns({c: lenient_int(c) for c in INT_COLUMNS}).select(*FAMILY_COLUMNS)
+    return fam.withColumns({c: lenient_int(c, id_type if c == "familyid" else "int") for c in INT_COLUMNS}).select(
+        *FAMILY_COLUMNS)
 
 
-def family_relation(families: DataFrame) -> DataFrame:
+def family_relation(families: DataFrame, ordered: bool = True) -> DataFrame:
     """Distinct (family_id, parentid) pairs, ordered by family id (nulls
-    first). The order is for files and display; a JDBC target does not keep
-    it."""
-    return (families.select(F.col("familyid").alias("family_id"), "parentid")
-            .distinct().orderBy(F.col("family_id").asc_nulls_first()))
+    first) unless ``ordered`` is false. The order is for files and display; a
+    table target does not keep it, so the global sort is left out there."""
+    pairs = families.select(F.col("familyid").alias("family_id"), "parentid").distinct()
+    return pairs.orderBy(F.col("family_id").asc_nulls_first()) if ordered else pairs

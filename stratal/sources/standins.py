@@ -44,6 +44,12 @@ def _brand_digits() -> Column:
     return F.substr(F.col("p_brand"), F.lit(7))
 
 
+def _sku() -> Column:
+    """A bounded sku from the price: about half the products pass the sku
+    bound at every scale, and nothing about it follows from the product key."""
+    return (F.round(F.col("p_retailprice") * 100).cast("bigint") * 7) % 3000
+
+
 def d_prod(part: DataFrame) -> DataFrame:
     size = F.col("p_size")
     current = part.select(
@@ -55,7 +61,7 @@ def d_prod(part: DataFrame) -> DataFrame:
         (size % 6).alias("id_sabor"),
         (size % 2).alias("id_tipo_consum"),
         size.alias("bote"),
-        F.col("p_partkey").alias("sku"),
+        _sku().alias("sku"),
         (F.col("p_partkey") % 50).alias("sku_padre"),
         F.when(size % 3 == 0, "SIN AZUCAR").when(size % 3 == 1, "CON AZUCAR").alias("azucar"),
         F.when(size % 7 == 0, "S").when(size % 7 == 1, F.lit(None)).otherwise("N").alias("suprimido"),
@@ -67,7 +73,7 @@ def d_prod(part: DataFrame) -> DataFrame:
     stale = part.select(
         F.col("p_partkey").alias("id_prod"), F.lit("0").alias("id_marca"), F.lit(0).alias("id_tamano"),
         F.lit("0").alias("id_catego"), F.lit(0).alias("id_tipo_empaque"), F.lit(0).alias("id_sabor"),
-        F.lit(0).alias("id_tipo_consum"), size.alias("bote"), F.col("p_partkey").alias("sku"),
+        F.lit(0).alias("id_tipo_consum"), size.alias("bote"), _sku().alias("sku"),
         F.lit(-1).cast("bigint").alias("sku_padre"), F.lit(STALE).alias("azucar"),
         F.lit("N").alias("suprimido"), F.lit(None).cast("date").alias("fech_supr"),
         F.lit("2001-12-31").cast("date").alias("ffin_vreg"), ts_ntz(T1).alias("process_timestamp"),

@@ -11,9 +11,10 @@ import datetime as dt
 from collections.abc import Callable
 from collections.abc import Mapping as TableMap
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stratal.functions.casts import lenient_int
 from stratal.functions.stamps import stamp_load
 from stratal.operators.changes import content_hash, detect_changes, file_hashes, load_manifest, save_manifest
 from stratal.operators.dedupe import dedupe_keep, dedupe_rows
@@ -24,7 +25,7 @@ from stratal.operators.rank import dense_rank_global
 from stratal.operators.snapshot import latest_snapshot
 from stratal.plans.family import (assign_families, attach_ranks, distinct_groups, family_id,
                                   family_relation, family_table, rank_groups, sales_products)
-from stratal.plans.jobs import land, land_table, run_family
+from stratal.plans.jobs import build_family, land, land_incremental, land_table, run_family
 from stratal.plans.products import TWO_VERSIONS, current_products, product_master, product_specs
 from stratal.plans.sales import recent_sales
 from stratal.session import scratch_path
@@ -32,7 +33,7 @@ from stratal.sinks.writers import write_partitioned
 from stratal.sources.standins import (AS_OF, CATEGORY, MONTHS, PLANT_MAP, SKU_BELOW, TX_TYPES,
                                       VALID_AFTER, d_tipo_empaque_disjoint, family_params,
                                       standin_tables)
-from stratal.sources.tables import load_tables
+from stratal.sources.tables import load_tables, read_table, register_views
 from stratal.streaming.incremental import batch_folder_writer, run_available_now
 
 # Fixed values of the suite (shared with the SQL oracle).
@@ -51,6 +52,8 @@ PART_MAPPING = [
     Mapping("p_size", "int", "tamaño", "string"),
 ]
 
+WIDE_PLANTS = 300_000
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -133,11 +136,24 @@ def filter_like(spark, sf_dir):
     return like(_base(spark, sf_dir)["part"], "p_name", "%ring%")
 
 
+def window_recent_default(spark, sf_dir):
+    """The window ending today: order lines dated back by a bounded number of days."""
+    li = _base(spark, sf_dir)["lineitem"].select("l_orderkey", "l_linenumber", (F.col("l_orderkey") % 400).cast("int").alias("age"))
+    dated = li.withColumn("day", F.date_sub(F.current_date(), F.col("age")))
+    return recent_window(dated, "day", MONTHS).drop("day")
+
+
 def window_recent_months(spark, sf_dir):
     li = _base(spark, sf_dir)["lineitem"].withColumn("l_shipday", F.to_date("l_shipdate"))
     return recent_window(li, "l_shipday", MONTHS, AS_OF)
 
 
+def catalog_read(spark, sf_dir):
+    """A table read by its catalog name."""
+    register_views({"stratal_orders": _base(spark, sf_dir)["orders"]})
+    return read_table(spark, "stratal_orders").where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_totalprice")
+
+
 # -- joins ---------------------------------------------------------------------
 
 def _current_ids(t, *cols):
@@ -266,12 +282,42 @@ def family_relation_q(spark, sf_dir):
     return family_relation(_families(t))
 
 
+def relation_order(spark, sf_dir):
+    """The relation with, per family id, the position of its first row."""
+    _, t = _fixtures(spark, sf_dir)
+    placed = family_relation(_families(t)).withColumn("at", F.monotonically_increasing_id())
+    placed = placed.withColumn("at", F.row_number().over(Window.orderBy("at")))
+    return placed.withColumn("first_at", F.min("at").over(Window.partitionBy("family_id"))).drop("at")
+
+
 def row_counts(spark, sf_dir):
+    """Row counts of the family job, observed during its writes."""
     _, t = _fixtures(spark, sf_dir)
-    fam = _families(t)
-    tagged = fam.select(F.lit("families").alias("what")).unionByName(
-        family_relation(fam).select(F.lit("relation").alias("what")))
-    return tagged.groupBy("what").agg(F.count(F.lit(1)).alias("n"))
+    params = family_params(stamp=FAMILY_STAMP, stamp_tz="UTC")
+    relation = scratch_path(spark, "relation-out")
+    counts = run_family(t, params, scratch_path(spark, "family-out"),
+                        relation_sink=lambda rel: write_partitioned(rel, relation, None, "parquet"))
+    return spark.createDataFrame(sorted(counts.items()), "what string, n long")
+
+
+def family_table_wide_ids(spark, sf_dir):
+    """Plant numbers so large that every family id overflows an int."""
+    _, t = _fixtures(spark, sf_dir)
+    wide = {place: WIDE_PLANTS * plant for place, plant in PLANT_MAP.items()}
+    return build_family(t, family_params(plant_map=wide, stamp=FAMILY_STAMP, stamp_tz="UTC", id_type="bigint"))[0]
+
+
+def lenient_int_edges(spark, sf_dir):
+    """Number text with long fractions, signs, bare fractions, blanks and junk."""
+    part = _base(spark, sf_dir)["part"].select("p_partkey", "p_size", "p_retailprice")
+    key = F.col("p_partkey").cast("string")
+    texts = [F.concat(key, F.lit(".99999999999999")), F.concat(F.lit("-"), key, F.lit(".5")),
+             F.concat(F.lit("."), key), F.concat(key, F.lit(".")), F.concat(F.lit("  +"), key, F.lit(" ")),
+             F.concat(key, F.lit("e1")), F.concat(key, F.lit("0000000000"))]
+    pick = F.element_at(F.array(*texts), (F.col("p_size") % 7 + 1).cast("int"))
+    return part.withColumn("txt", pick).select("p_partkey", "txt", lenient_int("txt").alias("as_int"),
+                                               lenient_int("txt", "bigint").alias("as_bigint"),
+                                               lenient_int("p_retailprice").alias("price_int"))
 
 
 # -- stamps --------------------------------------------------------------------
@@ -314,16 +360,40 @@ def sink_json_partitioned(spark, sf_dir):
     return back.select("id", "name", "bal", _utc("raw_timestamp"), "date_raw_partition")
 
 
-def landing_job(spark, sf_dir):
+def dynamic_overwrite(spark, sf_dir):
+    """A second write replaces one partition and leaves the others."""
+    orders = _base(spark, sf_dir)["orders"].select("o_orderkey", "o_custkey", "o_orderstatus")
+    path = scratch_path(spark, "overwrite")
+    write_partitioned(orders.withColumn("run", F.lit(1)), path, "o_orderstatus")
+    write_partitioned(orders.where(F.col("o_orderstatus") == "F").withColumn("run", F.lit(2)), path, "o_orderstatus")
+    return spark.read.schema("o_orderkey long, o_custkey long, run int, o_orderstatus string").parquet(path)
+
+
+def landing_incremental(spark, sf_dir):
+    """Two runs on one day, each landing the files that arrived before it."""
     part = _base(spark, sf_dir)["part"]
-    path = scratch_path(spark, "landing-part")
-    land_table(part, PART_MAPPING, path, LOAD_INSTANT, "UTC")
+    root = scratch_path(spark, "landing-incremental")
+    for drop, mode in ((0, "overwrite"), (1, "append")):
+        part.where(F.col("p_partkey") % 2 == drop).write.mode(mode).parquet(f"{root}/source")
+        land_incremental(spark, f"{root}/source", part.schema, PART_MAPPING, f"{root}/out", f"{root}/checkpoint",
+                         LOAD_INSTANT, "UTC")
+    return _landed_parts(spark, f"{root}/out")
+
+
+def _landed_parts(spark, path):
     back = spark.read.schema("articulokey int, nombrearticulo string, marca string, categoriamkt string, "
                              "`tamaño` string, raw_timestamp timestamp, date_raw_partition date").json(path)
     return back.select("articulokey", "nombrearticulo", "marca", "categoriamkt", "tamaño",
                        _utc("raw_timestamp"), "date_raw_partition")
 
 
+def landing_job(spark, sf_dir):
+    part = _base(spark, sf_dir)["part"]
+    path = scratch_path(spark, "landing-part")
+    land_table(part, PART_MAPPING, path, LOAD_INSTANT, "UTC")
+    return _landed_parts(spark, path)
+
+
 def family_job(spark, sf_dir):
     _, t = _fixtures(spark, sf_dir)
     fam_path, rel_path = scratch_path(spark, "family-out"), scratch_path(spark, "relation-out")
@@ -355,10 +425,20 @@ def detect_changes_q(spark, sf_dir):
     return detect_changes(current, previous)
 
 
+def detect_changes_first_run(spark, sf_dir):
+    """Without a saved manifest everything is new."""
+    docs = _base(spark, sf_dir)["documents"]
+    saved = load_manifest(spark, scratch_path(spark, "no-manifest"), key_type="long")
+    return detect_changes(content_hash(docs, "doc_id", "text"), saved)
+
+
 def manifest_refresh(spark, sf_dir):
-    current, _ = _manifests(spark, sf_dir)
+    """An older manifest, other texts and keys, replaced by the current one."""
+    docs = _base(spark, sf_dir)["documents"]
+    older = docs.withColumn("doc_id", F.col("doc_id") + 1).withColumn("text", F.concat(F.col("text"), F.lit(" (rev)")))
     path = scratch_path(spark, "manifest")
-    save_manifest(current, path)
+    save_manifest(content_hash(older, "doc_id", "text"), path)
+    save_manifest(content_hash(docs, "doc_id", "text"), path)
     return load_manifest(spark, path)
 
 
@@ -406,6 +486,14 @@ QUERIES: dict[str, Query] = {
     "family_table": family_table_q,
     "family_relation": family_relation_q,
     "row_counts": row_counts,
+    "relation_order": relation_order,
+    "family_table_wide_ids": family_table_wide_ids,
+    "lenient_int_edges": lenient_int_edges,
+    "window_recent_default": window_recent_default,
+    "catalog_read": catalog_read,
+    "dynamic_overwrite": dynamic_overwrite,
+    "landing_incremental": landing_incremental,
+    "detect_changes_first_run": detect_changes_first_run,
     "stamp_load_utc": stamp_load_utc,
     "stamp_load_offset": stamp_load_offset,
     "sink_parquet_partitioned": sink_parquet_partitioned,

@@ -3,7 +3,7 @@ import __spark_entry__ as E
 
 def test_entry_runs_on_smallest_tables(spark):
     df = E.entry(spark)
-    assert df.count() == 27
+    assert df.count() == 18
     assert df.columns == ["idplanta", "id_prod", "sku", "familyid", "agru_local", "categoria", "marcamkt",
                           "formato", "formatomkt", "cantsubunidades", "sku_padre"]
 

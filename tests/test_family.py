@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
@@ -24,7 +25,7 @@ def _chain(spark, sf):
 
 
 def test_stage_counts_match_fixture_table(spark):
-    for sf, expect in [(SF_SMALL, (400, 111, 87, 27, 13, 8, 22)), (SF_MID, (4000, 870, 645, 164, 113, 44, 93))]:
+    for sf, expect in [(SF_SMALL, (400, 61, 42, 18, 10, 3, 14)), (SF_MID, (4000, 574, 437, 105, 70, 28, 66))]:
         t, p, pm, rs, fam, rel = _chain(spark, sf)
         got = (t["d_prod"].count(), pm.count(), rs.count(), fam.count(),
                fam.where(F.col("idplanta").isNull()).count(), fam.where(F.col("familyid").isNotNull()).count(),
@@ -59,12 +60,12 @@ def test_run_family_writes_and_counts(spark, tmp_out):
     rel_path = f"{tmp_out}/rel"
     counts = run_family(t, p, f"{tmp_out}/fam",
                         relation_sink=lambda df: df.write.mode("overwrite").parquet(rel_path), max_files=1)
-    assert counts == {"families": 27, "relation": 22, "id_overflow": 0}
+    assert counts == {"families": 18, "relation": 14, "id_overflow": 0}
     fam_back = spark.read.parquet(f"{tmp_out}/fam")
-    assert fam_back.count() == 27
+    assert fam_back.count() == 18
     assert [r.fecha for r in fam_back.select("fecha").distinct().collect()] == [dt.date(2000, 6, 30)]
     families, _ = build_family(t, p)
-    assert families.count() == 27
+    assert families.count() == 18
 
 
 def test_sales_branch_evaluated_once(spark, capsys):
@@ -136,3 +137,59 @@ def test_empty_sales_window_gives_empty_outputs(spark):
     families, relation = build_family(t, family_params(as_of="1990-01-01"))
     assert families.count() == 0 and relation.count() == 0
     assert families.columns[-1] == "fecha"
+
+
+def test_wide_ids_survive_the_whole_job(spark, tmp_out):
+    """Plant numbers so large that every id overflows an int."""
+    t = standin_tables(load_tables(spark, SF_SMALL))
+    wide = family_params(plant_map={k: 300_000 * v for k, v in family_params().plant_map.items()}, id_type="bigint")
+    narrow = family_params(plant_map=wide.plant_map)
+    out = run_family(t, wide, f"{tmp_out}/wide")
+    back = spark.read.schema("idplanta int, familyid long, categoriamkt string").parquet(f"{tmp_out}/wide")
+    ids = [r["familyid"] for r in back.where("familyid IS NOT NULL").collect()]
+    assert out["id_overflow"] == 0 and ids and min(ids) > 2 ** 31
+    lost = run_family(t, narrow, f"{tmp_out}/narrow")
+    assert lost["id_overflow"] >= len(ids)
+    assert spark.read.schema("familyid long").parquet(f"{tmp_out}/narrow").where("familyid IS NOT NULL").count() == 0
+
+
+def test_stored_rows_are_unique_per_key_and_scratch_is_removed(spark, tmp_out, monkeypatch):
+    from stratal.plans import family
+    from stratal.session import glob_paths, shared_checkpoint_dir
+
+    stored = {}
+    real = family.materialize
+
+    def spy(df, name):
+        stored[name] = real(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(family, "materialize", spy)
+    t = standin_tables(load_tables(spark, SF_SMALL))
+    build_family(t, family_params())
+    rows = stored["family-rows"]
+    assert rows.count() == rows.select(*family.ROW_KEYS).distinct().count() > 0
+    monkeypatch.undo()
+    run_family(t, family_params(), tmp_out)
+    assert glob_paths(spark, f"{shared_checkpoint_dir(spark)}/stratal-scratch/family-run-*") == []
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from stratal.session import shared_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):  # noqa: N802
+            return None
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()  # noqa: N815
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_checkpoint_dir(Session())

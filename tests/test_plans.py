@@ -32,6 +32,45 @@ def test_sales_pre_aggregate_before_the_joins(spark, capsys):
     assert any("Keys [2]: [id_localidad" in b and "id_prod" in b for b in partial)
 
 
+def test_only_sales_of_active_products_are_shuffled(spark, capsys):
+    t = standin_tables(load_tables(spark, SF_SMALL))
+    plan = _plan(recent_sales(t, AS_OF, MONTHS, TX_TYPES, PLANT_MAP, VALID_AFTER, SKU_BELOW), capsys)
+    tree = plan[:plan.index("\n\n(")].splitlines()
+    fact = max(i for i, x in enumerate(tree) if "Scan parquet" in x and "lineitem" in plan.split(
+        f"({x.rsplit('(', 1)[1].rstrip(')')}) Scan parquet")[1][:1200].split("Location")[1][:200])
+    above = [x for x in tree[:fact]][::-1]
+    depth = lambda x: len(x) - len(x.lstrip(" +-:*"))
+    path, level = [], depth(tree[fact])
+    for x in above:  # the operators from the fact scan upwards
+        if depth(x) < level:
+            path.append(x)
+            level = depth(x)
+    first_exchange = next(i for i, x in enumerate(path) if " Exchange " in x)
+    assert any("LeftSemi" in x for x in path[:first_exchange])
+    # nothing about products is inferred onto the fact scan but the key's presence
+    scan = plan[plan.index("sf0.001/lineitem.parquet"):]
+    assert "l_partkey)" in scan.splitlines()[1] and "1500" not in scan[:400]
+
+
+def test_integer_sku_bound_reaches_the_scan(spark, capsys, tmp_out):
+    from stratal.operators.predicates import active_products
+
+    for kind in ("bigint", "int", "double"):
+        spark.sql(f"SELECT CAST(5 AS {kind}) sku, 'N' suprimido, CAST(NULL AS DATE) fech_supr, date'2001-01-01' ffin_vreg"
+                  ).write.mode("overwrite").parquet(f"{tmp_out}/{kind}")
+        df = active_products(spark.read.parquet(f"{tmp_out}/{kind}"), "2000-01-01", 7.5)
+        assert "LessThan(sku," in _plan(df, capsys).split("PushedFilters")[1].splitlines()[0]
+        assert df.count() == 1
+
+
+def test_relation_without_order_has_no_sort(spark, capsys):
+    from stratal.plans.family import family_relation
+
+    fam = spark.range(5).selectExpr("CAST(id AS INT) familyid", "CAST(id AS INT) parentid")
+    assert "Sort" in _plan(family_relation(fam), capsys)
+    assert "Sort" not in _plan(family_relation(fam, ordered=False), capsys)
+
+
 def test_product_lookups_are_broadcast_when_small(spark, capsys):
     from stratal.plans.products import product_master
 
