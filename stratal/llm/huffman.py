@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratal.llm.arrow import slices
-from stratal.llm.tokens import text_encoder
+from stratal.llm.tokens import id_column, text_encoder
 from stratal.session import materialize
 
 MAX_BITS, STEP = 16, 256
@@ -179,16 +179,14 @@ def tokenize(docs: DataFrame, path: str, end_id: int | None, id_col: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = text_encoder(path)
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text"):
             ids, counts = enc.encode([t or "" for t in b.column("text").to_pylist()])
             if end_id is not None:
                 through = np.cumsum(counts)
                 ids = np.insert(ids, through, end_id)
                 counts = counts + 1
-            off = np.concatenate([[0], np.cumsum(counts) * 4]).astype(np.int32)
-            data = pa.Array.from_buffers(pa.binary(), len(counts),
-                                         [None, pa.py_buffer(off.tobytes()), pa.py_buffer(ids.astype("<u4").tobytes())])
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(counts, pa.int64()), data], names=["id", "n", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(counts, pa.int64()), id_column(ids, counts)],
+                                             names=["id", "n", "ids"])
 
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return plain.mapInArrow(run, "id long, n long, ids binary")
@@ -295,7 +293,7 @@ def write_token_files(tokens: DataFrame, out: str, max_bits: int = MAX_BITS, ste
             yield emit(block(rows, position))
 
     coded = tokens.select("id", "n", "ids").mapInArrow(encode, "range int, id long, n long, bits binary, marks binary")
-    (coded.repartitionByRange(ranges, "range").sortWithinPartitions("range", "id", "n", "bits")
+    (coded.repartitionById(ranges, "range").sortWithinPartitions("range", "id", "n", "bits")
      .mapInArrow(assemble, "value binary").select(F.col("value").cast("string").alias("value"))
      .write.mode("overwrite").option("lineSep", "\n").text(out))
 

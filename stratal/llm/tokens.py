@@ -9,6 +9,8 @@ from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 GROUP = 512  # strings per call of the library
 MEMORY = 1 << 19  # pieces a Python worker remembers
@@ -41,25 +43,33 @@ class Encoder:
     def has_special(self, text: str) -> bool:
         return any(s in text for s in self.special)
 
+    def flat(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all strings, ids per string)."""
+        if self.sep is None or self.has_special("".join(strings)):
+            odd = {i for i, s in enumerate(strings) if self.sep is None or self.has_special(s)}
+            if odd:
+                ids, lens = self.flat([s for i, s in enumerate(strings) if i not in odd])
+                plain = iter(np.split(ids, np.cumsum(lens)[:-1]) if len(lens) else [])
+                parts = [self.one(s) if i in odd else next(plain) for i, s in enumerate(strings)]
+                return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+        if not strings:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        joined = [self.sep.join(strings[k:k + GROUP]) for k in range(0, len(strings), GROUP)]
+        between = np.array([self.sep_id], np.uint32)
+        parts = []
+        for encoding in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
+            parts += [np.array(encoding.ids, np.uint32), between]
+        ids = np.concatenate(parts[:-1])
+        cuts = np.flatnonzero(ids == self.sep_id)
+        if len(cuts) != len(strings) - 1:
+            raise ValueError("the separator token was not kept apart")
+        return ids[ids != self.sep_id], np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+
+
     def many(self, strings: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray | None] = [None] * len(strings)
-        clean = []
-        for i, s in enumerate(strings):
-            if self.sep is None or self.has_special(s):
-                out[i] = self.one(s)
-            else:
-                clean.append(i)
-        cuts = [clean[k:k + GROUP] for k in range(0, len(clean), GROUP)]
-        joined = self.tokenizer.encode_batch_fast([self.sep.join(strings[i] for i in c) for c in cuts],
-                                                  add_special_tokens=False) if cuts else []
-        for cut, encoding in zip(cuts, joined):
-            ids = np.array(encoding.ids, np.uint32)
-            parts = np.split(ids, np.flatnonzero(ids == self.sep_id))
-            if len(parts) != len(cut):
-                raise ValueError("the separator token was not kept apart")
-            for k, i in enumerate(cut):
-                out[i] = parts[k][1:] if k else parts[k]
-        return out
+        """Ids of each string."""
+        ids, lens = self.flat(strings)
+        return np.split(ids, np.cumsum(lens)[:-1]) if len(lens) else []
 
 
 @lru_cache(maxsize=4)
@@ -74,6 +84,13 @@ def spread(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray
     return flat[shift + np.arange(total)]
 
 
+def id_column(ids: np.ndarray, lens: np.ndarray) -> pa.Array:
+    """A binary column: each row's ids as little-endian unsigned 32-bit."""
+    ends = np.concatenate([[0], np.cumsum(lens) * 4]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lens),
+                                 [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(ids.astype("<u4").tobytes())])
+
+
 class TextEncoder:
     """Ids of whole texts for a byte-level file that splits before spaces.
 
@@ -93,75 +110,74 @@ class TextEncoder:
         self.lens = np.empty(1 << 16, np.int64)
         self.n = self.used = 0
 
-    def _store(self, arrays: list[np.ndarray]) -> None:
-        need_n, need = self.n + len(arrays), self.used + sum(map(len, arrays))
-        if need_n > len(self.starts):
-            self.starts = np.resize(self.starts, 2 * need_n)
-            self.lens = np.resize(self.lens, 2 * need_n)
-        if need > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * need)
-        for a in arrays:
-            self.starts[self.n], self.lens[self.n] = self.used, len(a)
-            self.flat[self.used:self.used + len(a)] = a
-            self.n, self.used = self.n + 1, self.used + len(a)
+    def _store(self, ids: np.ndarray, lens: np.ndarray) -> None:
+        n, used = self.n + len(lens), self.used + len(ids)
+        if n > len(self.starts):
+            self.starts = np.resize(self.starts, 2 * n)
+            self.lens = np.resize(self.lens, 2 * n)
+        if used > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * used)
+        self.starts[self.n:n] = self.used + np.cumsum(lens) - lens
+        self.lens[self.n:n] = lens
+        self.flat[self.used:used] = ids
+        self.n, self.used = n, used
 
     def _lookup(self, pieces: list[str], extra: dict[str, int]) -> np.ndarray:
-        """Codes of pieces ('\\0' marks a text's first piece); -1: not a piece."""
+        """Codes of pieces ('\0' marks a text's first piece); -1: not a piece."""
         found = np.fromiter(map(self.codes.get, pieces, repeat(-2)), np.int64, len(pieces))
-        for i in np.flatnonzero(found == -2):
-            found[i] = extra.get(pieces[i], -2)
-        missing = list(dict.fromkeys(pieces[i] for i in np.flatnonzero(found == -2)))
-        good = []
-        for p in missing:
-            body = p[1:] if p[:1] == "\0" else p
-            if ODD.search(body) or self.encoder.has_special(body) or p == "" or p[0].isspace():
-                extra[p] = -1
-            else:
-                good.append(p)
-        room = max(0, self.memory - len(self.codes))
-        keep = {p: self.n + k for k, p in enumerate(good[:room])}
-        rest = good[len(keep):]
-        base = self.n
-        self._store(self.encoder.many([p[1:] if p[0] == "\0" else " " + p for p in good]))
-        self.codes.update(keep)
-        extra.update({p: base + len(keep) + k for k, p in enumerate(rest)})
-        for i in np.flatnonzero(found == -2):
-            p = pieces[i]
-            found[i] = self.codes[p] if p in self.codes else extra[p]
+        gaps = np.flatnonzero(found == -2)
+        wanted = [pieces[i] for i in gaps]
+        good = [p for p in dict.fromkeys(wanted) if p not in extra]
+        bodies = [p[1:] if p[:1] == "\0" else " " + p for p in good]
+        blob = "".join(bodies)
+        odd = bool(ODD.search(blob)) or self.encoder.has_special(blob)
+        if odd or any(p[:1].isspace() or not p for p in good):
+            bad = [not p or p[0].isspace() or odd and bool(ODD.search(x) or self.encoder.has_special(x))
+                   for p, x in zip(good, bodies)]
+            extra.update((p, -1) for p, b in zip(good, bad) if b)
+            bodies = [x for x, b in zip(bodies, bad) if not b]
+            good = [p for p, b in zip(good, bad) if not b]
+        base, room = self.n, max(0, self.memory - len(self.codes))
+        self._store(*self.encoder.flat(bodies))
+        self.codes.update(zip(good[:room], range(base, base + room)))
+        extra.update(zip(good[room:], range(base + room, base + len(good))))
+        if len(gaps):
+            late = np.fromiter(map(self.codes.get, wanted, repeat(-2)), np.int64, len(wanted))
+            still = np.flatnonzero(late == -2)
+            late[still] = [extra[wanted[i]] for i in still]
+            found[gaps] = late
         return found
 
-    def _pieces(self, split: list[list[str]], extra: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-        ends = np.cumsum([len(x) for x in split])
-        return self._lookup([p for x in split for p in x], extra), ends
+    def _codes(self, lists: pa.ListArray, extra: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """(code of every piece, first piece of each text and the end): each
+        distinct piece of the slice is looked up once."""
+        coded = lists.flatten().dictionary_encode()
+        codes = self._lookup(coded.dictionary.to_pylist(), extra)
+        return codes[coded.indices.to_numpy()] if len(coded) else codes, lists.offsets.to_numpy().astype(np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per text)."""
+        if not texts:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
         extra: dict[str, int] = {}
-        whole: dict[int, np.ndarray] = {}
-        split = []
-        for i, t in enumerate(texts):
-            if "\0" in t:  # our mark
-                whole[i] = self.encoder.one(t)
-                t = ""
-            x = t.split(" ")
-            x[0] = "\0" + x[0]
-            split.append(x)
-        codes, ends = self._pieces(split, extra)
-        starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-        bad = np.minimum.reduceat(codes, starts) < 0 if len(ends) else np.empty(0, bool)
+        whole = {i: self.encoder.one(t) for i, t in enumerate(texts) if "\0" in t}  # our mark
+        plain = pa.array(["\0" if i in whole else "\0" + t for i, t in enumerate(texts)], pa.string())
+        lists = pc.split_pattern(plain, " ")
+        codes, off = self._codes(lists, extra)
+        bad = np.minimum.reduceat(codes, off[:-1]) < 0
         if bad.any():
-            again = np.flatnonzero(bad)
-            odd = [i for i in again if ODD.search(texts[i]) or self.encoder.has_special(texts[i])]
-            for i in odd:
-                whole[i] = self.encoder.one(texts[i])
-                split[i] = []
-            for i in set(again.tolist()) - set(odd):
-                split[i] = re.split(r" (?=\S)", texts[i])
-                split[i][0] = "\0" + split[i][0]
-            codes, ends = self._pieces(split, extra)
+            split = lists.to_pylist()
+            for i in np.flatnonzero(bad):
+                if ODD.search(texts[i]) or self.encoder.has_special(texts[i]):
+                    whole[i] = self.encoder.one(texts[i])
+                    split[i] = ["\0"]
+                else:
+                    split[i] = re.split(r" (?=\S)", texts[i])
+                    split[i][0] = "\0" + split[i][0]
+            codes, off = self._codes(pa.array(split, pa.list_(pa.string())), extra)
         lens = self.lens[codes]
         ids = spread(self.flat, self.starts[codes], lens)
-        through = np.concatenate([[0], np.cumsum(lens)])[np.concatenate([[0], ends])]
+        through = np.concatenate([[0], np.cumsum(lens)])[off]
         counts = np.diff(through)
         if whole:
             parts = np.split(ids, through[1:-1])
