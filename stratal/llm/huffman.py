@@ -35,6 +35,7 @@ MAX_BITS, STEP = 16, 256
 FILE_IDS, BLOCK_IDS = 8 << 20, 1 << 20
 DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<u4"), ("at", "<u4")])
 BLOCK = "<IQII"
+DENSE = 1 << 22
 
 
 def code_lengths(counts: np.ndarray, max_bits: int) -> np.ndarray:
@@ -87,6 +88,10 @@ class Code:
     def __init__(self, symbols: np.ndarray, lengths: np.ndarray, max_bits: int):
         self.symbols, self.lengths, self.max_bits = symbols.astype(np.uint32), lengths.astype(np.uint8), max_bits
         self.codes = canonical_codes(self.lengths)
+        self.place = None  # place of an id among the symbols, where a table of all ids is small
+        if len(symbols) and int(self.symbols[-1]) < DENSE:
+            self.place = np.zeros(int(self.symbols[-1]) + 1, np.int32)
+            self.place[self.symbols] = np.arange(len(symbols))
 
     @classmethod
     def from_counts(cls, symbols: np.ndarray, counts: np.ndarray, max_bits: int = MAX_BITS) -> Code:
@@ -109,7 +114,7 @@ class Code:
     def encode(self, ids: np.ndarray, counts: np.ndarray, step: int = STEP) -> tuple[bytes, np.ndarray, list[np.ndarray]]:
         """Byte-aligned streams of consecutive documents: (bytes, byte size
         per document, checkpoints per document)."""
-        place = np.searchsorted(self.symbols, ids) if len(self.symbols) else np.empty(0, np.int64)
+        place = np.searchsorted(self.symbols, ids) if self.place is None else self.place[ids]
         lens = self.lengths[place].astype(np.int64)
         ends = np.concatenate([[0], np.cumsum(lens)])
         through = np.concatenate([[0], np.cumsum(counts)])

@@ -65,7 +65,6 @@ class Encoder:
             raise ValueError("the separator token was not kept apart")
         return ids[ids != self.sep_id], np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
 
-
     def many(self, strings: list[str]) -> list[np.ndarray]:
         """Ids of each string."""
         ids, lens = self.flat(strings)
@@ -80,8 +79,10 @@ def encoder(path: str) -> Encoder:
 def spread(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """The slices flat[start:start + len], one after another."""
     total = int(lens.sum())
-    shift = np.repeat(starts - (np.cumsum(lens) - lens), lens)
-    return flat[shift + np.arange(total)]
+    kind = np.int32 if max(len(flat), total) < 1 << 31 else np.int64
+    at = np.repeat((starts - (np.cumsum(lens) - lens)).astype(kind), lens)
+    at += np.arange(total, dtype=kind)
+    return flat[at]
 
 
 def id_column(ids: np.ndarray, lens: np.ndarray) -> pa.Array:
