@@ -32,7 +32,9 @@ def _tokenizer(name: str) -> str:
 def op1_warc(spark, sf_dir):
     path = scratch_path(spark, "warc")
     write_captures(_table(spark, sf_dir, "pages"), path)
-    captures = assemble_captures(read_records(spark, path))
+    # parsed once; the result needs what was computed from the bodies, not the bodies
+    records = read_records(spark, path).withColumn("body", F.lit(None).cast("binary"))
+    captures = assemble_captures(materialize(records, "warc-records"))
     page = F.element_at(F.col("metadata"), 1)["page_id"]
     r = F.col("response")
     rows = materialize(captures.select(

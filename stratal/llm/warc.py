@@ -52,9 +52,11 @@ def _record(fields: list[tuple[str, Column]], block: Column) -> Column:
 
 
 def write_captures(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url",
-                   html_col: str = "html", file_bytes: int = FILE_BYTES, date: str = DATE) -> None:
+                   html_col: str = "html", file_bytes: int = FILE_BYTES, date: str = DATE,
+                   compression: str = "gzip") -> None:
     """Write the request, response or revisit, and metadata record of every
-    row of ``pages`` as WARC files of about ``file_bytes`` under ``path``.
+    row of ``pages`` as WARC files of about ``file_bytes`` (before
+    compression) under ``path``.
 
     Of the rows with equal payloads (the html in UTF-8) the one with the
     largest id is the response, the others revisit it: their block holds the
@@ -110,7 +112,7 @@ def write_captures(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         F.coalesce(F.concat(F.lit("page_id: "), F.col("id").cast("string"), F.lit("\r\n")), F.lit("")))
     lines = (dealt.withColumn("uri", uri).withColumn("own", _record_id("response"))
              .select(F.explode(F.array(request, response, metadata)).alias("value")))
-    lines.write.option("lineSep", END).mode("overwrite").text(path)
+    lines.write.option("lineSep", END).option("compression", compression).mode("overwrite").text(path)
 
 
 def parse_records(content: bytes) -> Iterator[tuple[dict[str, list[str]], bytes]]:
