@@ -3,7 +3,7 @@
 Method. Texts are split at ASCII white space (which the tokenizer file drops,
 so words are independent). Words are counted with a map-side sum; every
 distinct word is encoded once and the table (word, count, ids) is stored. The
-``hot`` most frequent words (a bound in rows and bytes) are sent to all
+``hot`` most frequent words (a bound in rows and characters) are sent to all
 tasks, which turn texts into arrays of word codes; the words beyond are
 joined to the table on the word and come back by position in the document.
 Frequent words never meet in a join, so no join key is hot. Decoding joins
@@ -12,55 +12,62 @@ ids to their pieces through the vocabulary, a table bounded by the file.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratal.llm.arrow import slices
-from stratal.llm.tokens import encoder, spread
+from stratal.llm.tokens import encoder, id_column, spread
 from stratal.session import materialize
 
-HOT = 1 << 18  # words sent to all tasks
+HOT = 1 << 20  # words sent to all tasks
 HOT_CHARS = 1 << 24  # and their characters in sum, at most
-HELD = 1 << 19  # distinct words a task counts before it passes them on
-OTHER_SPACE = str.maketrans("\t\n\r\x0b\x0c", "     ")
-
-
-def split_words(text: str) -> list[str]:
-    """Words at ASCII white space. ASCII texts are lowered first, as the
-    tokenizer file would; special tokens are cut out of raw text, so a text
-    that may hold one is left as it is. Empty strings stand for runs."""
-    if text.isascii() and "<|" not in text:
-        text = text.lower()
-    return text.translate(OTHER_SPACE).split(" ")
+SLICE = 4 << 20  # bytes of text a task works on at a time
+RARE = 0xFFFFFF  # code of a word that is not hot
+
+
+def _plain(text: str | None) -> str:
+    """The text with ASCII white space as spaces, lowered where that cannot
+    change its ids: in Latin-1 lowering is one character to one and nothing
+    composes. Special tokens are cut out of raw text, so a text that may
+    hold one is left as it is."""
+    if not text:
+        return ""
+    if "<|" not in text:
+        try:
+            text.encode("latin-1")
+            text = text.lower()
+        except UnicodeEncodeError:
+            pass
+    for space in "\n\t\r\x0b\x0c":
+        if space in text:
+            text = text.replace(space, " ")
+    return text
+
+
+def split_words(texts: list[str | None]) -> tuple[pa.StringArray, np.ndarray]:
+    """(words of all texts, first word of each text and the end); runs of
+    white space give empty words."""
+    lists = pc.split_pattern(pa.array([_plain(t) for t in texts], pa.string()), " ")
+    return lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
 
 
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, n) over the texts of ``docs`` (text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def flush():
-            held.pop("", None)
-            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())],
-                                             names=["word", "n"])
-            held.clear()
-
-        for b in slices(batches, "text", 1 << 20):
-            for t in b.column("text").to_pylist():
-                if t:
-                    held.update(split_words(t))
-            if len(held) > HELD:
-                yield from flush()
-        yield from flush()
+        for b in slices(batches, "text", SLICE):
+            words, _ = split_words(b.column("text").to_pylist())
+            counts = words.value_counts()
+            yield pa.RecordBatch.from_arrays([counts.field(0), counts.field(1)], names=["word", "n"])
 
-    return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(run, "word string, n long").where("word <> ''")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def encode_words(words: DataFrame, path: str) -> DataFrame:
@@ -70,17 +77,17 @@ def encode_words(words: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for b in slices(batches, "word", 1 << 18):
-            ids = [a.astype("<u4").tobytes() for a in enc.many(b.column("word").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column("word"), b.column("n"), pa.array(ids, pa.binary())],
+            ids, lens = enc.flat(b.column("word").to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column("word"), b.column("n"), id_column(ids, lens)],
                                              names=["word", "n", "ids"])
 
     return words.mapInArrow(run, "word string, n long, ids binary")
 
 
-def _hot(table: DataFrame, hot: int, hot_chars: int) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
-    """The most frequent words as (codes, flat ids, offsets); code 0 is the
-    empty string. Counts are binned on a log scale (a bounded histogram); the
-    words of the top bins that stay within both bounds are collected."""
+def _hot(table: DataFrame, hot: int, hot_chars: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The most frequent words as (words, flat ids, ids per word); word 0 is
+    the empty string. Counts are binned on a log scale (a bounded histogram);
+    the words of the top bins that stay within both bounds are collected."""
     bin_of = F.floor(F.log2("n") * 32).cast("int")
     bins = (table.groupBy(bin_of.alias("bin")).agg(F.count("*").alias("words"), F.sum(F.length("word")).alias("chars"))
             .orderBy(F.desc("bin")).collect())
@@ -92,10 +99,10 @@ def _hot(table: DataFrame, hot: int, hot_chars: int) -> tuple[dict[str, int], np
         least = r["bin"]
     taken = table.where(bin_of >= least) if least is not None else table.limit(0)
     rows = taken.select("word", "n", "ids").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
-    names, arrays = rows.column("word").to_pylist(), [np.frombuffer(x, "<u4") for x in rows.column("ids").to_pylist()]
-    arrays = [np.empty(0, np.uint32), *arrays]
-    codes = {"": 0, **{w: k + 1 for k, w in enumerate(names)}}
-    return codes, np.concatenate(arrays), np.concatenate([[0], np.cumsum([len(a) for a in arrays])])
+    names = pa.concat_arrays([pa.array([""], pa.string()), *rows.column("word").cast(pa.string()).chunks])
+    ids = np.frombuffer(b"".join(rows.column("ids").to_pylist()), "<u4")
+    lens = pc.binary_length(rows.column("ids")).to_numpy().astype(np.int64) // 4
+    return names, ids, np.concatenate([[0], lens])
 
 
 def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT,
@@ -108,82 +115,84 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     null id stays null; repeated rows are encoded once and returned as often
     as they occur; special tokens inside a text become their ids, as in the
     library; an empty table gives an empty result. Only the two named columns
-    are read.
+    are read. ``hot`` must stay below 2 ** 24 - 1.
     """
-    kind = dict(docs.dtypes)[id_col]
+    kind = docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     table = materialize(encode_words(count_words(rows), tokenizer_path), "bpe-words")
-    codes, flat, offsets = _hot(table, hot, hot_chars)
+    names, flat, lens = _hot(table, hot, hot_chars)
     spark = docs.sparkSession
-    known = spark.sparkContext.broadcast(codes)
-    hot_ids = spark.sparkContext.broadcast((flat, offsets))
-    keyed = rows.select(F.xxhash64("id", "text").alias("k1"), F.xxhash64(F.lit(1), "text", "id").alias("k2"), "id", "text")
+    known = spark.sparkContext.broadcast(names)
+    hot_ids = spark.sparkContext.broadcast((flat, lens))
+    # a row's key: equal rows have equal results. An integer id with a 32-bit hash of the text; 128 bits of hash without
+    whole = isinstance(kind, T.IntegralType)
+    first = F.col("id").cast("long") if whole else F.xxhash64("id", F.lit(1))
+    second = F.hash("text").cast("long") if whole else F.xxhash64("id", "text")
+    no_id = F.col("id").isNull()
+    keyed = rows.select(F.when(no_id, F.xxhash64("text", F.lit(2))).otherwise(first).alias("k1"),
+                        F.when(no_id, F.xxhash64("text", F.lit(3))).otherwise(second).alias("k2"), "id", "text")
+    kind = kind.simpleString()
 
     def word_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Word codes of each text in two planes (low 16 bits, high 8 bits); all ones: not a hot word."""
-        get = known.value.get
-        for b in slices(batches, "text", 1 << 20):
-            out = []
-            for t in b.column("text").to_pylist():
-                w = split_words(t)
-                c = np.fromiter(map(get, w, repeat(0xFFFFFF)), np.uint32, len(w))
-                out.append(c.astype("<u2").tobytes() + (c >> 16).astype("u1").tobytes())
+        """Word codes of each text in two planes (low 16 bits, high 8 bits)."""
+        for b in slices(batches, "text", SLICE):
+            words, off = split_words(b.column("text").to_pylist())
+            code = pc.index_in(words, value_set=known.value).fill_null(RARE).to_numpy()
+            low, high = code.astype("<u2"), (code >> 16).astype("u1")
+            out = [low[i:j].tobytes() + high[i:j].tobytes() for i, j in zip(off[:-1], off[1:])]
             yield pa.RecordBatch.from_arrays([b.column("k1"), b.column("k2"), b.column("id"), pa.array(out, pa.binary())],
                                              names=["k1", "k2", "id", "codes"])
 
     def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot_words = known.value
-        for b in slices(batches, "text", 1 << 20):
-            owner, at, word = [], [], []
-            for k, t in enumerate(b.column("text").to_pylist()):
-                w = split_words(t)
-                here = [i for i, x in enumerate(w) if x not in hot_words]
-                owner += repeat(k, len(here))
-                at += here
-                word += [w[i] for i in here]
-            own = pa.array(owner, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("k1").take(own), b.column("k2").take(own), pa.array(at, pa.int32()),
-                                              pa.array(word, pa.string())], names=["k1", "k2", "at", "word"])
-
-    keys = ["k1", "k2"]  # a row's 128-bit key: equal rows have equal results
+        for b in slices(batches, "text", SLICE):
+            words, off = split_words(b.column("text").to_pylist())
+            spots = np.flatnonzero(pc.index_in(words, value_set=known.value).is_null().to_numpy(zero_copy_only=False))
+            own = np.searchsorted(off, spots, side="right") - 1
+            owner = pa.array(own)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("k1").take(owner), b.column("k2").take(owner), pa.array((spots - off[own]).astype(np.int32)),
+                 words.take(pa.array(spots))], names=["k1", "k2", "at", "word"])
+
+    keys = ["k1", "k2"]
     coded = (keyed.mapInArrow(word_codes, f"k1 long, k2 long, id {kind}, codes binary")
              .groupBy(keys).agg(F.first("id").alias("id"), F.first("codes").alias("codes"), F.count("*").alias("times")))
-    joined = (keyed.select("k1", "k2", "text").mapInArrow(rare_words, "k1 long, k2 long, at int, word string")
-              .join(table.select("word", "ids"), "word")
-              .groupBy(keys).agg(F.collect_list(F.struct("at", "ids")).alias("rare")))
-    whole = coded.join(joined, keys, "left").select("id", "codes", "times", "rare.at", "rare.ids")
+    placed = (keyed.select("k1", "k2", "text").mapInArrow(rare_words, "k1 long, k2 long, at int, word string")
+              .join(table.select("word", "ids"), "word").select("k1", "k2", "at", "ids")
+              .repartition("k1", "k2"))  # plain rows move, they are collected behind the exchange
+    joined = placed.groupBy(keys).agg(F.collect_list(F.struct("at", "ids")).alias("rare"))
+    matched = coded.join(joined, keys, "left").select("id", "codes", "times", "rare.at", "rare.ids")
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, off = hot_ids.value
-        hot_starts, hot_lens = np.append(off[:-1], 0), np.append(np.diff(off), 0)
+        base, base_lens = hot_ids.value
+        base_starts = np.append(np.cumsum(base_lens) - base_lens, 0)
+        base_lens = np.append(base_lens, 0)
         for b in slices(batches, "codes", 1 << 20):
             planes = b.column("codes").to_pylist()
             words = np.array([len(p) // 3 for p in planes])
             code = np.concatenate([np.frombuffer(p, "<u2", n).astype(np.int64)
                                    | (np.frombuffer(p, "u1", n, 2 * n).astype(np.int64) << 16)
                                    for p, n in zip(planes, words)])
-            rare = code == 0xFFFFFF
-            code[rare] = len(off) - 1
-            starts, lens = hot_starts[code], hot_lens[code]
+            rare = code == RARE
+            code[rare] = len(base_lens) - 1
+            starts, sizes = base_starts[code], base_lens[code]
             head = np.cumsum(words) - words
             ats, found = b.column("at"), b.column("ids").flatten()
-            per = np.diff(ats.offsets.to_numpy()) if len(ats) else np.empty(0, np.int64)
-            per = np.where(ats.is_null().to_numpy(zero_copy_only=False), 0, per)
+            per = np.where(ats.is_null().to_numpy(zero_copy_only=False), 0, np.diff(ats.offsets.to_numpy()))
             spots = ats.flatten().to_numpy().astype(np.int64) + np.repeat(head, per)
-            pieces = [np.frombuffer(x, "<u4") for x in found.to_pylist()]
-            size = np.array([len(x) for x in pieces], np.int64)
-            starts[spots], lens[spots] = len(base) + np.cumsum(size) - size, size
+            pieces = found.to_pylist()
+            size = np.array([len(x) // 4 for x in pieces], np.int64)
+            starts[spots], sizes[spots] = len(base) + np.cumsum(size) - size, size
             filled = np.zeros(len(code), bool)
             filled[spots] = True
             if (rare != filled).any():
                 raise ValueError("a word is missing from the word table")
-            ids = spread(np.concatenate([base, *pieces]), starts, lens).astype("<u4").tobytes()
-            ends = np.concatenate([[0], np.cumsum(lens)])[np.concatenate([[0], np.cumsum(words)])]
-            out = [ids[4 * ends[k]:4 * ends[k + 1]] for k in range(len(words))]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("times"), pa.array(np.diff(ends)), pa.array(out, pa.binary())],
+            ids = spread(np.concatenate([base, np.frombuffer(b"".join(pieces), "<u4")]), starts, sizes)
+            ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(words)])]
+            n = np.diff(ends)
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("times"), pa.array(n), id_column(ids, n)],
                                              names=["id", "times", "n_tokens", "ids"])
 
-    done = whole.mapInArrow(assemble, f"id {kind}, times long, n_tokens long, ids binary")
+    done = matched.mapInArrow(assemble, f"id {kind}, times long, n_tokens long, ids binary")
     copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))
     return done.select(F.col("id").alias(id_col), "n_tokens", "ids", copies.alias("copy")).drop("copy")
 

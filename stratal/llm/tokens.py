@@ -65,11 +65,6 @@ class Encoder:
             raise ValueError("the separator token was not kept apart")
         return ids[ids != self.sep_id], np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
 
-    def many(self, strings: list[str]) -> list[np.ndarray]:
-        """Ids of each string."""
-        ids, lens = self.flat(strings)
-        return np.split(ids, np.cumsum(lens)[:-1]) if len(lens) else []
-
 
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
