@@ -12,12 +12,13 @@ ids to their pieces through the vocabulary, a table bounded by the file.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,6 +106,14 @@ def _hot(table: DataFrame, hot: int, hot_chars: int) -> tuple[pa.Array, np.ndarr
     return names, ids, np.concatenate([[0], lens])
 
 
+def _release_shuffles(spark: SparkSession) -> None:
+    """Have the driver drop plans nobody refers to any more: Spark's cleaner
+    then deletes their shuffle files (here those of the word counts, whose
+    table is stored), so they take no disk beside the next shuffles."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT,
                hot_chars: int = HOT_CHARS) -> DataFrame:
     """(id_col, n_tokens, ids) per row of ``docs``; ids as little-endian
@@ -119,9 +128,10 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     """
     kind = docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    spark = docs.sparkSession
     table = materialize(encode_words(count_words(rows), tokenizer_path), "bpe-words")
+    _release_shuffles(spark)
     names, flat, lens = _hot(table, hot, hot_chars)
-    spark = docs.sparkSession
     known = spark.sparkContext.broadcast(names)
     hot_ids = spark.sparkContext.broadcast((flat, lens))
     # a row's key: equal rows have equal results. An integer id with a 32-bit hash of the text; 128 bits of hash without
