@@ -5,9 +5,11 @@ base64). A window of ``window`` characters slides over each candidate;
 its Shannon entropy is kept by incremental counts: with S the sum of
 c * log2(c) over the character counts c, entropy = log2(w) - S / w, and a
 step changes two counts. Overlapping windows at or above the class's threshold
-merge into one span. Candidates on the allow-list (plain words, counters,
-identifiers such as UUIDs, documented examples) are suppressed. Pattern
-matches (assign, access, hex) are always kept.
+merge into one span. The allow-list (words, counters, identifiers such as
+UUIDs, documented sample keys) applies to the parts of a run between
+separators: a window is suppressed if every part it touches is on the list as a
+whole, whatever else the run holds. Pattern matches (assign, access, hex) are
+always kept.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,12 +38,15 @@ CLASSES = [
     ("entropy_base64", re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"), 3.7),
 ]
 WINDOW = 20
+_WORD = r"(?:[A-Z]?[a-z]+|[A-Z]+)"
 ALLOW = [
-    r"[A-Za-z_/=+-]+",  # no digit: words, paths, rules
-    r"[0-9]+",  # counters, dates
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # UUIDs
-    r".*EXAMPLE.*",  # documented sample keys
+    # documented sample keys, as a whole
+    r"AKIA(?:IOSFODNN7|I44QH8DHB)EXAMPLE|wJalrXUtnFEMI/?K7MDENG/?bPxRfiCYEXAMPLEKEY|je7MtGbClwBF/?2Zp9Utk/?h3yCo8nvbEXAMPLEKEY",
+    rf"[_/=+-]*{_WORD}(?:[_/=+-]+{_WORD})*[_/=+-]*",  # words of one case or capitalised, paths of them
+    r"[0-9]+",  # counters, dates
 ]
+SEPARATORS = "_/=+-"
 
 Span = tuple[str, int, int]
 
@@ -59,10 +65,13 @@ def _c_log_c(window: int) -> list[float]:
     return [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
 
 
-def hot_windows(candidate: str, threshold: float, window: int, table: list[float]) -> list[tuple[int, int]]:
-    """Merged spans of the windows of ``candidate`` with entropy >= threshold."""
+def hot_windows(candidate: str, threshold: float, window: int, table: list[float],
+                allowed: list[bool] | None = None) -> list[tuple[int, int]]:
+    """Merged spans of the windows of ``candidate`` with entropy >= threshold
+    that hold a character not ``allowed``."""
     counts: dict[str, int] = {}
     total, spans = 0.0, []
+    bad = -1  # the last character not allowed
     most = (math.log2(window) - threshold) * window + 1e-9  # entropy >= threshold: total <= most
     for at, ch in enumerate(candidate):
         c = counts.get(ch, 0)
@@ -73,7 +82,9 @@ def hot_windows(candidate: str, threshold: float, window: int, table: list[float
             c = counts[old]
             counts[old] = c - 1
             total += table[c - 1] - table[c]
-        if at >= window - 1 and total <= most:
+        if allowed is None or not allowed[at]:
+            bad = at
+        if at >= window - 1 and total <= most and bad > at - window:
             start, end = at - window + 1, at + 1
             if spans and start <= spans[-1][1]:
                 spans[-1] = (spans[-1][0], end)
@@ -82,15 +93,34 @@ def hot_windows(candidate: str, threshold: float, window: int, table: list[float
     return spans
 
 
+def allowed_parts(candidate: str, allow: re.Pattern) -> list[bool]:
+    """For each character of a run: whether it is a separator, or stands in a
+    part, or a chain of parts, that is on the allow-list as a whole."""
+    out = [ch in SEPARATORS for ch in candidate]
+    bounded = _bounded(allow.pattern, allow.flags)
+    for m in bounded.finditer(candidate):
+        out[m.start():m.end()] = [True] * (m.end() - m.start())
+    return out
+
+
+@lru_cache(maxsize=8)
+def _bounded(pattern: str, flags: int) -> re.Pattern:
+    # from the start of a part to the end of one, in the run
+    return re.compile(rf"(?<![^{SEPARATORS}])(?:{pattern})(?![^{SEPARATORS}])", flags)
+
+
 def entropy_spans(text: str, allow: re.Pattern, window: int = WINDOW, classes=None) -> list[Span]:
     found: list[Span] = []
     table = _c_log_c(window)
     for kind, run, threshold in classes or CLASSES:
         for m in run.finditer(text):
             candidate = m.group()
-            if len(candidate) >= window and not allow.fullmatch(candidate):
-                found += [(kind, m.start() + a, m.start() + b)
-                          for a, b in hot_windows(candidate, threshold, window, table)]
+            if len(candidate) < window or allow.fullmatch(candidate):
+                continue
+            hot = hot_windows(candidate, threshold, window, table)
+            if hot:
+                hot = hot_windows(candidate, threshold, window, table, allowed_parts(candidate, allow))
+            found += [(kind, m.start() + a, m.start() + b) for a, b in hot]
     return found
 
 
