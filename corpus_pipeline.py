@@ -9,8 +9,8 @@ through whatever their names are.
 1. language_id: documents without a letter, or whose best language has a
    posterior below one half, go.
 2. near_duplicates: of each group of documents linked by five-word shingles
-   at similarity 0.8 or more, the one with the smallest id stays (of rows that
-   share an id, the one with the smallest text; rows without an id stay).
+   at similarity 0.8 or more, the one with the smallest id stays (of its rows
+   one; rows that share an id go only as copies; rows without an id stay).
 3. secrets: fixed-pattern and high-entropy strings are replaced; n_chars
    follows the text.
 4. mixing: sources are mixed to weights 1, 2, 3, ... repeating; a document
@@ -22,13 +22,12 @@ through whatever their names are.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratal.llm.bpe import bpe_decode, bpe_encode
 from stratal.llm.langid import UNKNOWN, identify_languages, train_on
 from stratal.llm.mixing import mix
-from stratal.llm.near_text import near_duplicate_texts
+from stratal.llm.near_text import drop_near_duplicates
 from stratal.llm.queries import _tokenizer
 from stratal.llm.secrets import redact_secrets
 from stratal.session import scratch_path
@@ -43,12 +42,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = near_duplicate_texts(docs, shingle=5, percent=80).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    rows = docs.select("doc_id", F.col("text").alias("text"), F.struct("*").alias("row"))
-    named = rows.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    first = F.row_number().over(W.partitionBy("doc_id").orderBy("text"))
-    one = named.withColumn("nth", first).where("nth = 1").select("row")
-    return one.unionByName(rows.where("doc_id IS NULL").select("row")).select("row.*")
+    return drop_near_duplicates(docs, shingle=5, percent=80)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,9 @@ rounds cannot lower any), which takes O(coords log coords + size) work and
 keeps the similarity estimate as concentrated as coords independent minima.
 
 Rows of the sketch are hashed in bands. Documents with equal sets collapse
-to their smallest id first, so a group of copies is one row from there on.
+to one class first, so a group of copies is one row from there on. Classes
+are numbered, and the numbers are the nodes of all graphs; the smallest id of
+a class is only an attribute, so texts that share an id stay apart.
 Representatives that share a band are joined into candidate clusters (star
 edges to the band's minimum, connected components). Inside a cluster all
 pairs that share a band and are not linked yet are confirmed on the full
@@ -31,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratal.llm.arrow import groups, list_column, mix64, slices
@@ -103,6 +106,13 @@ def _flat_sets(texts: list[str | None], size: int) -> tuple[list[np.ndarray], np
     return sets, owner, counts
 
 
+def _digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Halves of the 128-bit digest of every set."""
+    both = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
+    return (np.array([x >> 64 for x in both], np.uint64).view(np.int64),
+            np.array([x & (1 << 64) - 1 for x in both], np.uint64).view(np.int64))
+
+
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int, rows: int) -> DataFrame:
     """(id, n, d1, d2, bands): set size, 128-bit digest of the set, band keys."""
 
@@ -111,9 +121,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int,
             sets, owner, counts = _flat_sets(b.column("text").to_pylist(), size)
             flat = np.concatenate(sets) if counts.sum() else np.empty(0, np.uint64)
             keys = _band_hashes(sketch(flat, owner, len(sets), bands * rows), bands, rows)
-            both = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
-            d1 = np.array([x >> 64 for x in both], np.uint64).view(np.int64)
-            d2 = np.array([x & (1 << 64) - 1 for x in both], np.uint64).view(np.int64)
+            d1, d2 = _digests(sets)
             keys = keys[counts > 0]
             offsets = np.concatenate([[0], np.cumsum(np.where(counts > 0, bands, 0))])
             yield pa.RecordBatch.from_arrays(
@@ -130,7 +138,7 @@ def _solve(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups(batches, ["cluster", "lo", "hi"]):
-            ids = t.column("id").to_numpy()
+            ids, reps = t.column("id").to_numpy(), t.column("rep").to_numpy()
             block = t.column("block").to_numpy()
             sets = [np.frombuffer(x, np.uint64) for x in t.column("set").to_pylist()]
             n = np.array([len(s) for s in sets])
@@ -152,48 +160,39 @@ def _solve(percent: int):
                     both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                     if 100 * both >= percent * (n[i] + n[j] - both):
                         forest.join(i, j)
-                        a.append(ids[i])
-                        b.append(ids[j])
+                        a.append(i)
+                        b.append(j)
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (reps[a], ids[a], reps[b], ids[b])],
+                                                 names=["rep_a", "a", "rep_b", "b"])
 
     return run
 
 
-def near_duplicate_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
-                         percent: int = 80, bands: int = BANDS, rows: int = ROWS,
-                         block_docs: int = BLOCK_DOCS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """(id_col, n_shingles, component_id, kept) per row of ``docs``.
-
-    Documents whose shingle sets have 100 * intersection >= percent * union
-    are linked; component_id is the smallest id reachable.
-
-    Defined cases: a null or empty text, or one of white space only, has no
-    shingles and is linked with nothing; a row with a null id is linked with
-    nothing (component_id null) and kept; repeated rows give repeated
-    results; rows that share an id but not their text are judged each by its
-    own text; an empty table gives an empty result. Only the id and text
-    columns are read, so extra columns cannot clash.
-    """
+def _judged(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, bands: int, rows: int,
+            block_docs: int, block_shingles: int) -> DataFrame:
+    """(id, n, component, part, d1, d2) per row: part is a number of the
+    component that no other component has; null where nothing can be linked."""
     sk = materialize(sketches(docs, id_col, text_col, shingle, bands, rows), "near-sketch")
     full = sk.where("n > 0 AND id IS NOT NULL")
     classes = materialize(full.groupBy("d1", "d2").agg(
-        F.min("id").alias("rep"), F.max("n").alias("n"), F.any_value("bands").alias("bands")), "near-classes")
+        F.min("id").alias("rep"), F.max("n").alias("n"), F.any_value("bands").alias("bands"))
+        .withColumn("node", F.monotonically_increasing_id()), "near-classes")
 
     # star edges from the members of every band bucket to its smallest member
-    members = classes.select("rep", F.explode("bands").alias("key"))
-    buckets = materialize(members.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
+    members = classes.select("node", F.explode("bands").alias("key"))
+    buckets = materialize(members.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
                           .where("low < high").select("key", "low"), "near-buckets")
-    stars = members.join(buckets, "key").where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
+    stars = members.join(buckets, "key").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))
     clusters = materialize(components(stars, "near-candidates")
-                           .withColumnRenamed("node", "rep").withColumnRenamed("component", "cluster"), "near-clusters")
+                           .withColumnRenamed("component", "cluster"), "near-clusters")
 
     # full sets only for members of clusters; clusters in blocks of bounded rows and shingles
-    sized = clusters.join(classes.select("rep", "n", "bands", "d1", "d2"), "rep")
+    sized = clusters.join(classes.select("node", "rep", "n", "bands", "d1", "d2"), "node")
     blocks = materialize(sized.groupBy("cluster").agg(F.greatest(
         F.ceil(F.count("*") / F.lit(block_docs)), F.ceil(F.sum("n") / F.lit(block_shingles))).cast("int").alias("nb")),
         "near-blocks")
-    wanted = materialize(sized.join(blocks, "cluster").select("rep", "cluster", "nb", "bands", "d1", "d2"), "near-wanted")
+    wanted = materialize(sized.join(blocks, "cluster").select("rep", "node", "cluster", "nb", "bands", "d1", "d2"), "near-wanted")
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,24 +203,80 @@ def near_duplicate_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str
             want = zip(b.column("d1").to_numpy().view(np.uint64).tolist(), b.column("d2").to_numpy().view(np.uint64).tolist())
             same = pa.array([x == y for x, y in zip(mine, want)], pa.bool_())
             out = pa.RecordBatch.from_arrays(
-                [b.column("rep"), b.column("cluster"), b.column("nb"),
+                [b.column("node"), b.column("rep"), b.column("cluster"), b.column("nb"),
                  pa.array([x.tobytes() for x in sets], pa.binary()),
                  pa.array([np.asarray(x, np.int64).tobytes() for x in b.column("bands").to_pylist()], pa.binary())],
-                names=["id", "cluster", "nb", "set", "bands"])
+                names=["id", "rep", "cluster", "nb", "set", "bands"])
             yield out.filter(same)
 
     sets = (texts.join(wanted, "rep")
-            .mapInArrow(sets_of, "id long, cluster long, nb int, set binary, bands binary"))
+            .mapInArrow(sets_of, "id long, rep long, cluster long, nb int, set binary, bands binary"))
     dealt = (block_pairs(sets, "cluster", "id", "nb").drop("nb")
              .repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi"))
-    links = dealt.mapInArrow(_solve(percent), "a long, b long")
-
-    final = materialize(components(links, "near-links").withColumnRenamed("node", "rep"), "near-components")
-    by_class = classes.select("d1", "d2", "rep").join(final, "rep", "left").select(
-        "d1", "d2", F.coalesce("component", "rep").alias("component"))
+    links = dealt.mapInArrow(_solve(percent), "rep_a long, a long, rep_b long, b long")
+
+    # ordered by the smallest id of the class, so a component's smallest node has its smallest id
+    edges = links.select(F.struct(F.col("rep_a").alias("rep"), F.col("a").alias("node")).alias("a"),
+                         F.struct(F.col("rep_b").alias("rep"), F.col("b").alias("node")).alias("b"))
+    final = materialize(components(edges, "near-links")
+                        .select("node.node", F.col("component.rep").alias("component"), F.col("component.node").alias("part")),
+                        "near-components")
+    by_class = classes.select("d1", "d2", "rep", "node").join(final, "node", "left").select(
+        "d1", "d2", F.coalesce("component", "rep").alias("component"), F.coalesce("part", "node").alias("part"))
     by_class = materialize(by_class, "near-by-class")
-    linked = sk.join(by_class, ["d1", "d2"], "left").select("id", "n", "component", "d1", "d2")
+    linked = sk.join(by_class, ["d1", "d2"], "left").select("id", "n", "component", "part", "d1", "d2")
     none = F.col("id").isNull() | (F.col("n") == 0)
-    return linked.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                         F.when(none, F.col("id")).otherwise(F.col("component")).alias("component_id"),
-                         (none | F.col("id").eqNullSafe(F.col("component"))).alias("kept"))
+    return linked.withColumn("component", F.when(~none, F.col("component"))).withColumn("part", F.when(~none, F.col("part")))
+
+
+def near_duplicate_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
+                         percent: int = 80, bands: int = BANDS, rows: int = ROWS,
+                         block_docs: int = BLOCK_DOCS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """(id_col, n_shingles, component_id, kept) per row of ``docs``.
+
+    Documents whose shingle sets have 100 * intersection >= percent * union
+    are linked; component_id is the smallest id reachable.
+
+    Defined cases: a null or empty text, or one of white space only, has no
+    shingles and is linked with nothing; a row with a null id is linked with
+    nothing (component_id null) and kept; repeated rows give repeated
+    results; rows that share an id but not their text are judged each by its
+    own text; an empty table gives an empty result. Only the id and text
+    columns are read, so extra columns cannot clash.
+    """
+    judged = _judged(docs, id_col, text_col, shingle, percent, bands, rows, block_docs, block_shingles)
+    component = F.coalesce("component", "id")
+    return judged.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
+                         F.col("id").eqNullSafe(component).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
+                         percent: int = 80, bands: int = BANDS, rows: int = ROWS,
+                         block_docs: int = BLOCK_DOCS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """The rows of ``docs``, one per component: the one with the smallest id,
+    of those under that id one shingle set, and of these the smallest text.
+
+    Defined cases: rows that share an id but not their text go only as copies
+    of another row; rows without shingles go only if another row has the same
+    id and none either; rows with a null id all stay.
+    """
+    judged = _judged(docs, id_col, text_col, shingle, percent, bands, rows, block_docs, block_shingles)
+    some = judged.where("id IS NOT NULL")
+    best = F.min(F.struct("id", "d1", "d2")).alias("best")
+    firsts = (some.where("n > 0").groupBy("part").agg(best).select("best.*")
+              .unionByName(some.where("n = 0").select("id", "d1", "d2").distinct()))
+    firsts = materialize(firsts, "near-firsts")
+
+    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            d1, d2 = _digests([shingle_hashes(t, shingle) for t in b.column("text").to_pylist()])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("id", "text", "row")), pa.array(d1), pa.array(d2)],
+                                             names=["id", "text", "row", "d1", "d2"])
+
+    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.struct("*").alias("row"))
+    named = plain.where("id IS NOT NULL").join(firsts.select("id").distinct(), "id", "left_semi")
+    schema = ", ".join(f"{n} {t}" for n, t in plain.dtypes) + ", d1 long, d2 long"
+    copies = named.mapInArrow(classed, schema).join(firsts, ["id", "d1", "d2"], "left_semi")
+    nth = F.row_number().over(W.partitionBy("id", "d1", "d2").orderBy("text"))
+    one = copies.withColumn("nth", nth).where("nth = 1").select("row")
+    return one.unionByName(plain.where("id IS NULL").select("row")).select("row.*")

@@ -1,7 +1,8 @@
 """Near-duplicate vectors: Euclidean p-stable hashing, exact cosine check.
 
 Method. Vectors are normalised in double precision; equal vectors of a label
-collapse to one weighted representative. Each of ``tables`` hash tables
+collapse to one weighted, numbered representative (``rep``); its smallest id
+is only an attribute, so vectors that share an id stay apart. Each of ``tables`` hash tables
 quantises ``width`` Gaussian projections, floor((a . x + b) / step), and a
 vector's bucket is its label, its dimension and the quantised tuple. Gaussian
 projections are 2-stable, so the collision probability depends only on the
@@ -88,13 +89,13 @@ def _keys(tables: int, width: int, step: float, seed: int):
 
 def _solve(threshold: float):
     """Per block pair: kind 0 rows (a = vector, b = weight of its links here)
-    and kind 1 rows (a, b = an edge of the spanning forest)."""
+    and kind 1 rows (a, b = an edge of the spanning forest, with smallest ids)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups(batches, ["key", "lo", "hi"]):
             t = t.combine_chunks()
             key, lo, hi = (t.column(c)[0].as_py() for c in ("key", "lo", "hi"))
-            rep, block, weight = (t.column(c).to_numpy() for c in ("rep", "block", "weight"))
+            rep, block, weight, low = (t.column(c).to_numpy() for c in ("rep", "block", "weight", "low"))
             keys = np.stack([np.asarray(x, np.int64) for x in t.column("keys").to_pylist()])
             vecs = t.column("vec").to_pylist()
             dims = {len(v) for v in vecs}
@@ -130,13 +131,15 @@ def _solve(threshold: float):
             forest, a, b = Forest(len(rep)), [], []
             for i, j in zip(left[ii], right[jj]):
                 if forest.join(int(i), int(j)):
-                    a.append(rep[i])
-                    b.append(rep[j])
+                    a.append(i)
+                    b.append(j)
             some = np.flatnonzero(out)
             kind = np.concatenate([np.zeros(len(some), np.int32), np.ones(len(a), np.int32)])
+            none = np.zeros(len(some), np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(kind), pa.array(np.concatenate([rep[some], np.array(a, np.int64)])),
-                 pa.array(np.concatenate([out[some], np.array(b, np.int64)]))], names=["kind", "a", "b"])
+                [pa.array(kind), *(pa.array(np.concatenate(x)) for x in (
+                    (rep[some], rep[a]), (out[some], rep[b]), (none, low[a]), (none, low[b])))],
+                names=["kind", "a", "b", "low_a", "low_b"])
 
     return run
 
@@ -164,8 +167,8 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col:
     rows = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))
     good = rows.where("usable")
     # equal vectors of a label: one weighted representative
-    classes = materialize(good.groupBy("label", "vec").agg(F.min("id").alias("rep"), F.count("*").alias("weight")),
-                          "vec-classes")
+    classes = materialize(good.groupBy("label", "vec").agg(F.min("id").alias("low"), F.count("*").alias("weight"))
+                          .withColumn("rep", F.monotonically_increasing_id()), "vec-classes")
     keyed = materialize(classes.select("rep", "label", "vec").mapInArrow(_keys(tables, width, step, seed),
                                                                          "rep long, keys array<long>"), "vec-keys")
     spots = keyed.select("rep", F.explode("keys").alias("key"))
@@ -175,13 +178,16 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col:
     dealt = (block_pairs(members, "key", "rep", "nb").drop("nb")
              .join(classes, "rep").join(keyed, "rep")
              .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi"))
-    found = materialize(dealt.mapInArrow(_solve(threshold), "kind int, a long, b long"), "vec-found")
+    found = materialize(dealt.mapInArrow(_solve(threshold), "kind int, a long, b long, low_a long, low_b long"), "vec-found")
     counts = found.where("kind = 0").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("linked"))
-    comp = components(found.where("kind = 1").select("a", "b"), "vec-links")
+    # ordered by the smallest id of the class, so a component's smallest node has its smallest id
+    edges = found.where("kind = 1").select(F.struct(F.col("low_a").alias("low"), F.col("a").alias("rep")).alias("a"),
+                                           F.struct(F.col("low_b").alias("low"), F.col("b").alias("rep")).alias("b"))
+    comp = components(edges, "vec-links").select("node.rep", F.col("component.low").alias("component"))
     solved = materialize(classes.join(counts, "rep", "left")
-                         .join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+                         .join(comp, "rep", "left")
                          .select("label", "vec", (F.coalesce("linked", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-                                 F.coalesce("component", "rep").alias("component")), "vec-solved")
+                                 F.coalesce("component", "low").alias("component")), "vec-solved")
     out = rows.join(solved.withColumn("usable", F.lit(True)), ["label", "vec", "usable"], "left")
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       F.coalesce("component", "id").alias("component_id"),

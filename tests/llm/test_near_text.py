@@ -114,3 +114,13 @@ def test_sketch_estimates_similarity():
 def test_shingle_hash_is_distinct_and_sorted():
     h = shingle_hashes("a b c a b c a", 3)
     assert len(h) == 3 and (np.diff(h.astype(object)) > 0).all()
+
+
+def test_texts_that_share_an_id_stay_apart(spark):
+    a = " ".join(f"a{i}" for i in range(60))
+    b = " ".join(f"b{i}" for i in range(60))
+    near = b + " b60"
+    rows = [(3, near), (5, a), (5, b), (7, "c " + a.replace("a", "c")), (7, "d " + a.replace("a", "d"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicate_texts(df).collect())
+    assert got == [(3, 3, True), (5, 3, False), (5, 5, True), (7, 7, True), (7, 7, True)]

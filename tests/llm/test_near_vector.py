@@ -71,3 +71,11 @@ def test_hand_made_cases(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert near_duplicate_vectors(df).collect() == []
+
+
+def test_vectors_that_share_an_id_stay_apart(spark):
+    u, v, w = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    near = [0.0, 1.0, 0.05]
+    got = check(spark, [(3, near, 1), (5, u, 1), (5, v, 1), (6, w, 1), (6, u, 2), (6, u, 1), (8, v, 2)])
+    by = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got)
+    assert by == [(3, 1, 3), (5, 1, 3), (5, 1, 5), (6, 0, 6), (6, 0, 6), (6, 1, 5), (8, 0, 8)]

@@ -92,3 +92,12 @@ def test_hand_made_rows_and_clashing_columns(spark, rows):
     last = P.bpe(spark, docs, SF)
     assert last.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"]
     assert last.count() == docs.count()
+
+
+def test_only_copies_go_under_a_shared_id(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(3, b + " b60"), (5, a), (5, b), (7, "other words under one more id"), (7, "and these are not the same"),
+            (7, "and these are not the same"), (8, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in P.near_duplicates(spark, docs, SF).collect())
+    assert got == sorted([rows[0], rows[1], rows[3], rows[4]])
