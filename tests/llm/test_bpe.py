@@ -56,3 +56,11 @@ def test_odd_texts_against_the_library(spark, library, hot):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert bpe_decode(bpe_encode(df, PATH), PATH).collect() == []
+
+
+def test_readme_states_the_bound_of_hot_words():
+    from pathlib import Path
+
+    from stratal.llm.bpe import HOT
+
+    assert f"op5 at most {HOT:,} words" in (Path(__file__).parents[2] / "README.md").read_text()
