@@ -11,7 +11,49 @@ _BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFG
          (CAST('0x' || substr(hex, CAST(1 + 10 * (i // 8) AS BIGINT), 10) AS BIGINT) >> CAST(35 - 5 * (i % 8) AS BIGINT)) & 31
          AS BIGINT), 1)), '')"""
 
+
+
+def _vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Rounds of assignment and floored means, unrolled."""
+    steps = [f"""
+whole AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cell AS (
+  SELECT vec_id, part, list_slice(v, part * (len(v) // {parts}) + 1, (part + 1) * (len(v) // {parts})) AS p
+  FROM whole, (SELECT unnest(range({parts})) AS part)),
+book0 AS (
+  SELECT part, entry, p AS e FROM cell
+  JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM whole) USING (vec_id) WHERE entry < {entries})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS (
+  SELECT vec_id, part, min_by(entry, (d, entry)) AS entry, min(d) AS d
+  FROM (SELECT vec_id, c.part, entry,
+               CAST(list_sum(list_transform(list_zip(p, e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+        FROM cell c JOIN book{r} b ON b.part = c.part)
+  GROUP BY vec_id, part)""")
+        if r < rounds:
+            steps.append(f"""
+mean{r} AS (
+  SELECT part, entry, list(m ORDER BY k) AS e
+  FROM (SELECT part, entry, k, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m
+        FROM (SELECT part, entry, unnest(p) AS x, generate_subscripts(p, 1) AS k
+              FROM near{r} JOIN cell USING (vec_id, part)) GROUP BY part, entry, k) GROUP BY part, entry),
+book{r + 1} AS (
+  SELECT part, entry, coalesce(m.e, b.e) AS e FROM book{r} b LEFT JOIN mean{r} m USING (part, entry))""")
+    return "WITH " + ",".join(steps) + f""",
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY vec_id),
+digest AS (
+  SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN whole USING (vec_id), digest"""
+
+
 ORACLE: dict[str, str] = {
+    "op12_vector_codes": _vector_codes(),
     "op1_warc": f"""
 WITH payload AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 kept AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS hex, max(page_id) OVER (PARTITION BY body) AS keeper

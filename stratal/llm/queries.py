@@ -13,6 +13,7 @@ from stratal.llm.mixing import mix
 from stratal.llm.near_text import near_duplicate_texts
 from stratal.llm.near_vector import near_duplicate_vectors
 from stratal.llm.secrets import scan_secrets
+from stratal.llm.vector_codes import books_text, compress_vectors
 from stratal.llm.voronoi import top_k
 from stratal.llm.warc import assemble_captures, read_records, write_captures
 from stratal.session import materialize, scratch_path
@@ -101,5 +102,12 @@ def op10_mix(spark, sf_dir):
     return mix(_table(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark, sf_dir):
+    coded, books = compress_vectors(_table(spark, sf_dir, "embeddings"))
+    digits = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return coded.select("vec_id", digits.alias("code"), "error", "label_error",
+                        F.sha2(F.lit(books_text(books)), 256).alias("codebooks_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_warc, op2_secrets, op3_token_files, op4_near_text, op5_bpe, op6_language,
-                                   op7_licenses, op8_near_vector, op9_top_k, op10_mix)}
+                                   op7_licenses, op8_near_vector, op9_top_k, op10_mix, op12_vector_codes)}
