@@ -54,6 +54,39 @@ FROM coded JOIN whole USING (vec_id), digest"""
 
 ORACLE: dict[str, str] = {
     "op12_vector_codes": _vector_codes(),
+    # CRC-32 byte by byte through its table; near words share the text left when one code point goes
+    "op13_spelling": r"""
+WITH RECURSIVE bits AS (SELECT range AS b, CAST(range AS BIGINT) AS c, 0 AS k FROM range(256) UNION ALL
+  SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM bits WHERE k = 8),
+run AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz') AS r FROM documents),
+times AS (SELECT doc_id, r, count(*) AS n FROM run WHERE length(r) >= 5 GROUP BY doc_id, r),
+hashed AS (
+  SELECT r, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+           string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || r, ''),
+           lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] ELSE [195, CAST(ord(c) - 64 AS BIGINT)] END))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM times, crc),
+result AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(r, 1, CAST(h % length(r) AS BIGINT)) || substr(r, CAST(h % length(r) + 2 AS BIGINT))
+              ELSE r END AS word, n FROM hashed),
+word AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM result WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (
+  SELECT word, n, k, substr(word, 1, k - 1) || substr(word, k + 1) AS d
+  FROM (SELECT word, n, CAST(unnest(range(1, length(word) + 1)) AS BIGINT) AS k FROM word)),
+pair AS (
+  SELECT a.word AS w, b.word AS v, b.n AS m FROM cut a JOIN cut b ON a.d = b.d AND a.k = b.k AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN word w ON w.word = c.d
+  UNION SELECT w.word, c.word, c.n FROM cut c JOIN word w ON w.word = c.d),
+best AS (SELECT w, count(*) AS n_near, max(m) AS top, arg_min(v, (-m, v)) AS v FROM pair GROUP BY w),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * n THEN v END AS form,
+         CASE WHEN top >= 2 * n THEN top END AS form_n FROM word LEFT JOIN best ON w = word),
+chain AS (
+  SELECT word, word AS stop, form AS onward FROM formed
+  UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON f.word = c.onward)
+SELECT word, form, stop AS root, n, n_near, form_n FROM formed JOIN chain USING (word) WHERE onward IS NULL""",
     "op1_warc": f"""
 WITH payload AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 kept AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS hex, max(page_id) OVER (PARTITION BY body) AS keeper

@@ -13,6 +13,7 @@ from stratal.llm.mixing import mix
 from stratal.llm.near_text import near_duplicate_texts
 from stratal.llm.near_vector import near_duplicate_vectors
 from stratal.llm.secrets import scan_secrets
+from stratal.llm.spelling import count_words, spelling_variants
 from stratal.llm.vector_codes import books_text, compress_vectors
 from stratal.llm.voronoi import top_k
 from stratal.llm.warc import assemble_captures, read_records, write_captures
@@ -109,5 +110,10 @@ def op12_vector_codes(spark, sf_dir):
                         F.sha2(F.lit(books_text(books)), 256).alias("codebooks_sha256"))
 
 
+def op13_spelling(spark, sf_dir):
+    return spelling_variants(count_words(_table(spark, sf_dir, "documents"), thin=97))
+
+
 QUERIES = {f.__name__: f for f in (op1_warc, op2_secrets, op3_token_files, op4_near_text, op5_bpe, op6_language,
-                                   op7_licenses, op8_near_vector, op9_top_k, op10_mix, op12_vector_codes)}
+                                   op7_licenses, op8_near_vector, op9_top_k, op10_mix, op12_vector_codes,
+                                   op13_spelling)}
