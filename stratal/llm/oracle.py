@@ -2,7 +2,7 @@
 
 The others have none: op2 (positions of matches, entropy windows), op3 and
 op5 (tokenizers), op4 (a similarity join over all pairs is too slow as SQL),
-op6 (a trained model), op7 (compression) and op10 (a hashed shuffle). Their
+op6 (a trained model), op7 and op11 (compression) and op10 (a hashed shuffle). Their
 tests compare with brute force.
 """
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratal.llm import toxicity
 from stratal.llm.bpe import bpe_decode, bpe_encode
 from stratal.llm.huffman import token_round_trip
 from stratal.llm.langid import held_out, identify_languages, train_on
@@ -103,6 +104,13 @@ def op10_mix(spark, sf_dir):
     return mix(_table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score_toxicity(docs, toxicity.train_on(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_windows", "n_gaining", "gain")
+
+
 def op12_vector_codes(spark, sf_dir):
     coded, books = compress_vectors(_table(spark, sf_dir, "embeddings"))
     digits = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
@@ -115,5 +123,5 @@ def op13_spelling(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_warc, op2_secrets, op3_token_files, op4_near_text, op5_bpe, op6_language,
-                                   op7_licenses, op8_near_vector, op9_top_k, op10_mix, op12_vector_codes,
-                                   op13_spelling)}
+                                   op7_licenses, op8_near_vector, op9_top_k, op10_mix, op11_toxicity,
+                                   op12_vector_codes, op13_spelling)}
