@@ -38,7 +38,7 @@ CLASSES = [
     ("entropy_base64", re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"), 3.7),
 ]
 WINDOW = 20
-_WORD = r"(?:[A-Z]?[a-z]+|[A-Z]+)"
+_WORD = r"(?:[A-Z]?[a-z]{1,24}|[A-Z]{1,24})"  # longer than any word: a letters-only token
 ALLOW = [
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # UUIDs
     # documented sample keys, as a whole
@@ -74,14 +74,14 @@ def hot_windows(candidate: str, threshold: float, window: int, table: list[float
     bad = -1  # the last character not allowed
     most = (math.log2(window) - threshold) * window + 1e-9  # entropy >= threshold: total <= most
     for at, ch in enumerate(candidate):
-        c = counts.get(ch, 0)
-        counts[ch] = c + 1
-        total += table[c + 1] - table[c]
-        if at >= window:
+        if at >= window:  # leaves before the next enters: never more than ``window`` are counted
             old = candidate[at - window]
             c = counts[old]
             counts[old] = c - 1
             total += table[c - 1] - table[c]
+        c = counts.get(ch, 0)
+        counts[ch] = c + 1
+        total += table[c + 1] - table[c]
         if allowed is None or not allowed[at]:
             bad = at
         if at >= window - 1 and total <= most and bad > at - window:
@@ -105,8 +105,9 @@ def allowed_parts(candidate: str, allow: re.Pattern) -> list[bool]:
 
 @lru_cache(maxsize=8)
 def _bounded(pattern: str, flags: int) -> re.Pattern:
-    # from the start of a part to the end of one, in the run
-    return re.compile(rf"(?<![^{SEPARATORS}])(?:{pattern})(?![^{SEPARATORS}])", flags)
+    # from the first character of a part to the end of one, in the run; separators before it need no
+    # match (they are allowed), and trying at each of them would read a long row of separators again and again
+    return re.compile(rf"(?<![^{SEPARATORS}])(?=[^{SEPARATORS}])(?:{pattern})(?![^{SEPARATORS}])", flags)
 
 
 def entropy_spans(text: str, allow: re.Pattern, window: int = WINDOW, classes=None) -> list[Span]:

@@ -120,3 +120,76 @@ def test_allowed_parts_of_a_run_stay_unmarked():
     got = marked(f"{words}={token}")
     assert min(got) >= len(words) + 2 - WINDOW  # no window of words alone
     assert set(range(len(words) + 1, len(words) + 1 + len(token))) <= got
+
+
+REPEATED = ["-", "=", "_", "/", "+", "a", "F", "Z", "0", "9", "é", " "]
+
+
+def test_runs_of_one_character():
+    allow = compile_allow(ALLOW)
+    for ch in REPEATED:
+        for n in (19, 20, 21, 22, 40, 100_000):
+            for tail in ("", "1", "Zk9" * 12):
+                text = ch * n + tail
+                assert sorted({(k, p) for k, s, e in scan_text(text, allow) if k.startswith("entropy") for p in range(s, e)}
+                              if n < 1000 else []) == sorted(by_definition(text) if n < 1000 else [])
+                assert isinstance(redact_text(text, allow, "[SECRET]"), str)
+
+
+def by_definition(text):
+    """Brute force with the allow-list applied to parts: every window counted anew."""
+    allow = compile_allow(ALLOW)
+    out = set()
+    for kind, run, threshold in CLASSES:
+        for m in re.finditer(run.pattern, text):
+            word = m[0]
+            if allow.fullmatch(word):
+                continue
+            fine = [c in "_/=+-" for c in word]
+            starts = [i for i in range(len(word)) if i == 0 or word[i - 1] in "_/=+-"]
+            ends = [i for i in range(1, len(word) + 1) if i == len(word) or word[i] in "_/=+-"]
+            for a in starts:
+                for b in ends:
+                    if a < b and word[a] not in "_/=+-" and allow.fullmatch(word[a:b]):
+                        fine[a:b] = [True] * (b - a)
+            for i in range(len(word) - WINDOW + 1):
+                if entropy(word[i:i + WINDOW]) >= threshold - 1e-9 and not all(fine[i:i + WINDOW]):
+                    out |= {(kind, m.start() + p) for p in range(i, i + WINDOW)}
+    return out
+
+
+def test_random_texts_with_long_repeats_equal_brute_force():
+    rng = random.Random(11)
+    allow = compile_allow(ALLOW)
+    for _ in range(300):
+        text = "".join(rng.choice(["-", "=", "a", "F", "0", "xyz", "Word", "9f", "qK7", "/", "_", " ", "é"]) * rng.choice([1, 1, 2, 21, 30])
+                       for _ in range(rng.randrange(1, 14)))
+        got = {(k, p) for k, s, e in scan_text(text, allow) if k.startswith("entropy") for p in range(s, e)}
+        assert got == by_definition(text), text
+
+
+def test_long_rows_of_separators_take_linear_time():
+    import time
+
+    allow = compile_allow(ALLOW)
+    key = "".join(random.Random(2).choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMN23456789") for _ in range(40))
+    start = time.process_time()
+    spans = scan_text("=-_/" * 25_000 + key, allow)
+    assert time.process_time() - start < 1.5
+    assert spans and spans[-1][2] == 100_000 + len(key)
+
+
+def test_long_tokens_of_letters_only_are_found():
+    allow = compile_allow(ALLOW)
+    rng = random.Random(3)
+    for alphabet in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        token = "".join(rng.choice(alphabet) for _ in range(40))
+        assert scan_text(f"see {token} there", allow)
+    assert not scan_text("donaudampfschifffahrt/Unternehmensbeteiligung", allow)
+
+
+def test_repeats_through_the_operator(spark):
+    rows = [(k, ch * n) for k, (ch, n) in enumerate((c, n) for c in REPEATED for n in (21, 100_000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert scan_secrets(docs).count() == len(rows)
+    assert redact_secrets(docs).count() == len(rows)
