@@ -12,15 +12,13 @@ ids to their pieces through the vocabulary, a table bounded by the file.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stratal.llm.arrow import slices
 from stratal.llm.tokens import encoder, id_column, spread
@@ -29,6 +27,7 @@ from stratal.session import materialize
 HOT = 1 << 20  # words sent to all tasks
 HOT_CHARS = 1 << 24  # and their characters in sum, at most
 SLICE = 4 << 20  # bytes of text a task works on at a time
+SEEN = 1 << 18  # row keys a task remembers
 RARE = 0xFFFFFF  # code of a word that is not hot
 
 
@@ -106,14 +105,6 @@ def _hot(table: DataFrame, hot: int, hot_chars: int) -> tuple[pa.Array, np.ndarr
     return names, ids, np.concatenate([[0], lens])
 
 
-def _release_shuffles(spark: SparkSession) -> None:
-    """Have the driver drop plans nobody refers to any more: Spark's cleaner
-    then deletes their shuffle files (here those of the word counts, whose
-    table is stored), so they take no disk beside the next shuffles."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT,
                hot_chars: int = HOT_CHARS) -> DataFrame:
     """(id_col, n_tokens, ids) per row of ``docs``; ids as little-endian
@@ -130,17 +121,12 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     spark = docs.sparkSession
     table = materialize(encode_words(count_words(rows), tokenizer_path), "bpe-words")
-    _release_shuffles(spark)
     names, flat, lens = _hot(table, hot, hot_chars)
     known = spark.sparkContext.broadcast(names)
     hot_ids = spark.sparkContext.broadcast((flat, lens))
-    # a row's key: equal rows have equal results. An integer id with a 32-bit hash of the text; 128 bits of hash without
-    whole = isinstance(kind, T.IntegralType)
-    first = F.col("id").cast("long") if whole else F.xxhash64("id", F.lit(1))
-    second = F.hash("text").cast("long") if whole else F.xxhash64("id", "text")
-    no_id = F.col("id").isNull()
-    keyed = rows.select(F.when(no_id, F.xxhash64("text", F.lit(2))).otherwise(first).alias("k1"),
-                        F.when(no_id, F.xxhash64("text", F.lit(3))).otherwise(second).alias("k2"), "id", "text")
+    # a row's key: 128 bits of hash over id and text (the literals come first, so that the halves are independent)
+    keyed = rows.select(F.xxhash64(F.lit(1), "id", "text").alias("k1"), F.xxhash64(F.lit(2), "text", "id").alias("k2"),
+                        "id", "text")
     kind = kind.simpleString()
 
     def word_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +140,16 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
                                              names=["k1", "k2", "id", "codes"])
 
     def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()  # equal rows of a task hand over their words once
         for b in slices(batches, "text", SLICE):
+            keys = list(zip(b.column("k1").to_pylist(), b.column("k2").to_pylist()))
+            fresh = [k not in seen and not seen.add(k) for k in keys]
+            if not all(fresh):
+                b = b.filter(pa.array(fresh))
+            if len(seen) > SEEN:
+                seen.clear()
+            if not b.num_rows:
+                continue
             words, off = split_words(b.column("text").to_pylist())
             spots = np.flatnonzero(pc.index_in(words, value_set=known.value).is_null().to_numpy(zero_copy_only=False))
             own = np.searchsorted(off, spots, side="right") - 1
@@ -168,7 +163,8 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
              .groupBy(keys).agg(F.first("id").alias("id"), F.first("codes").alias("codes"), F.count("*").alias("times")))
     placed = (keyed.select("k1", "k2", "text").mapInArrow(rare_words, "k1 long, k2 long, at int, word string")
               .join(table.select("word", "ids"), "word").select("k1", "k2", "at", "ids")
-              .repartition("k1", "k2"))  # plain rows move, they are collected behind the exchange
+              .repartition("k1", "k2")  # plain rows move, they are collected behind the exchange
+              .dropDuplicates(["k1", "k2", "at"]))  # of equal rows; inside the partition
     joined = placed.groupBy(keys).agg(F.collect_list(F.struct("at", "ids")).alias("rare"))
     matched = coded.join(joined, keys, "left").select("id", "codes", "times", "rare.at", "rare.ids")
 

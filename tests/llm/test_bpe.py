@@ -58,9 +58,19 @@ def test_empty_table(spark):
     assert bpe_decode(bpe_encode(df, PATH), PATH).collect() == []
 
 
-def test_readme_states_the_bound_of_hot_words():
-    from pathlib import Path
-
-    from stratal.llm.bpe import HOT
-
-    assert f"op5 at most {HOT:,} words" in (Path(__file__).parents[2] / "README.md").read_text()
+def test_texts_with_equal_32_bit_hashes_under_one_id(spark, library):
+    texts = ["word81550 end", "word145132 end", "word81550 end", "other words here"]
+    rows = [(1, t) for t in texts] + [(None, t) for t in texts] * 2
+    for hot in (0, 1 << 18):
+        got = bpe_encode(spark.createDataFrame(rows, "doc_id long, text string"), PATH, hot=hot).collect()
+        have = sorted((r["doc_id"] or 0, np.frombuffer(bytes(r["ids"]), "<u4").tolist()) for r in got)
+        assert have == sorted((i or 0, library.encode(t, add_special_tokens=False).ids) for i, t in rows)
+
+
+def test_many_equal_rows(spark, library):
+    """Copies hand over their rare words once, and come back as often as they are."""
+    text = " ".join(f"rare{k}" for k in range(300))
+    docs = spark.range(4000).selectExpr("CAST(NULL AS bigint) AS doc_id", f"'{text}' AS text").repartition(8)
+    got = bpe_encode(docs, PATH, hot=0)
+    ids = library.encode(text, add_special_tokens=False).ids
+    assert got.groupBy("ids").count().collect() == [(np.array(ids, "<u4").tobytes(), 4000)]
