@@ -33,11 +33,11 @@ from pyspark.sql import functions as F
 from stratal.llm.arrow import slices
 from stratal.llm.langid import held_out
 
-WORDS, STEP = 4, 2  # words of a window, words from one window to the next
+WORDS, STEP = 5, 3  # words of a window, words from one window to the next
 WORD_BYTES = 48  # longer words are cut into several
 BASE, OWN = 1 << 16, 1 << 12  # bytes of the common base and of each class's own part
 LEVEL = 12
-SEGMENT = 16  # length of the pieces a dictionary is made of
+SEGMENT = 12  # length of the pieces a dictionary is made of
 SHARE = 0.2  # of the windows, those the base compresses worst
 KEEP = 3  # bytes of gain that keep a window for the second round
 SPAN = 10  # gains beyond this count as this
@@ -50,7 +50,8 @@ def windows(text: str | None) -> list[bytes]:
     words = (text or "").encode().split()
     if words and max(map(len, words)) > WORD_BYTES:
         words = PIECE.findall((text or "").encode())
-    return [b" " + b" ".join(words[i:i + WORDS]) + b" " for i in range(0, max(1, len(words) - STEP) if words else 0, STEP)]
+    starts = range(0, max(1, len(words) - (WORDS - STEP)) if words else 0, STEP)
+    return [b" " + b" ".join(words[i:i + WORDS]) + b" " for i in starts]
 
 
 class Sizes:
