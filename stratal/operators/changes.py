@@ -10,11 +10,13 @@ keys that vanished drop out of it.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratal.session import glob_paths, qualified, remove_path
+from stratal.sources.tables import table_files
 
 NEW, CHANGED, UNCHANGED, DELETED = "new", "changed", "unchanged", "deleted"
 
@@ -88,25 +90,27 @@ def detect_changes(current: DataFrame, previous: DataFrame, include_deleted: boo
     return out
 
 
-def save_manifest(manifest: DataFrame, target: str, buckets: int | None = None) -> None:
+def save_manifest(manifest: DataFrame, target: str, buckets: int | None = None, location: str | None = None) -> None:
     """Replace the saved manifest with ``manifest`` (a refresh, not a merge).
 
-    ``target`` is a path, or with ``buckets`` a catalog table bucketed and
-    sorted by key: the next run's ``detect_changes`` then reads the saved
-    side already hash-partitioned by key and shuffles only the current set.
+    ``target`` is a path, or with ``buckets`` a catalog name: the manifest is
+    then a table bucketed and sorted by key, so the next run's
+    ``detect_changes`` reads the saved side already hash-partitioned by key
+    and shuffles only the current set.
     Call it only after the work on the changed items succeeded.
 
-    The old manifest stays until the new one is complete: a path holds
-    numbered versions, of which readers take the newest finished one, and the
-    version before it is kept; a table is written beside the old one and
-    renamed.
+    The old manifest stays until the new one is complete. A path holds
+    numbered versions, of which readers take the newest finished one. A
+    catalog name is a view over numbered tables: a new table is written
+    whole, then the view is replaced in one catalog operation; a run that
+    breaks off anywhere leaves a view, or at first save a table, that is
+    complete. The version before the newest is kept. ``location`` is the
+    folder of the numbered tables (default: the warehouse).
     """
     spark = manifest.sparkSession
     writer = manifest.select("key", "hash").write.mode("overwrite").format("parquet")
     if buckets:
-        writer.bucketBy(buckets, "key").sortBy("key").saveAsTable(target + _NEXT)
-        spark.sql(f"DROP TABLE IF EXISTS {target}")
-        spark.sql(f"ALTER TABLE {target + _NEXT} RENAME TO {target}")
+        _save_table(spark, writer.bucketBy(buckets, "key").sortBy("key"), target, location)
         return
     numbers = _versions(spark, target)
     new = max(numbers, default=0) + 1
@@ -116,7 +120,59 @@ def save_manifest(manifest: DataFrame, target: str, buckets: int | None = None)
             remove_path(spark, _version_path(target, old))
 
 
+def _save_table(spark: SparkSession, writer, target: str, location: str | None) -> None:
+    _adopt(spark, target)
+    tables = _numbered(spark, target)
+    number = max((n for n, _ in tables), default=0) + 1
+    # a name of its own: what a run that broke off left in the store cannot be in the way
+    name = f"{target}{_MARK}{number:010d}_{uuid.uuid4().hex[:8]}"
+    if location:
+        writer = writer.option("path", f"{location.rstrip('/')}/{name.rsplit('.', 1)[-1]}")
+    writer.saveAsTable(name)  # the catalog gets the entry only after all data is written
+    spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT * FROM {name}")
+    for n, old in tables:
+        if n < number - 1:
+            _drop(spark, old)
+
+
+def drop_manifest(spark: SparkSession, target: str) -> None:
+    """Remove a manifest kept in the catalog: its view and all its tables."""
+    _adopt(spark, target)
+    spark.sql(f"DROP VIEW IF EXISTS {target}")
+    for _, name in _numbered(spark, target):
+        _drop(spark, name)
+
+
+def _drop(spark: SparkSession, name: str) -> None:
+    """Drop a numbered table and its files (a given location is not removed with the table)."""
+    place = table_files(spark, name).location
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    remove_path(spark, place)
+
+
+def _adopt(spark: SparkSession, target: str) -> None:
+    """A manifest saved as a plain table becomes number 0 of the numbered ones."""
+    for name in (target, target + _NEXT):
+        if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+            spark.sql(f"ALTER TABLE {name} RENAME TO {target}{_MARK}{0:010d}_{uuid.uuid4().hex[:8]}")
+            return
+
+
+def _numbered(spark: SparkSession, target: str) -> list[tuple[int, str]]:
+    """(number, name) of the complete numbered tables of a catalog name, ascending."""
+    database, _, plain = target.rpartition(".")
+    prefix = f"{plain}{_MARK}".lower()
+    scope = f" IN {database}" if database else ""
+    found = []
+    for r in spark.sql(f"SHOW TABLES{scope} LIKE '{prefix}*'").collect():
+        match = re.fullmatch(re.escape(prefix) + r"(\d+)_[0-9a-f]+", r["tableName"])
+        if match:
+            found.append((int(match[1]), f"{database}.{r['tableName']}" if database else r["tableName"]))
+    return sorted(found)
+
+
 _NEXT = "__next"
+_MARK = "__v"
 
 
 def _version_path(target: str, number: int) -> str:
@@ -136,9 +192,13 @@ def load_manifest(spark: SparkSession, target: str, bucketed: bool = False, key_
     so a first comparison finds everything new.
     """
     if bucketed:
-        for name in (target, target + _NEXT):  # the second after a crash between drop and rename
-            if spark.catalog.tableExists(name):
-                return spark.table(name)
+        if spark.catalog.tableExists(target):
+            return spark.table(target)
+        # no view yet: a first save, or the move of a plain table, broke off behind a complete table
+        for _, name in reversed(_numbered(spark, target)):
+            return spark.table(name)
+        if spark.catalog.tableExists(target + _NEXT):
+            return spark.table(target + _NEXT)
     elif numbers := _versions(spark, target):
         return spark.read.parquet(_version_path(target, numbers[-1]))  # Parquet keeps the key's type
     return spark.createDataFrame([], f"key {key_type}, hash string")

@@ -23,6 +23,7 @@ from stratal.plans.jobs import FamilyParams, land_incremental, land_table, run_f
 from stratal.plans.presets import article_mapping, source_family_params
 from stratal.session import shared_checkpoint_dir
 from stratal.sinks.writers import jdbc_options
+from stratal.sources.tables import is_table_name
 
 FAMILY_TABLES = ("d_prod", "d_marca", "d_tamano", "d_tipo_empaque", "d_sabor", "d_categoria",
                  "d_tipo_consum", "d_localidad", "h_ventas")
@@ -48,7 +49,7 @@ def _family(spark: SparkSession, a: argparse.Namespace) -> dict:
         sink = jdbc_options(a.jdbc_url, a.jdbc_table, os.environ.get(a.jdbc_user_env),
                             os.environ.get(a.jdbc_password_env), a.jdbc_driver,
                             num_partitions=a.jdbc_partitions, batch_size=a.jdbc_batch)
-    return run_family(tables, params, a.out, sink, a.max_files, a.compression)
+    return run_family(tables, params, a.out, sink, a.max_files, a.compression, a.jdbc_staged, a.rebalance)
 
 
 def _landing(spark: SparkSession, a: argparse.Namespace) -> dict:
@@ -59,11 +60,12 @@ def _landing(spark: SparkSession, a: argparse.Namespace) -> dict:
             maps = mappings_from_tuples(json.load(fh))
     stamp = dt.datetime.fromisoformat(a.stamp) if a.stamp else None
     if a.checkpoint:
-        if not a.schema:
-            raise SystemExit("an incremental landing needs --schema (DDL of the source files)")
-        batches = land_incremental(spark, a.source, StructType.fromDDL(a.schema), maps, a.out, a.checkpoint, stamp, a.tz,
+        if not a.schema and not is_table_name(a.source):
+            raise SystemExit("an incremental landing of a folder needs --schema (DDL of the source files)")
+        schema = StructType.fromDDL(a.schema) if a.schema else None
+        batches = land_incremental(spark, a.source, schema, maps, a.out, a.checkpoint, stamp, a.tz,
                                    a.source_format, a.format, a.compression, strict=not a.lenient,
-                                   max_files_per_batch=a.max_files_per_batch)
+                                   max_files_per_batch=a.max_files_per_batch, replaced=a.replaced)
         return {"batches": batches}
     rows = land_table(spark.table(a.source), maps, a.out, stamp, a.tz, a.format, a.compression,
                       strict=not a.lenient, max_files=a.max_files)
@@ -91,6 +93,8 @@ def main(argv: list[str] | None = None) -> None:
     f.add_argument("--rank-partitions", type=int, default=None, help="ranges of the global rank; default: by size")
     f.add_argument("--max-files", type=int, default=None)
     f.add_argument("--compression", default="uncompressed")
+    f.add_argument("--rebalance", action="store_true", help="size the family files by data")
+    f.add_argument("--jdbc-staged", action="store_true", help="load a staging table, then swap in one transaction")
     f.add_argument("--jdbc-url")
     f.add_argument("--jdbc-table")
     f.add_argument("--jdbc-driver")
@@ -99,9 +103,11 @@ def main(argv: list[str] | None = None) -> None:
     f.add_argument("--jdbc-partitions", type=int, default=None)
     f.add_argument("--jdbc-batch", type=int, default=None)
     g = sub.add_parser("landing")
-    g.add_argument("--source", required=True, help="catalog table, or with --checkpoint a folder of files")
+    g.add_argument("--source", required=True, help="catalog table, or with --checkpoint also a folder of files")
     g.add_argument("--checkpoint", default=None, help="land only files that arrived since the last run")
-    g.add_argument("--schema", default=None, help="DDL of the source files (incremental)")
+    g.add_argument("--replaced", action="store_true",
+                   help="also land files rewritten under their name; --checkpoint is then a file ledger")
+    g.add_argument("--schema", default=None, help="DDL of the source files (incremental, folder)")
     g.add_argument("--source-format", default="parquet")
     g.add_argument("--max-files-per-batch", type=int, default=None)
     g.add_argument("--mapping", required=True,

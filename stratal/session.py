@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import contextvars
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.parquet.aggregatePushdown", "true")
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -60,6 +62,7 @@ def scale_settings(total_cores: int, shuffle_bytes: int | None = None,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.parquet.aggregatePushdown": "true",
         "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
     }
@@ -106,25 +109,79 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of scratch tables under the shared checkpoint folder."""
+    return f"{shared_checkpoint_dir(spark).rstrip('/')}/stratal-scratch"
+
+
+_UNOWNED: list[tuple[SparkSession, str]] = []  # handed out, not yet seen on the file system
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (inside the current
-    ``scratch_scope``, if any)."""
-    return f"{shared_checkpoint_dir(spark).rstrip('/')}/stratal-scratch/{_SCOPE.get()}{name}-{uuid.uuid4().hex}"
+    """A fresh folder for a scratch table (inside the current ``scratch_scope``, if any).
+
+    A lazy result may read its scratch tables as long as the application
+    lives, so the file system is told to delete them when the driver ends;
+    scopes and jobs remove theirs earlier.
+    """
+    own_scratch()
+    path = f"{scratch_root(spark)}/{_SCOPE.get()}{name}-{uuid.uuid4().hex}"
+    if not _UNOWNED:
+        atexit.unregister(_own_at_exit)
+        atexit.register(_own_at_exit)
+    _UNOWNED.append((spark, path))
+    return path
+
+
+def own_scratch() -> None:
+    """Mark the scratch folders written since the last call for deletion at
+    the end of the driver (a folder can be marked once it exists)."""
+    for spark, path in list(_UNOWNED):
+        fs, place = _hadoop(spark, path)
+        if fs.deleteOnExit(place):
+            _UNOWNED.remove((spark, path))
+
+
+def _own_at_exit() -> None:
+    try:
+        own_scratch()
+    except Exception:  # the driver JVM is gone already
+        _UNOWNED.clear()
 
 
 @contextlib.contextmanager
 def scratch_scope(spark: SparkSession, name: str) -> Iterator[None]:
     """Scratch folders made inside share one folder, removed at the end.
 
-    Everything that reads them must run inside the scope.
+    Everything that reads them must run inside the scope. Scopes nest.
     """
-    scope = f"{name}-{uuid.uuid4().hex}/"
+    scope = f"{_SCOPE.get()}{name}-{uuid.uuid4().hex}/"
     token = _SCOPE.set(scope)
     try:
         yield
     finally:
         _SCOPE.reset(token)
-        remove_path(spark, f"{shared_checkpoint_dir(spark).rstrip('/')}/stratal-scratch/{scope}")
+        gone = f"{scratch_root(spark)}/{scope}"
+        remove_path(spark, gone)
+        _UNOWNED[:] = [(s, p) for s, p in _UNOWNED if not p.startswith(gone)]
+
+
+def write_and_release(df_of: Callable[[], DataFrame], write: Callable[[DataFrame], None], spark: SparkSession,
+                      name: str) -> None:
+    """Build a lazy result, write it, and remove the scratch tables it was
+    read from: the run handle for functions that return lazy DataFrames."""
+    with scratch_scope(spark, name):
+        write(df_of())
+
+
+@contextlib.contextmanager
+def outside_scopes() -> Iterator[None]:
+    """Scratch folders made inside belong to the application, not to the current scope."""
+    token = _SCOPE.set("")
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -143,6 +200,12 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(place, True)
 
 
+def rename_path(spark: SparkSession, path: str, target: str) -> None:
+    fs, place = _hadoop(spark, path)
+    if not fs.rename(place, _hadoop(spark, target)[1]):
+        raise OSError(f"could not rename {path} to {target}")
+
+
 def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Existing paths that match a glob pattern, as full URIs."""
     fs, place = _hadoop(spark, pattern)

@@ -1,5 +1,5 @@
 """Writers: partitioned files with partition-level overwrite, JDBC refresh."""
 
-from stratal.sinks.writers import jdbc_options, write_jdbc, write_partitioned
+from stratal.sinks.writers import jdbc_options, refresh_jdbc, write_jdbc, write_partitioned
 
-__all__ = ["jdbc_options", "write_jdbc", "write_partitioned"]
+__all__ = ["jdbc_options", "refresh_jdbc", "write_jdbc", "write_partitioned"]

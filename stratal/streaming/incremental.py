@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from stratal.session import glob_paths, path_exists, remove_path
+from stratal.sources.tables import is_table_name, table_files
 
 BATCH_COLUMN = "batch_id"
 
@@ -67,15 +68,32 @@ def _refuse_lost_checkpoint(spark: SparkSession, checkpoint: str, output: str) -
                            "choose another output")
 
 
-def run_available_now(spark: SparkSession, source_path: str, schema: StructType, checkpoint: str,
+def source_stream(spark: SparkSession, source: str, schema: StructType | None = None, fmt: str = "parquet",
+                  options: Mapping[str, str] | None = None) -> DataFrame:
+    """A file stream over a folder (explicit schema, no inference) or over a
+    file-based catalog table, whose schema, format and location come from
+    the catalog."""
+    reader = spark.readStream.options(**(options or {}))
+    if is_table_name(source):
+        if schema is not None:
+            raise ValueError(f"{source} is a catalog table; its schema comes from the catalog")
+        table_files(spark, source)  # refuses views and tables without files
+        return reader.table(source)
+    if schema is None:
+        raise ValueError("a folder needs an explicit schema")
+    return reader.schema(schema).format(fmt).load(source)
+
+
+def run_available_now(spark: SparkSession, source_path: str, schema: StructType | None, checkpoint: str,
                       batch_fn: Callable[[DataFrame, int], None], fmt: str = "parquet",
                       max_files_per_batch: int | None = None,
                       transform: Callable[[DataFrame], DataFrame] | None = None,
                       timeout_s: float | None = None,
                       options: Mapping[str, str] | None = None) -> StreamingQuery:
-    """Process every file under ``source_path`` not yet committed in
-    ``checkpoint``, then stop. The schema is explicit (no inference on a
-    stream). ``max_files_per_batch`` bounds each micro-batch; ``transform``
+    """Process every file of ``source_path`` not yet committed in
+    ``checkpoint``, then stop. The source is a folder with an explicit schema
+    (no inference on a stream), or the name of a file-based catalog table
+    with ``schema`` None. ``max_files_per_batch`` bounds each micro-batch; ``transform``
     is applied to the stream (e.g. the landing mapping and stamps);
     ``options`` go to the file source (``cleanSource``/``sourceArchiveDir``
     to move processed files away, ``maxFileAge`` to bound the listing).
@@ -87,10 +105,10 @@ def run_available_now(spark: SparkSession, source_path: str, schema: StructType,
     output = getattr(batch_fn, "output", None)
     if output is not None:
         _refuse_lost_checkpoint(spark, checkpoint, output)
-    reader = spark.readStream.schema(schema).format(fmt).options(**(options or {}))
+    given = dict(options or {})
     if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_batch))
-    stream = reader.load(source_path)
+        given["maxFilesPerTrigger"] = str(max_files_per_batch)
+    stream = source_stream(spark, source_path, schema, fmt, given)
     if transform is not None:
         stream = transform(stream)
     query = (stream.writeStream.foreachBatch(batch_fn)

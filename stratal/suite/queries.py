@@ -7,34 +7,38 @@ checkpoint folder and return the data read back from it.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 from collections.abc import Mapping as TableMap
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratal.functions.casts import lenient_int
 from stratal.functions.stamps import stamp_load
-from stratal.operators.changes import content_hash, detect_changes, file_hashes, load_manifest, save_manifest
+from stratal.operators.changes import (content_hash, detect_changes, drop_manifest, file_hashes, load_manifest,
+                                       save_manifest)
 from stratal.operators.dedupe import dedupe_keep, dedupe_rows
 from stratal.operators.enrich import DimSpec, enrich, lookup
 from stratal.operators.mapping import Mapping, apply_mapping
 from stratal.operators.predicates import in_list, like, recent_window
-from stratal.operators.rank import dense_rank_global
-from stratal.operators.snapshot import latest_snapshot
+from stratal.operators.rank import dense_rank_global, number_rows, rank_global
+from stratal.operators.snapshot import footer_max, latest_snapshot
 from stratal.plans.family import (assign_families, attach_ranks, distinct_groups, family_id,
                                   family_relation, family_table, rank_groups, sales_products)
 from stratal.plans.jobs import build_family, land, land_incremental, land_table, run_family
 from stratal.plans.products import TWO_VERSIONS, current_products, product_master, product_specs
 from stratal.plans.sales import recent_sales
-from stratal.session import scratch_path
+from stratal.session import glob_paths, remove_path, rename_path, scratch_path
 from stratal.sinks.writers import write_partitioned
 from stratal.sources.standins import (AS_OF, CATEGORY, MONTHS, PLANT_MAP, SKU_BELOW, TX_TYPES,
                                       VALID_AFTER, d_tipo_empaque_disjoint, family_params,
                                       standin_tables)
 from stratal.sources.tables import load_tables, read_table, register_views
 from stratal.streaming.incremental import batch_folder_writer, run_available_now
+from stratal.streaming.ledger import run_changed_files
 
 # Fixed values of the suite (shared with the SQL oracle).
 LOAD_INSTANT = dt.datetime(2025, 3, 1, 21, 30, 15, 123456, tzinfo=dt.timezone(dt.timedelta(hours=-4)))
@@ -117,6 +121,13 @@ def max_scalar(spark, sf_dir):
     return orders.agg(F.max("o_orderdate").alias("max_orderdate"), F.max("o_totalprice").alias("max_totalprice"))
 
 
+def max_scalar_footers(spark, sf_dir):
+    """Maxima answered from the file footers (whole-number and date columns)."""
+    path = f"{sf_dir}/lineitem.parquet"
+    cols = ["l_orderkey", "l_partkey", "l_suppkey"]
+    return spark.range(1).select(*[footer_max(spark, path, c).alias(f"max_{c}") for c in cols])
+
+
 # -- projections and filters ---------------------------------------------------
 
 def mapping_typed(spark, sf_dir):
@@ -285,9 +296,16 @@ def family_relation_q(spark, sf_dir):
 def relation_order(spark, sf_dir):
     """The relation with, per family id, the position of its first row."""
     _, t = _fixtures(spark, sf_dir)
-    placed = family_relation(_families(t)).withColumn("at", F.monotonically_increasing_id())
-    placed = placed.withColumn("at", F.row_number().over(Window.orderBy("at")))
-    return placed.withColumn("first_at", F.min("at").over(Window.partitionBy("family_id"))).drop("at")
+    relation = family_relation(_families(t), ordered=False)
+    return rank_global(relation, ["family_id"], "first_at").withColumn("first_at", F.col("first_at").cast("int"))
+
+
+def row_numbers(spark, sf_dir):
+    """Line items numbered by ship date and quantity; of the rows of a tie, only the span of their numbers is determined."""
+    lines = _base(spark, sf_dir)["lineitem"].select("l_shipdate", "l_quantity")
+    numbered = number_rows(lines, ["l_shipdate", "l_quantity"], "at")
+    return numbered.groupBy("l_shipdate", "l_quantity").agg(
+        F.min("at").alias("first_at"), F.max("at").alias("last_at"), F.count("*").alias("n"))
 
 
 def row_counts(spark, sf_dir):
@@ -369,6 +387,92 @@ def dynamic_overwrite(spark, sf_dir):
     return spark.read.schema("o_orderkey long, o_custkey long, run int, o_orderstatus string").parquet(path)
 
 
+def sink_rebalanced(spark, sf_dir):
+    """Orders by status, the sizes of the files chosen from the data."""
+    orders = _base(spark, sf_dir)["orders"].select("o_orderkey", "o_custkey", "o_orderstatus")
+    path = scratch_path(spark, "rebalanced")
+    write_partitioned(orders, path, "o_orderstatus", rebalance=True)
+    return spark.read.schema("o_orderkey long, o_custkey long, o_orderstatus string").parquet(path)
+
+
+@contextlib.contextmanager
+def _catalog_table(spark: SparkSession, schema: str, path: str) -> Iterator[str]:
+    """A catalog table over a folder, dropped at the end (its files stay)."""
+    name = f"stratal_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet LOCATION '{path}'")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{c}` {kind}" for c, kind in df.dtypes)
+
+
+def landing_catalog_incremental(spark, sf_dir):
+    """A catalog table, landed by name in two runs; each row comes once, in the batch of its arrival."""
+    part = _base(spark, sf_dir)["part"]
+    root = scratch_path(spark, "landing-catalog")
+    with _catalog_table(spark, _ddl(part), f"{root}/table") as name:
+        for drop in (0, 1):
+            part.where(F.col("p_partkey") % 2 == drop).write.insertInto(name)
+            for _ in range(2):  # the second run finds nothing new
+                land_incremental(spark, name, None, PART_MAPPING, f"{root}/out", f"{root}/checkpoint", LOAD_INSTANT, "UTC")
+    back = spark.read.schema("articulokey int, nombrearticulo string, batch_id int").json(f"{root}/out")
+    return back.select("articulokey", "nombrearticulo", "batch_id")
+
+
+def _replace_files(df: DataFrame, folder: str) -> None:
+    """Write ``df`` under the names that the files of ``folder`` have."""
+    spark = df.sparkSession
+    fresh = scratch_path(spark, "replacement")
+    df.write.parquet(fresh)
+    names = [p.rsplit("/", 1)[-1] for p in glob_paths(spark, f"{folder}/part-*")]
+    for k, path in enumerate(glob_paths(spark, f"{fresh}/part-*")):
+        target = f"{folder}/{names[k] if k < len(names) else path.rsplit('/', 1)[-1]}"
+        remove_path(spark, target)
+        rename_path(spark, path, target)
+
+
+def landing_replaced_files(spark, sf_dir):
+    """Files rewritten under their names are landed once more, the others are not."""
+    part = _base(spark, sf_dir)["part"]
+    root = scratch_path(spark, "landing-replaced")
+    drops = [part.where(F.col("p_partkey") % 2 == drop) for drop in (0, 1)]
+    for k, drop in enumerate(drops):
+        drop.write.parquet(f"{root}/source/drop{k}")
+
+    def run():
+        land_incremental(spark, f"{root}/source", part.schema, PART_MAPPING, f"{root}/out", f"{root}/ledger", LOAD_INSTANT,
+                         "UTC", replaced=True)
+
+    run()
+    _replace_files(drops[1].withColumn("p_name", F.concat("p_name", F.lit(" (rev)"))), f"{root}/source/drop1")
+    run()
+    run()
+    back = spark.read.schema("articulokey int, nombrearticulo string, batch_id int").json(f"{root}/out")
+    return back.select("articulokey", "nombrearticulo", "batch_id")
+
+
+def replaced_files_latest(spark, sf_dir):
+    """The newest version of every file, kept by its name, from three runs over a changing folder."""
+    events = _base(spark, sf_dir)["events"]
+    root = scratch_path(spark, "latest")
+    writer = batch_folder_writer(f"{root}/out")
+    drops = [events.where(F.col("event_id") % 3 == drop) for drop in range(3)]
+    for k in range(3):
+        if k < 2:
+            drops[k].write.parquet(f"{root}/source/drop{k}")
+        else:
+            drops[2].write.parquet(f"{root}/source/drop2")
+            _replace_files(drops[0].withColumn("event_id", -F.col("event_id")), f"{root}/source/drop0")
+        run_changed_files(spark, f"{root}/source", f"{root}/ledger", writer, events.schema, file_column="file")
+    landed = spark.read.schema(f"{_ddl(events)}, file string, batch_id int").parquet(f"{root}/out")
+    last = landed.groupBy("file").agg(F.max("batch_id").alias("batch_id"))
+    return landed.join(last, ["file", "batch_id"], "left_semi").select(*events.columns)
+
+
 def landing_incremental(spark, sf_dir):
     """Two runs on one day, each landing the files that arrived before it."""
     part = _base(spark, sf_dir)["part"]
@@ -442,6 +546,20 @@ def manifest_refresh(spark, sf_dir):
     return load_manifest(spark, path)
 
 
+def manifest_refresh_table(spark, sf_dir):
+    """A manifest kept as bucketed tables behind a view: refreshed twice, then compared with."""
+    current, older = _manifests(spark, sf_dir)
+    root, name = scratch_path(spark, "manifest-table"), f"stratal_manifest_{uuid.uuid4().hex[:12]}"
+    save_manifest(current, name, buckets=4, location=root)
+    save_manifest(older, name, buckets=4, location=root)
+    changes = detect_changes(current, load_manifest(spark, name, bucketed=True), include_deleted=True)
+    found = changes.groupBy("status").agg(F.count("*").alias("n"), F.max("key").alias("last_key"))
+    path = scratch_path(spark, "manifest-changes")
+    found.write.parquet(path)
+    drop_manifest(spark, name)
+    return spark.read.parquet(path)
+
+
 # -- incremental ---------------------------------------------------------------
 
 def incremental_read(spark, sf_dir):
@@ -493,6 +611,13 @@ QUERIES: dict[str, Query] = {
     "catalog_read": catalog_read,
     "dynamic_overwrite": dynamic_overwrite,
     "landing_incremental": landing_incremental,
+    "landing_catalog_incremental": landing_catalog_incremental,
+    "landing_replaced_files": landing_replaced_files,
+    "replaced_files_latest": replaced_files_latest,
+    "manifest_refresh_table": manifest_refresh_table,
+    "row_numbers": row_numbers,
+    "max_scalar_footers": max_scalar_footers,
+    "sink_rebalanced": sink_rebalanced,
     "detect_changes_first_run": detect_changes_first_run,
     "stamp_load_utc": stamp_load_utc,
     "stamp_load_offset": stamp_load_offset,

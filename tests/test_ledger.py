@@ -1,0 +1,260 @@
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratal.operators.mapping import Mapping
+from stratal.plans.jobs import land_incremental
+from stratal.session import _hadoop, glob_paths, remove_path
+from stratal.sources.tables import is_table_name, table_files
+from stratal.streaming import ledger as module
+from stratal.streaming.incremental import batch_folder_writer, run_available_now
+from stratal.streaming.ledger import FileLedger, list_files, run_changed_files
+
+SCHEMA = "id long, txt string"
+
+
+def put(spark, path, rows, schema=SCHEMA):
+    """Write rows as the one file ``path``, replacing it."""
+    tmp = f"{path.rsplit('/', 1)[0]}/_tmp-{uuid.uuid4().hex}"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(tmp)
+    part = glob_paths(spark, f"{tmp}/part-*")[0]
+    remove_path(spark, path)
+    fs, place = _hadoop(spark, path)
+    fs.rename(spark._jvm.org.apache.hadoop.fs.Path(part), place)
+    remove_path(spark, tmp)
+
+
+class Collector:
+    def __init__(self, fail=0):
+        self.batches, self.fail = [], fail
+
+    def __call__(self, df, number):
+        if self.fail:
+            self.fail -= 1
+            raise RuntimeError("broke off")
+        self.batches.append((number, sorted(tuple(r) for r in df.collect())))
+
+
+def run(spark, root, seen, **kw):
+    return run_changed_files(spark, f"{root}/in", f"{root}/ledger", seen, spark.createDataFrame([], SCHEMA).schema, **kw)
+
+
+def test_new_replaced_and_unchanged_files(spark, tmp_out):
+    put(spark, f"{tmp_out}/in/a.parquet", [(1, "x")])
+    put(spark, f"{tmp_out}/in/b.parquet", [(2, "y")])
+    seen = Collector()
+    assert run(spark, tmp_out, seen) == {"batches": 1, "new": 2, "replaced": 0, "repeated": 0}
+    assert run(spark, tmp_out, seen)["batches"] == 0
+    put(spark, f"{tmp_out}/in/b.parquet", [(2, "changed"), (3, "z")])
+    put(spark, f"{tmp_out}/in/sub/c.parquet", [(4, "w")])
+    assert run(spark, tmp_out, seen, file_column="file") == {"batches": 1, "new": 1, "replaced": 1, "repeated": 0}
+    assert run(spark, tmp_out, seen)["batches"] == 0
+    assert seen.batches == [(0, [(1, "x"), (2, "y")]),
+                            (1, [(2, "changed", "b.parquet"), (3, "z", "b.parquet"), (4, "w", "sub/c.parquet")])]
+
+
+def test_same_content_written_again_counts_as_replaced(spark, tmp_out):
+    put(spark, f"{tmp_out}/in/a.parquet", [(1, "x")])
+    seen = Collector()
+    run(spark, tmp_out, seen)
+    put(spark, f"{tmp_out}/in/a.parquet", [(1, "x")])  # new modification time
+    assert run(spark, tmp_out, seen)["replaced"] == 1
+
+
+def test_bounded_batches_oldest_first(spark, tmp_out):
+    for k in range(5):
+        put(spark, f"{tmp_out}/in/f{9 - k}.parquet", [(k, "x")])
+    seen = Collector()
+    assert run(spark, tmp_out, seen, max_files_per_batch=2) == {"batches": 3, "new": 5, "replaced": 0, "repeated": 0}
+    assert [[r[0] for r in rows] for _, rows in seen.batches] == [[0, 1], [2, 3], [4]]
+
+
+def test_a_failed_batch_is_handed_over_again_under_its_number(spark, tmp_out):
+    put(spark, f"{tmp_out}/in/a.parquet", [(1, "x")])
+    put(spark, f"{tmp_out}/in/gone.parquet", [(9, "x")])
+    seen = Collector(fail=1)
+    with pytest.raises(RuntimeError, match="broke off"):
+        run(spark, tmp_out, seen)
+    remove_path(spark, f"{tmp_out}/in/gone.parquet")
+    put(spark, f"{tmp_out}/in/b.parquet", [(2, "y")])
+    assert run(spark, tmp_out, seen) == {"batches": 2, "new": 1, "replaced": 0, "repeated": 1}
+    assert seen.batches == [(0, [(1, "x")]), (1, [(2, "y")])]
+
+
+@pytest.mark.parametrize("step", ["plan", "commit"])
+def test_a_crash_around_the_records_loses_and_doubles_nothing(spark, tmp_out, step, monkeypatch):
+    put(spark, f"{tmp_out}/in/a.parquet", [(1, "x")])
+    out = f"{tmp_out}/out"
+    real, calls = getattr(FileLedger, step), []
+
+    def broken(self, *a):
+        calls.append(a)
+        if len(calls) == 1:
+            raise RuntimeError("crash")
+        return real(self, *a)
+
+    monkeypatch.setattr(FileLedger, step, broken)
+    writer = batch_folder_writer(out)
+    with pytest.raises(RuntimeError, match="crash"):
+        run(spark, tmp_out, writer)
+    run(spark, tmp_out, writer)
+    assert [tuple(r)[:2] for r in spark.read.schema(SCHEMA).parquet(out).collect()] == [(1, "x")]
+
+
+def test_entries_are_merged_after_some_batches(spark, tmp_out, monkeypatch):
+    seen = Collector()
+    book = FileLedger(spark, f"{tmp_out}/ledger")
+    for k in range(4):
+        put(spark, f"{tmp_out}/in/f{k % 3}.parquet", [(k, "x")])
+        run(spark, tmp_out, seen)
+    before = sorted(tuple(r) for r in book.entries().collect())
+    assert book.compact(after=9) is False and book.compact(after=3) is True
+    assert sorted(tuple(r) for r in book.entries().collect()) == before
+    assert book._numbers("done") == [] and book._numbers("plan") == [] and book._numbers("state") == [3]
+    assert run(spark, tmp_out, seen)["batches"] == 0
+    put(spark, f"{tmp_out}/in/f0.parquet", [(7, "x")])
+    run(spark, tmp_out, seen)
+    assert seen.batches[-1] == (4, [(7, "x")])
+    # a crash between the merged state and the removal of what it covers
+    monkeypatch.setattr(FileLedger, "tidy", lambda self: None)
+    assert book.compact(after=1) is True and book._numbers("done") == [4]
+    monkeypatch.undo()
+    assert run(spark, tmp_out, seen)["batches"] == 0 and book._numbers("done") == [] and book._numbers("state") == [4]
+
+
+def test_odd_file_names_and_hidden_files(spark, tmp_out):
+    names = ["a b.parquet", "x[1]{2}*.parquet", "50%+2.parquet", "é.parquet"]
+    for k, name in enumerate(names):
+        put(spark, f"{tmp_out}/in/{name}", [(k, name)])
+    put(spark, f"{tmp_out}/in/_hidden.parquet", [(9, "no")])
+    seen = Collector()
+    assert run(spark, tmp_out, seen, file_column="file")["new"] == 4
+    assert seen.batches == [(0, [(k, n, n) for k, n in enumerate(names)])]
+    assert run(spark, tmp_out, seen)["batches"] == 0
+
+
+def test_empty_and_missing_sources(spark, tmp_out):
+    seen = Collector()
+    assert run(spark, tmp_out, seen)["batches"] == 0
+    put(spark, f"{tmp_out}/in/a.parquet", [(1, "x")])
+    remove_path(spark, f"{tmp_out}/in/a.parquet")
+    assert run(spark, tmp_out, seen)["batches"] == 0 and seen.batches == []
+    with pytest.raises(ValueError, match="schema"):
+        run_changed_files(spark, f"{tmp_out}/in", f"{tmp_out}/l2", seen)
+
+
+def test_output_with_batches_refuses_a_new_ledger(spark, tmp_out):
+    put(spark, f"{tmp_out}/in/a.parquet", [(1, "x")])
+    run(spark, tmp_out, batch_folder_writer(f"{tmp_out}/out"))
+    with pytest.raises(RuntimeError, match="holds batches"):
+        run_changed_files(spark, f"{tmp_out}/in", f"{tmp_out}/other", batch_folder_writer(f"{tmp_out}/out"),
+                          spark.createDataFrame([], SCHEMA).schema)
+
+
+@pytest.fixture()
+def catalog_table(spark, tmp_out):
+    name = f"src_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, txt STRING, day DATE) USING parquet PARTITIONED BY (day) "
+              f"LOCATION '{tmp_out}/table'")
+    yield name
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def add(spark, name, rows):
+    spark.createDataFrame(rows, "id long, txt string, day string").withColumn("day", F.to_date("day")).write.insertInto(name)
+
+
+def test_catalog_table_by_name(spark, tmp_out, catalog_table):
+    add(spark, catalog_table, [(1, "x", "2025-01-01"), (2, "y", "2025-01-02")])
+    info = table_files(spark, catalog_table)
+    assert info.fmt == "parquet" and info.schema.fieldNames() == ["id", "txt", "day"]
+    stream, files = Collector(), Collector()
+    for _ in range(2):
+        run_available_now(spark, catalog_table, None, f"{tmp_out}/ck", stream)
+        run_changed_files(spark, catalog_table, f"{tmp_out}/ledger", files)
+    add(spark, catalog_table, [(3, "z", "2025-01-02")])
+    run_available_now(spark, catalog_table, None, f"{tmp_out}/ck", stream)
+    run_changed_files(spark, catalog_table, f"{tmp_out}/ledger", files)
+    for seen in (stream, files):
+        assert [[r[0] for r in rows] for _, rows in seen.batches] == [[1, 2], [3]]
+        assert str(seen.batches[1][1][0][2]) == "2025-01-02"
+    with pytest.raises(ValueError, match="catalog"):
+        run_available_now(spark, catalog_table, info.schema, f"{tmp_out}/ck2", stream)
+    with pytest.raises(ValueError, match="catalog"):
+        run_changed_files(spark, catalog_table, f"{tmp_out}/l2", files, info.schema)
+
+
+def test_format_and_options_of_the_catalog(spark, tmp_out):
+    name = f"csv_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, txt STRING) USING csv OPTIONS (sep '|', header 'true') LOCATION '{tmp_out}/csv'")
+    try:
+        spark.createDataFrame([(1, "a,b"), (2, "c")], SCHEMA).write.insertInto(name)
+        seen = Collector()
+        run_changed_files(spark, name, f"{tmp_out}/ledger", seen)
+        assert seen.batches == [(0, [(1, "a,b"), (2, "c")])]
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_views_and_unknown_names_are_refused(spark, tmp_out):
+    spark.range(3).createOrReplaceTempView("just_a_view")
+    for name in ("just_a_view", "no_such_table"):
+        with pytest.raises(ValueError):
+            run_changed_files(spark, name, f"{tmp_out}/ledger", Collector())
+        with pytest.raises(ValueError):
+            run_available_now(spark, name, None, f"{tmp_out}/ck", Collector())
+    assert is_table_name("db.t") and not is_table_name("/a/b") and not is_table_name("s3:x")
+
+
+MAP = [Mapping("id", "bigint", "key", "int"), Mapping("txt", "string", "txt", "string")]
+
+
+@pytest.mark.parametrize("replaced", [False, True])
+def test_landing_a_catalog_table_twice(spark, tmp_out, catalog_table, replaced):
+    add(spark, catalog_table, [(1, "x", "2025-01-01")])
+    where = (catalog_table, None, MAP, f"{tmp_out}/out", f"{tmp_out}/record")
+    assert land_incremental(spark, *where, replaced=replaced) == 1
+    assert land_incremental(spark, *where, replaced=replaced) == 0
+    add(spark, catalog_table, [(2, "y", "2025-01-01")])
+    assert land_incremental(spark, *where, replaced=replaced) == 1
+    rows = spark.read.schema("key int, txt string, batch_id int").json(f"{tmp_out}/out").collect()
+    assert sorted((r["key"], r["batch_id"]) for r in rows) == [(1, 0), (2, 1)]
+
+
+def test_landing_replaced_files_once_more(spark, tmp_out):
+    put(spark, f"{tmp_out}/in/a.parquet", [(1, "x")])
+    put(spark, f"{tmp_out}/in/b.parquet", [(2, "x")])
+    where = (f"{tmp_out}/in", spark.createDataFrame([], SCHEMA).schema, MAP, f"{tmp_out}/out", f"{tmp_out}/record")
+    for _ in range(2):
+        land_incremental(spark, *where, replaced=True)
+    put(spark, f"{tmp_out}/in/b.parquet", [(2, "new")])
+    assert land_incremental(spark, *where, replaced=True, max_files_per_batch=1) == 1
+    rows = spark.read.schema("key int, txt string, batch_id int").json(f"{tmp_out}/out").collect()
+    assert sorted((r["key"], r["txt"], r["batch_id"]) for r in rows) == [(1, "x", 0), (2, "new", 1), (2, "x", 0)]
+
+
+def test_listing_reads_no_contents(spark, tmp_out):
+    put(spark, f"{tmp_out}/in/a.parquet", [(1, "x")])
+    files = list_files(spark, f"{tmp_out}/in")
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+    assert [r["key"] for r in files.collect()] == ["a.parquet"]
+    assert module.FILES_PER_BATCH > 0
+
+
+def test_cli_lands_a_catalog_table(spark, tmp_out, catalog_table, capsys):
+    import json
+
+    from stratal.plans.cli import main
+
+    add(spark, catalog_table, [(1, "x", "2025-01-01")])
+    mapping = "/tmp/" + uuid.uuid4().hex + ".json"
+    with open(mapping, "w") as fh:
+        json.dump([["id", "bigint", "key", "int"]], fh)
+    args = ["landing", "--source", catalog_table, "--checkpoint", f"{tmp_out}/record", "--mapping", mapping, "--out", f"{tmp_out}/out",
+            "--replaced"]
+    main(args)
+    main(args)
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines() if x.startswith("{")]
+    assert lines == [{"batches": 1}, {"batches": 0}]
