@@ -4,7 +4,9 @@
 and returns a DataFrame. ``run`` writes every stage's result as Parquet to the
 shared checkpoint folder and reads it back as the next stage's ``docs``. All
 stages but the last return the columns of their input; extra columns pass
-through whatever their names are.
+through whatever their names are. Scratch tables of a stage go when its
+result is written, that result when the next one is; the last belongs to the
+application.
 
 1. language_id: documents without a letter, or whose best language has a
    posterior below one half, go.
@@ -14,7 +16,8 @@ through whatever their names are.
 3. secrets: fixed-pattern and high-entropy strings are replaced; n_chars
    follows the text.
 4. mixing: sources are mixed to weights 1, 2, 3, ... repeating; a document
-   appears as often as the mix takes its words, rounded to whole documents.
+   appears as often as the mix takes its words, rounded to whole documents
+   (one without a word has nothing to take and does not appear).
 5. bpe: (doc_id, n_tokens, ids, decoded_sha256); ids are little-endian
    unsigned 32-bit integers.
 """
@@ -30,7 +33,7 @@ from stratal.llm.mixing import mix
 from stratal.llm.near_text import drop_near_duplicates
 from stratal.llm.queries import _tokenizer
 from stratal.llm.secrets import redact_secrets
-from stratal.session import scratch_path
+from stratal.session import remove_path, scratch_path, scratch_scope
 
 MIN_POSTERIOR = 0.5
 
@@ -75,9 +78,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_scope(spark, f"pipeline-run-{name}"):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
