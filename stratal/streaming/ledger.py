@@ -28,12 +28,12 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stratal.operators.changes import CHANGED, NEW, detect_changes
-from stratal.session import glob_paths, path_exists, qualified, remove_path
+from stratal.session import glob_paths, path_exists, qualified, remove_path, scratch_path
 from stratal.sources.tables import is_table_name, table_files
 
 FILES_PER_BATCH = 10_000  # names of one batch, held on the driver
@@ -199,24 +199,34 @@ def run_changed_files(spark: SparkSession, source: str, ledger: str, batch_fn: C
         entries = sorted(tuple(r) for r in files.collect())
         hand_over(number, entries)
         counts["repeated"] += len(entries)
-    # one listing per run: files that arrive during it belong to the next
-    listed = list_files(spark, path, glob) if path_exists(spark, path) else None
-    while listed is not None:
+    # one listing and one comparison per run: files that arrive during it belong to the next
+    if path_exists(spark, path):
+        listed = list_files(spark, path, glob)
         status = detect_changes(listed.select("key", "hash"), book.entries())
-        todo = status.where(F.col("status").isin(NEW, CHANGED)).join(listed.select("key", "modified"), "key")
-        batch = todo.orderBy("modified", "key").limit(max_files_per_batch).select("key", "hash", "status").collect()
-        if not batch:
-            break
-        number = book.plan([r["key"] for r in batch])
-        hand_over(number, [(r["key"], r["hash"]) for r in batch])
-        counts["new"] += sum(r["status"] == NEW for r in batch)
-        counts["replaced"] += sum(r["status"] == CHANGED for r in batch)
-        if len(batch) < max_files_per_batch:
-            break
+        place = scratch_path(spark, "changed-files")
+        status.where(F.col("status").isin(NEW, CHANGED)).join(listed.select("key", "modified"), "key").write.parquet(place)
+        try:
+            last = None
+            while batch := _after(spark.read.parquet(place), last, max_files_per_batch):
+                number = book.plan([r["key"] for r in batch])
+                hand_over(number, [(r["key"], r["hash"]) for r in batch])
+                counts["new"] += sum(r["status"] == NEW for r in batch)
+                counts["replaced"] += sum(r["status"] == CHANGED for r in batch)
+                last = batch[-1]
+        finally:
+            remove_path(spark, place)
     book.compact()
     return counts
 
 
+def _after(todo: DataFrame, last: Row | None, n: int) -> list[Row]:
+    """The next ``n`` files behind ``last``, oldest first."""
+    if last is not None:
+        same, later = F.col("modified") == F.lit(last["modified"]), F.col("modified") > F.lit(last["modified"])
+        todo = todo.where(later | (same & (F.col("key") > F.lit(last["key"]))))
+    return todo.orderBy("modified", "key").limit(n).collect()
+
+
 def refuse_batches_without_record(spark: SparkSession, record: str, output: str) -> None:
     """A new record numbers batches from 0 again and would replace what
     earlier batches wrote."""

@@ -185,6 +185,37 @@ def test_catalog_table_by_name(spark, tmp_out, catalog_table):
         run_changed_files(spark, catalog_table, f"{tmp_out}/l2", files, info.schema)
 
 
+@pytest.mark.parametrize("replaced", [False, True])
+def test_a_column_added_to_the_table_between_runs(spark, tmp_out, catalog_table, replaced):
+    add(spark, catalog_table, [(1, "x", "2025-01-01")])
+    seen = Collector()
+
+    def go():
+        if replaced:
+            run_changed_files(spark, catalog_table, f"{tmp_out}/record", seen)
+        else:
+            run_available_now(spark, catalog_table, None, f"{tmp_out}/record", seen)
+
+    go()
+    spark.sql(f"ALTER TABLE {catalog_table} ADD COLUMNS (extra INT)")
+    spark.sql(f"INSERT INTO {catalog_table} PARTITION (day = DATE '2025-01-03') VALUES (2, 'y', 5)")
+    go()
+    assert [r[:2] for r in seen.batches[0][1]] == [(1, "x")]
+    assert [r[:3] for r in seen.batches[1][1]] == [(2, "y", 5)]
+
+
+def test_ties_of_the_modification_time_are_passed_once(spark, tmp_out):
+    """Batches of two over files of one moment."""
+    for k in range(5):
+        put(spark, f"{tmp_out}/in/f{k}.parquet", [(k, "x")])
+    fs, _ = _hadoop(spark, tmp_out)
+    for p in glob_paths(spark, f"{tmp_out}/in/f*"):
+        fs.setTimes(spark._jvm.org.apache.hadoop.fs.Path(p), 1_700_000_000_000, -1)
+    seen = Collector()
+    assert run(spark, tmp_out, seen, max_files_per_batch=2)["new"] == 5
+    assert [[r[0] for r in rows] for _, rows in seen.batches] == [[0, 1], [2, 3], [4]]
+
+
 def test_format_and_options_of_the_catalog(spark, tmp_out):
     name = f"csv_{uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE TABLE {name} (id BIGINT, txt STRING) USING csv OPTIONS (sep '|', header 'true') LOCATION '{tmp_out}/csv'")
