@@ -1,21 +1,22 @@
 """Licence scans by conditional compression.
 
-Method. Around licence cues, every place that holds the identifying words of a
-template is a block, as long as the template and its tolerance. The block is
-aligned with the template word by word: identifying words (name, clause,
-version) must all be there, no other identifying word may stand between them,
-and the tolerance covers the other words only. Confirmed alignments are taken
-one by one, the one with most aligned words first, then the fewest
-differences, then the largest size reduction of the block (zstandard, alone
-and with the template as raw dictionary). Words taken are masked, and what
-overlaps them is aligned again, until nothing is left: neither the templates
-nor the notices of a place are limited in number.
+Method. Every licence cue of a text has a block: the words around it, as far
+as the longest template that could hold it reaches. The block is compressed
+alone and with each template of the table as zstandard raw dictionary, and the
+templates are ranked by the bytes they save. From the best on, a template is
+confirmed by its exact wording: aligned with the block word by word, with the
+cue inside, identifying words (name, clause, version) must all be there, no
+other identifying word may stand between them, and a tolerance covers the
+other words only. The first one confirmed is the cue's notice, or of those
+that save within ``CLOSE`` bytes of it the one with the fewest differences; its words are
+masked, so cues inside it ask no more. A cue for which no template is
+confirmed gives no row. Neither templates nor notices are limited in number.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratal.llm.arrow import slices
-from stratal.llm.notices import BSD_3_CLAUSE, MIT_OPENING, NOTICES
+from stratal.llm.notices import BSD_3_CLAUSE, IDS, MIT_OPENING, NOTICES
 
 # Wording of public licence notices.
 TEMPLATES = {
@@ -41,11 +42,16 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 # All texts of every licence: the ones above and those of the table.
-ALL = {name: tuple(([TEMPLATES[name]] if name in TEMPLATES else []) + list(NOTICES.get(name, ())))
+ALL = {name: tuple(([TEMPLATES[name]] if name in TEMPLATES else []) + list(NOTICES.get(name, ())) + list(IDS.get(name, ())))
        for name in TEMPLATES | NOTICES}
 CUE = re.compile(r"licen[sc]e|redistribution and use|permission is hereby granted|permission to use|creative commons|"
                  r"\bcc[ -]by\b|\bcc0\b|\bgnu [al]?gpl\b|public domain|mit no attribution", re.IGNORECASE | re.ASCII)
+# Names that declare a licence by themselves: SPDX ids with a version, and further ids of an expression.
+ID_CUE = re.compile(r"\b(?:Apache-2\.0|[AL]?GPL-[23]\.[01]|[AL]?GPLv[23](?:\.1)?|MPL-2\.0|BSD-[23]-Clause|CC0-1\.0|MIT-0|0BSD)(?![A-Za-z0-9])"
+                    r"|(?<=\bOR )(?:MIT|ISC|Unlicense)\b|(?<=\bAND )(?:MIT|ISC|Unlicense)\b", re.ASCII)
 WORD = re.compile(r"[^\W_]+", re.ASCII)
+LEVEL = 9  # of the compression
+CLOSE = 3  # bytes: templates that save so much less than the first confirmed one are as good; fewer differences decide
 # Words that tell licences apart: required where a notice has them, never inside one that has not.
 NAMES = frozenset("""mit bsd apache gnu gpl lgpl agpl lesser library affero mozilla mpl cc cc0 nc sa nd noncommercial
     sharealike noderivatives noderivs non commercial share alike derivatives zero universal isc unlicense documentation
@@ -94,6 +100,8 @@ class Notice:
             self.required = [True] * len(self.words)
         self.needs = Counter(w for w, r in zip(self.words, self.required) if r)
         self.counts = Counter(self.words)
+        # a bare id is a word of other languages, too ("mit"): it must stand there as it is written
+        self.id = text.removeprefix("License: ") if text in IDS.get(name, ()) or text == f"License: {name}" else ""
 
     def names(self, word: str) -> bool:
         # numbers are versions, but count clauses where the notice has none
@@ -133,35 +141,54 @@ def align(form: Notice, block: list[str | None], most: int) -> tuple[int, int, i
     return (d, first, end, -same) if first >= 0 and d <= most else None
 
 
-@lru_cache(maxsize=256)
+def plain_words(text: str) -> bytes:
+    """What is compressed: the words alone, lower-case and spelled alike, whatever the line breaks and marks are."""
+    return " ".join(spelled(w) for w, _, _ in words(text)).encode()
+
+
+@lru_cache(maxsize=64)
 def _compressors(templates: tuple[tuple[str, str], ...]) -> list[tuple[str, zstandard.ZstdCompressor]]:
     """One compressor per template (its raw dictionary), and one without (name '')."""
-    out = [("", zstandard.ZstdCompressor(level=3, write_content_size=False))]
+    out = [("", zstandard.ZstdCompressor(level=LEVEL, write_content_size=False))]
     for name, text in templates:
-        raw = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        out.append((name, zstandard.ZstdCompressor(level=3, dict_data=raw, write_content_size=False)))
+        raw = zstandard.ZstdCompressionDict(plain_words(text), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        raw.precompute_compress(level=LEVEL)
+        out.append((name, zstandard.ZstdCompressor(level=LEVEL, dict_data=raw, write_content_size=False)))
     return out
 
 
+def reductions(block: bytes, templates: tuple[tuple[str, str], ...]) -> list[int]:
+    """Bytes each template saves as raw dictionary of the block, in their order."""
+    (_, alone), *primed = _compressors(templates)
+    size = len(alone.compress(block))
+    return [size - len(c.compress(block)) for _, c in primed]
+
+
 def size_reductions(block: str, templates: dict[str, str]) -> list[tuple[int, str]]:
     """(bytes saved by the template as raw dictionary, name), best first."""
-    data = block.encode("utf-8", "surrogatepass")
-    (_, plain), *primed = _compressors(tuple(templates.items()))
-    alone = len(plain.compress(data))
-    return sorted(((alone - len(c.compress(data)), name) for name, c in primed), key=lambda x: (-x[0], x[1]))
+    pairs = tuple(templates.items())
+    saved = reductions(plain_words(block), pairs)
+    return sorted(((n, name) for n, (name, _) in zip(saved, pairs)), key=lambda x: (-x[0], x[1]))
 
 
-def regions(text: str, reach: int) -> Iterator[tuple[int, int]]:
-    """The text within ``reach`` characters of a cue, joined where it overlaps."""
+def cues(text: str) -> list[tuple[int, int]]:
+    return sorted({m.span() for c in (CUE, ID_CUE) for m in c.finditer(text)})
+
+
+def regions(text: str, reach: int) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    """(start, stop, cues): the text within ``reach`` characters of a cue, joined where it overlaps."""
+    held: list[tuple[int, int]] = []
     start = stop = -1
-    for m in CUE.finditer(text):
-        if stop < 0 or m.start() - reach > stop:
-            if stop >= 0:
-                yield start, stop
-            start = max(0, m.start() - reach)
-        stop = min(len(text), m.end() + reach)
-    if stop >= 0:
-        yield start, stop
+    for at, end in cues(text):
+        if held and at - reach > stop:
+            yield start, stop, held
+            held = []
+        if not held:
+            start = max(0, at - reach)
+        held.append((at, end))
+        stop = min(len(text), max(stop, end + reach))
+    if held:
+        yield start, stop, held
 
 
 def blocks(form: Notice, spell: list[str], index: dict[str, list[int]], most: int) -> list[tuple[int, int]]:
@@ -181,45 +208,72 @@ def blocks(form: Notice, spell: list[str], index: dict[str, list[int]], most: in
     return out
 
 
+def confirm(form: Notice, spell: list[str | None], low: int, high: int, cue: tuple[int, int],
+            max_differences: float) -> tuple[int, int, int, int] | None:
+    """(differences, first word, end, words aligned) of the template's best
+    alignment in words low..high that holds a word of the cue, or None."""
+    most = int(max_differences * len(form.words))
+    index: dict[str, list[int]] = {}
+    for i in range(low, high):
+        if spell[i] is not None:
+            index.setdefault(spell[i], []).append(i)
+    fits = []
+    for a, b in blocks(form, spell, index, most):
+        a, b = max(a, low), min(b, high)
+        fit = align(form, spell[a:b], most)
+        if fit and a + fit[1] < cue[1] and a + fit[2] > cue[0]:
+            fits.append((fit[0], a + fit[1], a + fit[2], fit[3]))
+    return min(fits, default=None)
+
+
 def scan_text(text: str | None, templates: dict[str, str | tuple[str, ...]] = ALL, max_differences: float = 0.2) -> list[dict]:
     """Confirmed licence notices of a whole text, in order of position."""
     found = []
-    if not text or not CUE.search(text):
+    if not text or not (CUE.search(text) or ID_CUE.search(text)):
         return found
     forms = [notice(name, t) for name, ts in templates.items() for t in ((ts,) if isinstance(ts, str) else ts)]
-    reach = 2 * max((len(f.text) for f in forms), default=0)
-    for start, stop in regions(text, reach):
+    table = tuple((f.name, f.text) for f in forms)
+    longest = max((len(f.text) for f in forms), default=0)
+    for start, stop, asked in regions(text, 2 * longest):
         places = words(text[start:stop])
         spell: list[str | None] = [spelled(w) for w, _, _ in places]
-        index: dict[str, list[int]] = {}
-        for i, w in enumerate(spell):
-            index.setdefault(w, []).append(i)
-        heap: list[tuple] = []
-
-        def offer(k: int, low: int, high: int) -> None:
-            form = forms[k]
-            fit = align(form, spell[low:high], int(max_differences * len(form.words)))
-            if fit:
-                d, first, end, same = fit
-                at = low + first
-                other = at and spell[at - 1] in BEFORE and spell[at] in NAMES | COMMON
-                if other or AFTER.match(text, start + places[low + end - 1][2]):
-                    return
-                block = text[start + places[low][1]:start + places[min(high, len(places)) - 1][2]]
-                saved = size_reductions(block, {form.name: form.text})[0][0]
-                heapq.heappush(heap, (-same, d, -saved, form.name, low + first, low + end, k, low, high))
-
-        for k, form in enumerate(forms):
-            for low, high in blocks(form, spell, index, int(max_differences * len(form.words))):
-                offer(k, low, high)
-        while heap:
-            same, _, saved, name, first, end, k, low, high = heapq.heappop(heap)
-            if None in spell[first:end]:  # overlaps a notice taken before
-                offer(k, low, high)
+        ends = [start + e for _, _, e in places]
+        have = Counter(spell)
+        # templates whose identifying words are all in the region: no other can be confirmed there
+        able = [k for k, f in enumerate(forms) if all(have[w] >= n for w, n in f.needs.items())]
+        reach = max((len(forms[k].words) + int(max_differences * len(forms[k].words)) for k in able), default=0)
+        for at, end in asked:
+            first = bisect_right(ends, at)  # the words of the cue
+            last = first
+            while last < len(places) and start + places[last][1] < end:
+                last += 1
+            if not able or first == last or None in spell[first:last]:
                 continue
-            spell[first:end] = [None] * (end - first)
-            found.append({"license": name, "start": start + places[first][1], "end": start + places[end - 1][2],
-                          "saved": -saved, "missing": len(forms[k].words) + same, "extra": end - first + same})
+            low, high = max(0, first - reach), min(len(places), last + reach)
+            for i in range(low, high):  # up to the next notices taken
+                if spell[i] is None:
+                    low, high = (i + 1, high) if i < first else (low, min(high, i))
+            saved = reductions(" ".join(spell[low:high]).encode(), table)
+            best = None
+            for k in sorted(able, key=lambda k: (-saved[k], len(forms[k].text), forms[k].name)):
+                if best and saved[k] < best[0] - CLOSE:
+                    break
+                fit = confirm(forms[k], spell, low, high, (first, last), max_differences)
+                if fit is None:
+                    continue
+                differ, i, j, same = fit
+                other = i and spell[i - 1] in BEFORE and spell[i] in NAMES | COMMON
+                if other or AFTER.match(text, ends[j - 1]) or forms[k].id not in text[start + places[i][1]:ends[j - 1]]:
+                    continue
+                if best is None or differ < best[1]:
+                    best = (best[0] if best else saved[k], differ, i, j, same, k)
+                if not differ:
+                    break
+            if best:
+                _, _, i, j, same, k = best
+                spell[i:j] = [None] * (j - i)
+                found.append({"license": forms[k].name, "start": start + places[i][1], "end": ends[j - 1], "saved": saved[k],
+                              "missing": len(forms[k].words) - same, "extra": j - i - same})
     return sorted(found, key=lambda x: (x["start"], x["end"], x["license"]))
 
 
@@ -229,9 +283,11 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     extra>>) per row; positions are code points.
 
     Defined cases: a null or empty text has none; a null id stays null; of
-    overlapping notices the one with more aligned words wins, then fewer
-    differences, then the larger size reduction, then the name; repeated rows give repeated results; an empty table gives an empty
-    result. Whole texts, no shuffle; only the two named columns are read.
+    the templates confirmed at a cue the one with the largest size reduction
+    wins, among close ones that with the fewest differences, then the
+    shortest; notices never overlap; repeated rows give
+    repeated results; an empty table gives an empty result. Whole texts, no
+    shuffle; only the two named columns are read.
     """
     names = ["license", "start", "end", "saved", "missing", "extra"]
     kind = pa.list_(pa.struct([(n, pa.string() if n == "license" else pa.int64()) for n in names]))

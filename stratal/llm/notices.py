@@ -77,7 +77,9 @@ def _gnu(kind: str, version: str) -> tuple[str, ...]:
             f"version {version} of the {name}", f"{header}{later}", f"{header}{later}{end}", f"{header}.",
             f"{short} version {version} license", f"{short} {version} license", f"GNU {short} version {version}",
             f"GNU {short} {version}", f"{name} {version}",
-            f"under the terms of the {name} version {version} as published by the Free Software Foundation")
+            f"under the terms of the {name} version {version} as published by the Free Software Foundation",
+            f"{short}v{version} license", f"Licensed under {short}v{version}", f"Licensed under {short} v{version}",
+            f"Licensed under {short} v{version} or later", f"Licensed under the {short} v{version} or later")
 
 
 def _cc(letters: str, words: str) -> tuple[str, ...]:
@@ -117,8 +119,13 @@ NOTICES: dict[str, tuple[str, ...]] = {
     "CC-BY-NC-SA-4.0": _cc("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
     "CC-BY-NC-ND-4.0": _cc("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
 }
-#: SPDX lines: the name of the licence as declared.
+#: SPDX lines and short declarations: the name of the licence as declared.
 for _name in [n for n in NOTICES if n not in ("MIT-text", "BSD")]:
-    NOTICES[_name] += (f"SPDX-License-Identifier: {_name}",)
+    NOTICES[_name] += (f"SPDX-License-Identifier: {_name}", f"License: {_name}")
+#: Ids that declare a licence by themselves, in an expression or with their version.
+IDS = {_name: (_name,) for _name in ("Apache-2.0", "MIT", "MIT-0", "ISC", "0BSD", "Unlicense", "BSD-2-Clause", "BSD-3-Clause",
+                                     "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "MPL-2.0")}
+for _name in ("GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "AGPL-3"):
+    IDS[_name if "." in _name else _name + ".0"] += (_name.replace("-", "v"),)
 BSD_3_CLAUSE = f"{_BSD} {_BSD_1} {_BSD_2} {_BSD_3} {_BSD_END}"
 MIT_OPENING = _MIT

@@ -129,3 +129,94 @@ def test_unlisted_neighbours_give_no_row():
                  "This work is licensed under a Creative Commons Attribution Share Alike 3.0 International License.",
                  "Lesser GPL version 3 license", "SPDX-License-Identifier: MIT-Modern-Variant", "Apache License, Version 2.0.1"):
         assert scan_text(line) == []
+
+
+@pytest.mark.parametrize("line, names", [
+    ("License: MIT", ["MIT"]), ("Apache-2.0", ["Apache-2.0"]), ("GPLv3", ["GPL-3.0"]), ("LGPLv2.1", ["LGPL-2.1"]),
+    ("Licensed under GPL v2 or later", ["GPL-2.0"]), ("license = Apache-2.0", ["Apache-2.0"]),
+    ("SPDX-License-Identifier: MIT OR Apache-2.0", ["MIT", "Apache-2.0"]),
+    ("SPDX-License-Identifier: (Apache-2.0 OR MIT) AND BSD-3-Clause", ["Apache-2.0", "MIT", "BSD-3-Clause"]),
+    ("SPDX-License-Identifier: GPL-2.0-or-later OR MPL-2.0", ["GPL-2.0", "MPL-2.0"]),
+    ("Eine license mit vielen Bedingungen", []), ("er kam mit ihr, this or mit that", []), ("Apache-2.0.1", []), ("GPL-3.0x", [])])
+def test_short_forms_and_expressions(line, names):
+    assert [h["license"] for h in scan_text(line)] == names
+    assert [h["license"] for h in scan_text(f"word " * 500 + "\n" + line + "\n" + "word " * 500)] == names
+
+
+def test_savings_decide(monkeypatch):
+    """With savings that tell nothing, other templates are confirmed first."""
+    from stratal.llm import licenses
+
+    lines = ["Released under the MIT License.", whole("GPL-3.0", 4)]
+    before = [scan_text(x) for x in lines]
+    assert [h[0]["missing"] + h[0]["extra"] for h in before] == [0, 0] and all(h[0]["saved"] > 5 for h in before)
+    monkeypatch.setattr(licenses, "reductions", lambda block, templates: [0] * len(templates))
+    assert all([(h["start"], h["end"]) for h in a] != [(h["start"], h["end"]) for h in scan_text(x)] for a, x in zip(before, lines))
+
+
+def test_every_block_is_compressed_with_every_template(monkeypatch):
+    from stratal.llm import licenses
+
+    real, seen = licenses.reductions, []
+    monkeypatch.setattr(licenses, "reductions", lambda block, templates: seen.append(len(templates)) or real(block, templates))
+    scan_text("a b c " * 300 + TEMPLATES["MIT"] + " d e f" * 300 + " " + TEMPLATES["Apache-2.0"])
+    assert seen == [sum(map(len, licenses.ALL.values()))] * 2
+
+
+def tokens(text):
+    """(word, start, end) by hand: runs of ASCII letters and digits, licence as license, v3 as 3."""
+    out, at = [], 0
+    while at < len(text):
+        end = at
+        while end < len(text) and text[end].isascii() and text[end].isalnum():
+            end += 1
+        if end > at:
+            w = text[at:end].lower()
+            w = "licens" + w[6:] if w.startswith("licenc") else w[1:] if w[0] == "v" and w[1:].isdigit() else w
+            out.append((w, at, end))
+        at = end + 1
+    return out
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, last = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_whole_table_against_word_sequences(spark):
+    """Every place where the words of a template stand in a row is part of a hit; every hit is near one of its licence's texts."""
+    from stratal.llm.notices import IDS
+
+    texts = {}
+    for table in (TEMPLATES, NOTICES, IDS):
+        for name, forms in table.items():
+            texts.setdefault(name, []).extend([forms] if isinstance(forms, str) else forms)
+    # names alone ask for a cue beside them: templates of three words and more declare by themselves
+    wanted = [(name, [w for w, _, _ in tokens(t)]) for name, ts in texts.items() for t in ts if "icens" in t and len(tokens(t)) > 2]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    got = {}
+    for r in op7_licenses(spark, SF).collect():
+        got.setdefault(r["doc_id"], []).append(r)
+    hits = 0
+    for i, t in docs:
+        row = tokens(t or "")
+        plain = [w for w, _, _ in row]
+        first = {}
+        for at, w in enumerate(plain):
+            first.setdefault(w, []).append(at)
+        for name, form in wanted:
+            for at in first.get(form[0], ()):
+                if plain[at:at + len(form)] == form:
+                    start, end = row[at][1], row[at + len(form) - 1][2]
+                    assert any(h["start"] <= start and end <= h["end"] for h in got.get(i, ())), (i, name, start)
+                    hits += 1
+        for h in got.get(i, ()):
+            span = [w for w, _, _ in tokens(t[h["start"]:h["end"]])]
+            assert any(distance(span, [w for w, _, _ in tokens(x)]) <= 0.2 * len(tokens(x)) for x in texts[h["license"]]), h
+        spans = sorted((h["start"], h["end"]) for h in got.get(i, ()))
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert hits > 20
