@@ -1,15 +1,24 @@
 """Exact top-k inner products by a Voronoi join.
 
 Method. A bounded sample of the data gives pivots; every data vector and
-every query belongs to its nearest pivot. Per data group the number of
-vectors and the distribution of their distances to the pivot are summarised;
-per query group the radius. By Cauchy-Schwarz, with x = p + r,
-q.x >= q.p - |q| |r| and q.x <= q.p + |q| |r|, so the summaries give each
-query group a lower bound of its k-th best score and each data group an upper
-bound; data groups are replicated only to the query groups they can still
-improve. Query groups and data groups are cut into blocks of bounded
-size, each pair of blocks is solved in one task by an integer matrix product,
-and the blocks' best k are merged by rank.
+every query belongs to its nearest pivot. Large cells are cut into shells by the
+distance to the pivot; each shell is summarised by its reach (the largest
+distance), its longest vector and its size.
+
+Every query first meets one bounded block of its own cell: the k-th best
+score found there is a bound that only better candidates beat. By
+Cauchy-Schwarz, with x = p + r, q.x <= q.p + |q| |r|; by the triangle
+inequality, |q - x| >= |q - p| - |r| bounds q.x = (|q|^2 + |x|^2 - |q - x|^2) / 2
+as well. A shell whose bounds stay below a query's score holds none of its
+answers. Queries of neighbouring cells form groups of bounded size; a shell
+is replicated only to the groups that hold a query which needs it, and a query only
+to the shells it needs. Small shells share a task, large ones are cut into
+blocks. A task computes exact integer products and returns, per query, at
+most k candidates that reach its bound; they are merged by rank.
+
+Where vectors have no clusters (random ones in many dimensions) the bounds
+hold back nothing, and every group meets every block: the work of a plain
+blocked search, with one copy of the data per group of queries.
 """
 
 from __future__ import annotations
@@ -25,8 +34,9 @@ from pyspark.sql import functions as F
 from stratal.llm.arrow import groups
 from stratal.session import materialize
 
-PIVOTS, QUERY_BLOCK, DATA_BLOCK = 64, 1024, 4096
-LEVELS = [0.0, 0.01, 0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.75, 1.0]
+PIVOTS, QUERY_BLOCK, DATA_BLOCK = 64, 4096, 8192
+SHELLS = 16  # per cell, at most
+SLACK = 1e-9  # of the bounds, relative
 LONG = 2 ** 63 - 1
 
 
@@ -65,6 +75,14 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
     return rows[keep], cols[keep]
 
 
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """A column of vectors of one length as a matrix."""
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if isinstance(whole, pa.ChunkedArray):
+        whole = pa.concat_arrays(whole.chunks)
+    return whole.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(column), -1)
+
+
 def _assign(pivots: np.ndarray):
     """Nearest pivot, distance to it and length of every vector."""
 
@@ -72,7 +90,7 @@ def _assign(pivots: np.ndarray):
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 b = batch.slice(at, 4096)
-                x = np.array(b.column("vec").to_pylist(), np.float64).reshape(b.num_rows, -1)
+                x = _matrix(b.column("vec"))
                 near = np.full(len(x), -1)
                 dist = np.full(len(x), np.inf)
                 for k, p in enumerate(pivots):  # bounded: one pass per pivot, no |x|^2 cancellation
@@ -86,35 +104,48 @@ def _assign(pivots: np.ndarray):
     return run
 
 
-def plan_pairs(pivots: np.ndarray, data: list, queries: list, k: int) -> list[tuple[int, int]]:
-    """(query cell, data cell) pairs that can hold a top-k answer.
+Unit = tuple[int, int, float, float, int]  # cell, shell, reach, longest vector, rows
 
-    ``data``: (cell, [(distance, vectors within it)]); ``queries``: (cell,
-    radius, longest query). For a query q of cell i at pivot a, q = a + s with
-    |s| <= radius: q.p lies within a.p +- radius |p|.
-    """
-    slack = 1e-9
-    out = []
-    for cell, radius, longest in queries:
-        a = pivots[cell]
-        low, high = [], []
-        for d, steps in data:
-            p = pivots[d]
-            mid, blur = float(a @ p), radius * float(np.sqrt(p @ p))
-            seen = 0
-            for reach, within in steps:
-                tol = slack * (abs(mid) + blur + longest * reach + 1)
-                low.append((mid - blur - longest * reach - tol, within - seen))
-                seen = within
-            reach = steps[-1][0]
-            high.append((mid + blur + longest * reach + slack * (abs(mid) + blur + longest * reach + 1), d))
-        bound, got = -np.inf, 0
-        for value, n in sorted(low, reverse=True):
-            got += n
-            if got >= k + 1:  # one more than k: a query does not count itself
-                bound = value
-                break
-        out += [(cell, d) for top, d in high if top >= bound]
+
+def needed(vec: np.ndarray, least: np.ndarray, pivots: np.ndarray, units: list[Unit]) -> np.ndarray:
+    """(queries x units): whether a unit may hold a score of at least ``least``."""
+    cell = np.array([u[0] for u in units], np.int64)
+    reach, longest = (np.array([u[i] for u in units], np.float64) for i in (2, 3))
+    with np.errstate(over="ignore", invalid="ignore"):
+        size = np.sqrt((vec * vec).sum(axis=1))
+        middle = (vec @ pivots.T)[:, cell]
+        away = np.stack([np.sqrt(((vec - p) ** 2).sum(axis=1)) for p in pivots], 1)[:, cell]
+        spread = size[:, None] * reach
+        near = np.maximum(0.0, away - reach)
+        first = middle + spread + SLACK * (np.abs(middle) + spread + 1)
+        second = (size[:, None] ** 2 + longest ** 2 - near ** 2) / 2
+        second += SLACK * (size[:, None] ** 2 + longest ** 2 + away ** 2 + reach ** 2 + 1)
+        return ~((first < least[:, None]) | (second < least[:, None]))  # a bound that is no number keeps the unit
+
+
+def chain(pivots: np.ndarray, cells: list[int]) -> list[int]:
+    """The cells in an order in which neighbours follow each other."""
+    left, order = sorted(cells), []
+    while left:
+        at = left[0] if not order else min(left, key=lambda c: (float(((pivots[c] - pivots[order[-1]]) ** 2).sum()), c))
+        left.remove(at)
+        order.append(at)
+    return order
+
+
+def bundles(items: list[tuple[tuple, int]], size: int) -> list[tuple[tuple, int, int]]:
+    """(key, bundle, blocks): keys in their order, small ones together up to
+    ``size`` rows, a large one alone in as many blocks as it needs. Numbers of
+    bundles leave room for the blocks."""
+    out, bundle, filled = [], 0, 0
+    for key, n in items:
+        if filled and filled + n > size:
+            bundle, filled = bundle + 1, 0
+        blocks = -(-n // size)
+        out.append((key, bundle, max(1, blocks)))
+        filled += n
+        if blocks > 1:
+            bundle, filled = bundle + 1, 0
     return out
 
 
@@ -148,59 +179,119 @@ def top_k(vectors: DataFrame, queries: Column, k: int, id_col: str = "vec_id", v
             .select("query_id", "rank", "vec_id", "score"))
 
 
+def _block(of: str, total: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(of), F.lit("block")), F.col(total)).cast("int")
+
+
+def _tables(batches: Iterator[pa.RecordBatch], keys: list[str]):
+    """(asking rows, data rows) of each task's groups as (ids, vectors, bounds); groups without either are passed over."""
+    for t in groups(batches, keys):
+        ask = t.column("ask").to_numpy()
+        if ask.all() or not ask.any():
+            continue
+        ids = t.column("id").to_numpy()
+        vec = _matrix(t.column("vec"))
+        least = t.column("least").fill_null(0).to_numpy() if "least" in t.column_names else None  # whole numbers stay exact
+        yield (t, (ids[ask], vec[ask], least[ask] if least is not None else None), (ids[~ask], vec[~ask]))
+
+
+def _scores(q_ids, q_vec, d_ids, d_vec, step: int = 256):
+    """(first query, scores, own): integer products of blocks of queries, a query's own id at the bottom."""
+    for at in range(0, len(q_ids), step):
+        scores = inner_products(q_vec[at:at + step], d_vec)
+        own = q_ids[at:at + step, None] == d_ids[None, :]
+        scores[own] = -LONG
+        yield at, scores, own
+
+
+def _first_bounds(cells: DataFrame, k: int, data_block: int) -> DataFrame:
+    """(cell, id, vec, least): the k-th best score of every query in one block of
+    its own cell, the least long where the block has fewer candidates."""
+    sizes = cells.groupBy("cell").agg(F.ceil(F.count("*") / data_block).alias("blocks"))  # one row per pivot
+    keyed = cells.join(F.broadcast(sizes), "cell").withColumn("db", _block("id", "blocks"))
+    asks = keyed.where("is_query").select("cell", "db", F.lit(True).alias("ask"), "id", "vec")
+    gives = keyed.select("cell", "db", F.lit(False).alias("ask"), "id", "vec")
+    keys = ["cell", "db"]
+    dealt = asks.unionByName(gives).repartition(*keys).sortWithinPartitions(*keys, "ask", "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, (q, q_vec, _), (d, d_vec) in _tables(batches, keys):
+            column = t.column("vec").filter(t.column("ask")).combine_chunks()
+            for at, scores, own in _scores(q, q_vec, d, d_vec):
+                enough = (~own).sum(axis=1) >= k
+                least = np.full(len(scores), -LONG, np.int64)
+                if enough.any():
+                    least[enough] = -np.partition(-scores[enough], k - 1, axis=1)[:, k - 1]
+                cell = pa.array(np.full(len(scores), t.column("cell")[0].as_py(), np.int32))
+                yield pa.RecordBatch.from_arrays([cell, pa.array(q[at:at + len(scores)]), column.slice(at, len(scores)), pa.array(least)],
+                                                 names=["cell", "id", "vec", "least"])
+
+    return dealt.mapInArrow(run, "cell int, id long, vec array<double>, least long")
+
+
 def _solve_dim(rows: DataFrame, n: int, k: int, pivots: int, query_block: int, data_block: int) -> DataFrame:
     spark = rows.sparkSession
     wanted = max(1, min(pivots, int(n ** 0.5)))
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(wanted).select("vec").collect()
     points = np.unique(np.array([r["vec"] for r in sample], np.float64).reshape(len(sample), -1), axis=0)
-    cells = materialize(rows.select("id", "vec").mapInArrow(_assign(points), "id long, cell int, dist double, len double, vec array<double>")
-                        .join(rows.where("is_query").select("id", "is_query").distinct(), "id", "left")
-                        .withColumn("is_query", F.coalesce("is_query", F.lit(False))), "knn-cells")
-    # summaries: one row per cell, pivots bound them
-    levels = F.percentile_approx("dist", LEVELS, 1000).alias("q")
-    data = cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("dist").alias("reach"), levels)
-    steps = cells.join(data.select("cell", F.explode("q").alias("upto")), "cell").where("dist <= upto").groupBy("cell", "upto").agg(
-        F.count("*").alias("within")).collect()
-    far = {r["cell"]: (r["reach"], r["n"]) for r in data.collect()}
-    curve: dict[int, list] = {c: [] for c in far}
-    for r in steps:
-        curve[r["cell"]].append((r["upto"], r["within"]))
-    summary = [(c, sorted(set(curve[c]) | {far[c]})) for c in sorted(far)]
-    asked = [(r["cell"], r["radius"], r["longest"]) for r in cells.where("is_query").groupBy("cell").agg(
-        F.max("dist").alias("radius"), F.max("len").alias("longest"), F.count("*").alias("n")).collect()]
-    sizes = {r["cell"]: r["n"] for r in cells.where("is_query").groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    todo = [(q, d, -(-sizes[q] // query_block), -(-far[d][1] // data_block)) for q, d in plan_pairs(points, summary, asked, k)]
-    pairs = F.broadcast(spark.createDataFrame(todo, "qcell int, dcell int, qblocks int, dblocks int"))  # at most pivots squared
-
-    def block(of: str, total: str) -> Column:
-        return F.pmod(F.xxhash64(of), F.col(total)).cast("int")
-
-    asks = (cells.where("is_query").join(pairs, F.col("cell") == F.col("qcell"))
-            .withColumn("qb", block("id", "qblocks"))
+    assigned = rows.select("id", "vec").mapInArrow(_assign(points), "id long, cell int, dist double, len double, vec array<double>")
+    asked = rows.where("is_query").select("id", "is_query").distinct()
+    cells = materialize(assigned.join(asked, "id", "left").withColumn("is_query", F.coalesce("is_query", F.lit(False))), "knn-cells")
+    # shells of the cells that fill more than a block; at most SHELLS a cell
+    marks = F.percentile_approx("dist", [i / SHELLS for i in range(1, SHELLS)], 1000)
+    cuts = cells.groupBy("cell").agg(F.when(F.count("*") > data_block, F.array_distinct(marks)).otherwise(F.array()).alias("cuts"))
+    shelled = (cells.join(F.broadcast(cuts), "cell")
+               .withColumn("shell", F.size(F.filter("cuts", lambda m: m < F.col("dist")))).drop("cuts"))
+    units = [(r["cell"], r["shell"], r["reach"], r["longest"], r["n"]) for r in shelled.groupBy("cell", "shell").agg(
+        F.max("dist").alias("reach"), F.max("len").alias("longest"), F.count("*").alias("n")).collect()]
+    queries = {r["cell"]: r["n"] for r in cells.where("is_query").groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    order = {c: i for i, c in enumerate(chain(points, sorted({u[0] for u in units})))}
+    units.sort(key=lambda u: (order[u[0]], u[1]))
+    data_plan = bundles([((i,), u[4]) for i, u in enumerate(units)], data_block)
+    query_plan = bundles([((c,), queries[c]) for c in sorted(queries, key=order.__getitem__)], query_block)
+    at = {(u[0], u[1]): i for i, u in enumerate(units)}
+    unit_rows = F.broadcast(spark.createDataFrame(
+        [(c, sh, i, data_plan[i][1], data_plan[i][2]) for (c, sh), i in at.items()], "cell int, shell int, unit int, bundle int, dblocks int"))
+    group_rows = F.broadcast(spark.createDataFrame([(c[0], g, b) for c, g, b in query_plan], "cell int, grp int, qblocks int"))
+
+    keyed = _first_bounds(cells, k, data_block).join(group_rows, "cell").withColumn("qb", _block("id", "qblocks"))
+    shared = spark.sparkContext.broadcast((points, units, data_plan))  # at most pivots * SHELLS units
+
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each query with the bundles and the units it needs."""
+        pivots_, units_, bundled = shared.value
+        of = np.array([b for _, b, _ in bundled], np.int64)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1024):
+                b = batch.slice(start, 1024)
+                vec = _matrix(b.column("vec"))
+                need = needed(vec, b.column("least").to_numpy().astype(np.float64), pivots_, units_)
+                lists = [np.flatnonzero(row).tolist() for row in need]
+                yield pa.RecordBatch.from_arrays(
+                    [*[b.column(c) for c in ("grp", "qb", "id", "vec", "least")], pa.array(lists, pa.list_(pa.int32())),
+                     pa.array([np.unique(of[x]).tolist() for x in lists], pa.list_(pa.int32()))],
+                    names=["grp", "qb", "id", "vec", "least", "units", "bundles"])
+
+    planned = materialize(keyed.select("grp", "qb", "id", "vec", "least").mapInArrow(
+        plan, "grp int, qb int, id long, vec array<double>, least long, units array<int>, bundles array<int>"), "knn-queries")
+    wants = planned.select("grp", "qb", F.explode("units").alias("unit")).distinct()
+    blocks = F.broadcast(unit_rows.select("bundle", "dblocks").distinct())
+    asks = (planned.select("grp", "qb", "id", "vec", "least", F.explode("bundles").alias("bundle")).join(blocks, "bundle")
             .withColumn("db", F.explode(F.sequence(F.lit(0), F.col("dblocks") - 1))).withColumn("ask", F.lit(True)))
-    gives = (cells.join(pairs, F.col("cell") == F.col("dcell"))
-             .withColumn("db", block("id", "dblocks"))
-             .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("qblocks") - 1))).withColumn("ask", F.lit(False)))
-    keys = ["qcell", "dcell", "qb", "db"]
-    dealt = (asks.select(*keys, "ask", "id", "vec").unionByName(gives.select(*keys, "ask", "id", "vec"))
-             .repartition(*keys).sortWithinPartitions(*keys, "ask", "id"))
+    gives = (shelled.join(unit_rows, ["cell", "shell"]).join(wants, "unit").withColumn("db", _block("id", "dblocks"))
+             .withColumn("ask", F.lit(False)).withColumn("least", F.lit(None).cast("long")))
+    keys = ["grp", "qb", "bundle", "db"]
+    columns = [*keys, "ask", "id", "vec", "least"]
+    dealt = asks.select(*columns).unionByName(gives.select(*columns)).repartition(*keys).sortWithinPartitions(*keys, "ask", "id")
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in groups(batches, keys):
-            ask = t.column("ask").to_numpy()
-            ids = t.column("id").to_numpy()
-            if ask.all() or not ask.any():
-                continue
-            vec = np.array(t.column("vec").to_pylist(), np.float64).reshape(len(ids), -1)
-            q, d = ids[ask], ids[~ask]
-            for at in range(0, len(q), 256):
-                scores = inner_products(vec[ask][at:at + 256], vec[~ask])
-                own = q[at:at + 256, None] == d[None, :]
-                scores[own] = -LONG
+        for _, (q, q_vec, least), (d, d_vec) in _tables(batches, keys):
+            for start, scores, own in _scores(q, q_vec, d, d_vec):
+                low = least[start:start + len(scores)].astype(np.int64)
                 rows_, cols = best(scores, d, k)
-                other = ~own[rows_, cols]
-                rows_, cols = rows_[other], cols[other]
-                yield pa.RecordBatch.from_arrays([pa.array(q[at + rows_]), pa.array(d[cols]), pa.array(scores[rows_, cols])],
+                good = ~own[rows_, cols] & (scores[rows_, cols] >= low[rows_])
+                rows_, cols = rows_[good], cols[good]
+                yield pa.RecordBatch.from_arrays([pa.array(q[start + rows_]), pa.array(d[cols]), pa.array(scores[rows_, cols])],
                                                  names=["query_id", "vec_id", "score"])
 
     return dealt.mapInArrow(solve, "query_id long, vec_id long, score long")
