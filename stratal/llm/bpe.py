@@ -1,13 +1,15 @@
 """BPE encoding and decoding through a table of distinct words.
 
 Method. Texts are split at ASCII white space (which the tokenizer file drops,
-so words are independent). Words are counted with a map-side sum; every
-distinct word is encoded once and the table (word, count, ids) is stored. The
-``hot`` most frequent words (a bound in rows and characters) are sent to all
-tasks, which turn texts into arrays of word codes; the words beyond are
-joined to the table on the word and come back by position in the document.
-Frequent words never meet in a join, so no join key is hot. Decoding joins
-ids to their pieces through the vocabulary, a table bounded by the file.
+so words are independent). The words of a bounded sample of rows are counted and
+encoded once; the most frequent ones (a bound in rows and characters) are sent
+to all tasks, which turn texts into arrays of word codes. Every other word is
+shuffled by the word with the places it stands at; the task that holds a
+word encodes it once, and its ids go back and are joined by position in the
+document. The sample decides only which way a word takes, never its ids. A
+word frequent enough to be a hot key is in the sample, so it never meets a
+shuffle. Decoding joins ids to their pieces through the vocabulary, a table
+bounded by the file.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from stratal.llm.arrow import slices
 from stratal.llm.tokens import encoder, id_column, spread
 from stratal.session import materialize
 
+SAMPLE_ROWS = 1 << 15  # rows whose words may be sent to all tasks
 HOT = 1 << 20  # words sent to all tasks
 HOT_CHARS = 1 << 24  # and their characters in sum, at most
 SLICE = 4 << 20  # bytes of text a task works on at a time
@@ -70,6 +73,14 @@ def count_words(docs: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def sample_rows(rows: DataFrame, wanted: int) -> DataFrame:
+    """About ``wanted`` rows by a hash of their text (all, if there are fewer); equal texts go together."""
+    share = wanted / max(1, rows.count())
+    if share >= 1:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(F.lit(7), "text"), F.lit(1 << 40)) < int(share * (1 << 40)))
+
+
 def encode_words(words: DataFrame, path: str) -> DataFrame:
     """(word, n, ids): each distinct word encoded once; ids little-endian
     unsigned 32-bit."""
@@ -105,8 +116,29 @@ def _hot(table: DataFrame, hot: int, hot_chars: int) -> tuple[pa.Array, np.ndarr
     return names, ids, np.concatenate([[0], lens])
 
 
+def _encode_rare(tokenizer_path: str):
+    """(k1, k2, at, ids) of rows (k1, k2, at, word) sorted by word: each word is encoded once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(tokenizer_path)
+        last: tuple[str, bytes] = ("", b"")  # a word may go on in the next batch
+        for b in slices(batches, "word", 1 << 18):
+            coded = b.column("word").dictionary_encode()
+            names = coded.dictionary.to_pylist()
+            fresh = names[1:] if names[0] == last[0] else names
+            ids, lens = enc.flat(fresh)
+            cells = id_column(ids, lens)
+            if len(fresh) < len(names):
+                cells = pa.concat_arrays([pa.array([last[1]], pa.binary()), cells])
+            last = names[-1], cells[-1].as_py()
+            yield pa.RecordBatch.from_arrays([b.column("k1"), b.column("k2"), b.column("at"), cells.take(coded.indices)],
+                                             names=["k1", "k2", "at", "ids"])
+
+    return run
+
+
 def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT,
-               hot_chars: int = HOT_CHARS) -> DataFrame:
+               hot_chars: int = HOT_CHARS, sample: int = SAMPLE_ROWS) -> DataFrame:
     """(id_col, n_tokens, ids) per row of ``docs``; ids as little-endian
     unsigned 32-bit integers, as the tokenizers library encodes the whole
     text without special tokens added, truncation or padding.
@@ -115,12 +147,13 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     null id stays null; repeated rows are encoded once and returned as often
     as they occur; special tokens inside a text become their ids, as in the
     library; an empty table gives an empty result. Only the two named columns
-    are read. ``hot`` must stay below 2 ** 24 - 1.
+    are read. ``hot`` must stay below 2 ** 24 - 1. ``sample`` bounds the rows
+    from which the words sent to all tasks are taken; it does not change results.
     """
     kind = docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     spark = docs.sparkSession
-    table = materialize(encode_words(count_words(rows), tokenizer_path), "bpe-words")
+    table = materialize(encode_words(count_words(sample_rows(rows, sample)), tokenizer_path), "bpe-words")
     names, flat, lens = _hot(table, hot, hot_chars)
     known = spark.sparkContext.broadcast(names)
     hot_ids = spark.sparkContext.broadcast((flat, lens))
@@ -161,8 +194,9 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     keys = ["k1", "k2"]
     coded = (keyed.mapInArrow(word_codes, f"k1 long, k2 long, id {kind}, codes binary")
              .groupBy(keys).agg(F.first("id").alias("id"), F.first("codes").alias("codes"), F.count("*").alias("times")))
-    placed = (keyed.select("k1", "k2", "text").mapInArrow(rare_words, "k1 long, k2 long, at int, word string")
-              .join(table.select("word", "ids"), "word").select("k1", "k2", "at", "ids")
+    spots = keyed.select("k1", "k2", "text").mapInArrow(rare_words, "k1 long, k2 long, at int, word string")
+    placed = (spots.repartition("word").sortWithinPartitions("word")
+              .mapInArrow(_encode_rare(tokenizer_path), "k1 long, k2 long, at int, ids binary")
               .repartition("k1", "k2")  # plain rows move, they are collected behind the exchange
               .dropDuplicates(["k1", "k2", "at"]))  # of equal rows; inside the partition
     joined = placed.groupBy(keys).agg(F.collect_list(F.struct("at", "ids")).alias("rare"))
@@ -191,7 +225,7 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
             filled = np.zeros(len(code), bool)
             filled[spots] = True
             if (rare != filled).any():
-                raise ValueError("a word is missing from the word table")
+                raise ValueError("a word has no ids")
             ids = spread(np.concatenate([base, np.frombuffer(b"".join(pieces), "<u4")]), starts, sizes)
             ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(words)])]
             n = np.diff(ends)

@@ -74,3 +74,27 @@ def test_many_equal_rows(spark, library):
     got = bpe_encode(docs, PATH, hot=0)
     ids = library.encode(text, add_special_tokens=False).ids
     assert got.groupBy("ids").count().collect() == [(np.array(ids, "<u4").tobytes(), 4000)]
+
+
+@pytest.mark.parametrize("sample", [1, 40, 1 << 15])
+def test_the_sample_does_not_change_results(spark, library, sample):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["the", "of", f"w{rng.randrange(400)}", f"Ünique{k}x{rng.randrange(9)}"]) for _ in range(40)) for k in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: np.frombuffer(bytes(r["ids"]), "<u4").tolist() for r in bpe_encode(docs, PATH, sample=sample).collect()}
+    assert got == {i: library.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
+
+
+def test_a_word_over_several_batches_is_encoded_once(library):
+    import pyarrow as pa
+
+    from stratal.llm.bpe import _encode_rare
+
+    words = ["alpha"] * 30_000 + ["beta"] * 10 + ["gamma"] * 70_000
+    n = len(words)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array([0] * n), pa.array([0] * n, pa.int32()), pa.array(words)],
+                                       names=["k1", "k2", "at", "word"])
+    out = pa.Table.from_batches(list(_encode_rare(PATH)(iter([batch]))))
+    ids = {w: np.array(library.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in set(words)}
+    assert out.column("k1").to_pylist() == list(range(n))
+    assert out.column("ids").to_pylist() == [ids[w] for w in words]
