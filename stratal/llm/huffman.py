@@ -33,6 +33,7 @@ from stratal.session import materialize
 
 MAX_BITS, STEP = 16, 256
 FILE_IDS, BLOCK_IDS = 8 << 20, 1 << 20
+MAX_RANGES = 1 << 14  # tasks that write files, and their bounds on the driver; a range is cut into files by size
 DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<u4"), ("at", "<u4")])
 BLOCK = "<IQII"
 DENSE = 1 << 22
@@ -221,27 +222,62 @@ def global_code(tokens: DataFrame, max_bits: int = MAX_BITS) -> Code:
     return Code.from_counts(rows.column("sym").to_numpy(), rows.column("n").to_numpy(), max_bits)
 
 
+class Ranges:
+    """Ascending ranges of ids, of which there are at most about twice
+    ``MAX_RANGES`` whatever the table's size is. Null ids come first. An id
+    (or the null one) that fills several ranges by itself is spread over as many by salt."""
+
+    def __init__(self, marks: list[int], nulls: int):
+        """``marks``: ids at equal shares of the rows, ascending, repeated
+        where an id holds several shares; ``nulls``: ranges for null ids."""
+        times: dict[int, int] = {}
+        for m in marks:
+            times[m] = times.get(m, 0) + 1
+        hot = {m: t for m, t in times.items() if t > 1}
+        cuts = set(times) | {m + 1 for m in hot if m < (1 << 63) - 1}
+        self.cuts = np.array(sorted(cuts), np.int64)
+        # intervals: nulls, ids below the first cut, then from each cut to the next
+        self.width = np.array([max(1, nulls), 1, *[hot.get(int(c), 1) for c in self.cuts]], np.int64)
+        self.base = np.cumsum(self.width) - self.width
+
+    @property
+    def total(self) -> int:
+        return int(self.width.sum())
+
+    def of(self, ids: pa.Array, salt: np.ndarray) -> np.ndarray:
+        known = 1 + np.searchsorted(self.cuts, ids.fill_null(0).to_numpy(), side="right")
+        at = np.where(ids.is_null().to_numpy(zero_copy_only=False), 0, known)
+        return (self.base[at] + salt % self.width[at]).astype(np.int32)
+
+
+def plan_ranges(tokens: DataFrame, file_ids: int) -> Ranges:
+    """Ranges of about ``file_ids`` ids, or larger ones where that would be more than ``MAX_RANGES``."""
+    total, docs, known = tokens.agg(F.sum("n"), F.count("*"), F.count("id")).first()
+    wanted = min(MAX_RANGES, int(total or 0) // file_ids + 1)
+    nulls = -(-(docs - known) * wanted // docs) if docs else 1
+    marks: list[int] = []
+    if wanted > 1 and known:
+        shares = [k / wanted for k in range(1, wanted)]
+        marks = sorted(tokens.agg(F.percentile_approx("id", shares, 10 * wanted)).first()[0])
+    return Ranges(marks, nulls)
+
+
 def write_token_files(tokens: DataFrame, out: str, max_bits: int = MAX_BITS, step: int = STEP,
                       file_ids: int = FILE_IDS, block_ids: int = BLOCK_IDS) -> None:
     """Write ``tokens`` (id, n, ids) as token files under ``out`` in ascending
     order of id (nulls first, repeated ids together), about ``file_ids`` ids a
-    file. ``tokens`` is read three times: pass a stored table."""
+    file. ``tokens`` is read several times: pass a stored table. A column
+    ``salt`` spreads the rows of one id that fills several files; without it
+    a hash of their ids does, which keeps equal rows together."""
     spark = tokens.sparkSession
     code = spark.sparkContext.broadcast(global_code(tokens, max_bits).pack())
-    total = int(tokens.agg(F.sum("n")).first()[0] or 0)
-    ranges = total // file_ids + 1
-    # boundaries between files: ids of every total / ranges-th document (a bounded list)
-    cuts = []
-    if ranges > 1:
-        marks = [k / ranges for k in range(1, ranges)]
-        cuts = sorted(set(tokens.agg(F.percentile_approx("id", marks, 10 * ranges).alias("q")).first()[0] or []))
-    bounds = spark.sparkContext.broadcast(np.array(cuts, np.int64))
+    salt = F.col("salt") if "salt" in tokens.columns else F.xxhash64("ids")
+    tokens = tokens.select("id", "n", "ids", F.pmod(salt.cast("long"), F.lit(1 << 40)).alias("salt"))
+    plan = plan_ranges(tokens, file_ids)
+    bounds = spark.sparkContext.broadcast(plan)
 
     def ranges_of(b: pa.RecordBatch) -> np.ndarray:
-        doc = b.column("id")
-        known = doc.fill_null(0).to_numpy()
-        return np.where(doc.is_null().to_numpy(zero_copy_only=False), 0,
-                        np.searchsorted(bounds.value, known, side="right")).astype(np.int32)
+        return bounds.value.of(b.column("id"), b.column("salt").to_numpy())
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -250,10 +286,12 @@ def write_token_files(tokens: DataFrame, out: str, max_bits: int = MAX_BITS, ste
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(got[at])], names=["range", "n"])
 
     offsets, at = {}, 0
-    per_range = tokens.select("id", "n").mapInArrow(sums, "range int, n long").groupBy("range").agg(F.sum("n").alias("n"))
+    # one row per range
+    per_range = tokens.select("id", "n", "salt").mapInArrow(sums, "range int, n long").groupBy("range").agg(F.sum("n").alias("n"))
     for r in sorted(per_range.collect()):
         offsets[r["range"]], at = at, at + r["n"]
     first = spark.sparkContext.broadcast(offsets)
+    per_file = max(1, file_ids // block_ids)  # blocks, behind the code
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = Code.unpack(code.value)
@@ -280,27 +318,32 @@ def write_token_files(tokens: DataFrame, out: str, max_bits: int = MAX_BITS, ste
             head = struct.pack(BLOCK, len(rows), position, step, at)
             return part(b"HTB1", b"".join([head, docs.tobytes(), *[r[3] for r in rows], *[r[2] for r in rows]]))
 
-        started, rows, held, position, current = False, [], 0, 0, None
+        written, rows, held, position, current = 0, [], 0, 0, None
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal written
+            if written % per_file == 0:  # every file starts with the code
+                yield emit(part(b"HTC1", code.value))
+            written += 1
+            yield emit(block(rows, position))
+
         for b in slices(batches, "bits"):
             cols = [b.column(c).to_pylist() for c in ("range", "id", "n", "bits", "marks")]
             for r, doc, n, bits, marks in zip(*cols):
-                if not started:
-                    started = True
-                    yield emit(part(b"HTC1", code.value))
                 if rows and (r != current or held + n > block_ids):
-                    yield emit(block(rows, position))
+                    yield from flush()
                     position, rows, held = position + held, [], 0
                 if r != current:
                     current, position = r, first.value[r]
                 rows.append((doc, n, bits, marks))
                 held += n
         if rows:
-            yield emit(block(rows, position))
+            yield from flush()
 
-    coded = tokens.select("id", "n", "ids").mapInArrow(encode, "range int, id long, n long, bits binary, marks binary")
-    (coded.repartitionById(ranges, "range").sortWithinPartitions("range", "id", "n", "bits")
+    coded = tokens.mapInArrow(encode, "range int, id long, n long, bits binary, marks binary")
+    (coded.repartitionById(plan.total, "range").sortWithinPartitions("range", "id", "n", "bits")
      .mapInArrow(assemble, "value binary").select(F.col("value").cast("string").alias("value"))
-     .write.mode("overwrite").option("lineSep", "\n").text(out))
+     .write.mode("overwrite").option("lineSep", "\n").option("maxRecordsPerFile", str(per_file + 1)).text(out))
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -351,9 +394,11 @@ def token_round_trip(docs: DataFrame, tokenizer_path: str, out: str, end_id: int
     """Tokenize, write token files under ``out`` and read them back.
 
     Defined cases: a null or empty text is its end id only; a null id comes
-    first; rows of equal id are ordered by length, then by their coded bits;
+    first; rows of equal id are ordered by length, then by their coded bits (an
+    id that fills several files: inside each of them);
     an empty table writes no documents.
     """
-    tokens = materialize(tokenize(docs, tokenizer_path, end_id, id_col, text_col), "tokens")
+    tokens = tokenize(docs, tokenizer_path, end_id, id_col, text_col).withColumn("salt", F.monotonically_increasing_id())
+    tokens = materialize(tokens, "tokens")
     write_token_files(tokens, out)
     return read_token_files(docs.sparkSession, out)

@@ -129,3 +129,55 @@ def test_empty_table_and_damage(spark, tmp_out):
     assert token_round_trip(none, PATH, tmp_out).collect() == []
     with pytest.raises(ValueError):
         list(parts(b"HTB1" + b"\x09" + bytes(7) + b"short"))
+
+
+def test_ranges_ascend_and_spread_hot_ids():
+    import pyarrow as pa
+
+    from stratal.llm.huffman import Ranges
+
+    plan = Ranges([3, 7, 7, 7, 7, 20, (1 << 63) - 1, (1 << 63) - 1], 5)
+    ids = pa.array([None] * 50 + [-9, 0, 2, 3, 6] + [7] * 50 + [8, 19, 20, 10 ** 12] + [(1 << 63) - 1] * 9, pa.int64())
+    got = plan.of(ids, np.arange(len(ids)))
+    assert sorted(got[:50]) == sorted([0, 1, 2, 3, 4] * 10)
+    rest = got[50:]
+    lows = {}
+    for i, r in zip(ids.to_pylist()[50:], rest):
+        lows.setdefault(i, set()).add(int(r))
+    order = sorted(lows)
+    assert all(max(lows[a]) <= min(lows[b]) for a, b in zip(order, order[1:]))
+    assert len(lows[7]) == 4 and not lows[7] & (lows[6] | lows[8]) and len(lows[(1 << 63) - 1]) == 2
+    assert max(map(max, lows.values())) < plan.total
+
+
+def test_hot_ids_spread_over_files_of_bounded_size(spark, tmp_out):
+    from pyspark.sql import functions as F
+
+    from stratal.llm import huffman
+    from stratal.session import glob_paths
+
+    rng = np.random.default_rng(3)
+    rows = [(None, 6, [5, 4, 3, 2, 1, 2])] * 4000 + [(7, 5, [9, 9, 8, 1, 2])] * 2000
+    rows += [(int(i), int(n), [int(x) for x in rng.integers(0, 50, n)]) for i, n in zip(rng.integers(-50, 900, 1500), rng.integers(1, 9, 1500))]
+    tokens = (spark.createDataFrame([(i, n, np.array(x, "<u4").tobytes()) for i, n, x in rows], "id long, n long, ids binary").repartition(6)
+              .withColumn("salt", F.monotonically_increasing_id()))
+    stored = huffman.materialize(tokens, "test-tokens")
+    huffman.write_token_files(stored, tmp_out, file_ids=2000, block_ids=400)
+    files = glob_paths(spark, f"{tmp_out}/part-*")
+    read = {f: [(r["start"], r["id"], r["n"], bytes(r["ids"])) for r in huffman.read_token_files(spark, f).collect()] for f in files}
+    assert max(sum(r[2] for r in x) for x in read.values()) <= 2000 + 5 * 8  # blocks end with whole rows
+    assert sum(any(r[1] is None for r in x) for x in read.values()) >= 12
+    got = sorted(r for x in read.values() for r in x)
+    assert [r[0] for r in got] == list(np.cumsum([0] + [r[2] for r in got[:-1]]))
+    ids = [r[1] for r in got]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i))
+    assert sorted(map(str, (r[1:] for r in got))) == sorted(str((i, n, np.array(x, "<u4").tobytes())) for i, n, x in rows)
+
+
+def test_ranges_are_bounded(spark, monkeypatch):
+    from stratal.llm import huffman
+
+    monkeypatch.setattr(huffman, "MAX_RANGES", 10)
+    tokens = spark.range(5000).selectExpr("id", "CAST(3 AS long) AS n")
+    plan = huffman.plan_ranges(tokens, 1)
+    assert plan.total <= 21 and len(plan.cuts) <= 20
