@@ -267,16 +267,19 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
               .unionByName(some.where("n = 0").select("id", "d1", "d2").distinct()))
     firsts = materialize(firsts, "near-firsts")
 
-    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
-            d1, d2 = _digests([shingle_hashes(t, shingle) for t in b.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("id", "text", "row")), pa.array(d1), pa.array(d2)],
-                                             names=["id", "text", "row", "d1", "d2"])
+    at = docs.columns.index(text_col)
 
-    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.struct("*").alias("row"))
-    named = plain.where("id IS NOT NULL").join(firsts.select("id").distinct(), "id", "left_semi")
+    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # the text stays inside the row: it moves once
+            named = pa.RecordBatch.from_arrays([*batch.columns, batch.column("row").field(at)], names=["id", "row", "text"])
+            for b in slices([named], "text"):
+                d1, d2 = _digests([shingle_hashes(t, shingle) for t in b.column("text").to_pylist()])
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("row"), pa.array(d1), pa.array(d2)],
+                                                 names=["id", "row", "d1", "d2"])
+
+    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.struct("*").alias("row"))
     schema = ", ".join(f"{n} {t}" for n, t in plain.dtypes) + ", d1 long, d2 long"
-    copies = named.mapInArrow(classed, schema).join(firsts, ["id", "d1", "d2"], "left_semi")
-    nth = F.row_number().over(W.partitionBy("id", "d1", "d2").orderBy("text"))
+    copies = plain.where("id IS NOT NULL").mapInArrow(classed, schema).join(firsts, ["id", "d1", "d2"], "left_semi")
+    nth = F.row_number().over(W.partitionBy("id", "d1", "d2").orderBy(F.col("row")[text_col]))
     one = copies.withColumn("nth", nth).where("nth = 1").select("row")
     return one.unionByName(plain.where("id IS NULL").select("row")).select("row.*")
