@@ -1,14 +1,14 @@
 """BPE encoding and decoding through a table of distinct words.
 
 Method. Texts are split at ASCII white space (which the tokenizer file drops,
-so words are independent). The words of a bounded sample of rows are counted and
-encoded once; the most frequent ones (a bound in rows and characters) are sent
-to all tasks, which turn texts into arrays of word codes. Every other word is
-shuffled by the word with the places it stands at; the task that holds a
-word encodes it once, and its ids go back and are joined by position in the
-document. The sample decides only which way a word takes, never its ids. A
-word frequent enough to be a hot key is in the sample, so it never meets a
-shuffle. Decoding joins ids to their pieces through the vocabulary, a table
+so words are independent). Words that repeat inside a task are counted over
+all texts and encoded once; the most frequent ones (a bound in rows and
+characters) are sent to all tasks, which turn texts into arrays of word codes.
+Every other word is shuffled by the word with the places it stands at; the
+task that holds a word encodes it once, and its ids go back and are joined by
+position in the document. The counts decide only which way a word takes,
+never its ids; a word that is not counted stands about once per task, so no
+shuffled word is a hot key. Decoding joins ids to their pieces through the vocabulary, a table
 bounded by the file.
 """
 
@@ -26,7 +26,7 @@ from stratal.llm.arrow import slices
 from stratal.llm.tokens import encoder, id_column, spread
 from stratal.session import materialize
 
-SAMPLE_ROWS = 1 << 15  # rows whose words may be sent to all tasks
+COUNTED = 1 << 19  # distinct words a task counts at a time
 HOT = 1 << 20  # words sent to all tasks
 HOT_CHARS = 1 << 24  # and their characters in sum, at most
 SLICE = 4 << 20  # bytes of text a task works on at a time
@@ -60,27 +60,37 @@ def split_words(texts: list[str | None]) -> tuple[pa.StringArray, np.ndarray]:
     return lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """(word, n) over the texts of ``docs`` (text)."""
+def count_words(docs: DataFrame, least: int = 1) -> DataFrame:
+    """(word, n) over the texts of ``docs`` (text), of the words that occur
+    ``least`` times among the ``COUNTED`` distinct words a task counts at a time."""
+
+    def added(parts: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+    def handed_on(counts: pa.Table) -> Iterator[pa.RecordBatch]:
+        yield from counts.filter(pc.greater_equal(counts.column("n"), least)).to_batches(1 << 16)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        rows = 0
         for b in slices(batches, "text", SLICE):
             words, _ = split_words(b.column("text").to_pylist())
             counts = words.value_counts()
-            yield pa.RecordBatch.from_arrays([counts.field(0), counts.field(1)], names=["word", "n"])
+            held.append(pa.Table.from_arrays([counts.field(0), counts.field(1)], names=["word", "n"]))
+            rows += held[-1].num_rows
+            if rows >= 2 * COUNTED:
+                held = [added(held)]
+                rows = held[0].num_rows
+                if rows >= COUNTED:
+                    yield from handed_on(held[0])
+                    held, rows = [], 0
+        if held:
+            yield from handed_on(added(held))
 
     counted = docs.select("text").mapInArrow(run, "word string, n long").where("word <> ''")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def sample_rows(rows: DataFrame, wanted: int) -> DataFrame:
-    """About ``wanted`` rows by a hash of their text (all, if there are fewer); equal texts go together."""
-    share = wanted / max(1, rows.count())
-    if share >= 1:
-        return rows
-    return rows.where(F.pmod(F.xxhash64(F.lit(7), "text"), F.lit(1 << 40)) < int(share * (1 << 40)))
-
-
 def encode_words(words: DataFrame, path: str) -> DataFrame:
     """(word, n, ids): each distinct word encoded once; ids little-endian
     unsigned 32-bit."""
@@ -138,7 +148,7 @@ def _encode_rare(tokenizer_path: str):
 
 
 def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT,
-               hot_chars: int = HOT_CHARS, sample: int = SAMPLE_ROWS) -> DataFrame:
+               hot_chars: int = HOT_CHARS, least: int = 2) -> DataFrame:
     """(id_col, n_tokens, ids) per row of ``docs``; ids as little-endian
     unsigned 32-bit integers, as the tokenizers library encodes the whole
     text without special tokens added, truncation or padding.
@@ -147,13 +157,13 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     null id stays null; repeated rows are encoded once and returned as often
     as they occur; special tokens inside a text become their ids, as in the
     library; an empty table gives an empty result. Only the two named columns
-    are read. ``hot`` must stay below 2 ** 24 - 1. ``sample`` bounds the rows
-    from which the words sent to all tasks are taken; it does not change results.
+    are read. ``hot`` must stay below 2 ** 24 - 1. Words are counted
+    from ``least`` occurrences in a task on; neither changes results.
     """
     kind = docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     spark = docs.sparkSession
-    table = materialize(encode_words(count_words(sample_rows(rows, sample)), tokenizer_path), "bpe-words")
+    table = materialize(encode_words(count_words(rows, least), tokenizer_path), "bpe-words")
     names, flat, lens = _hot(table, hot, hot_chars)
     known = spark.sparkContext.broadcast(names)
     hot_ids = spark.sparkContext.broadcast((flat, lens))

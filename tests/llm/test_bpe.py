@@ -76,12 +76,15 @@ def test_many_equal_rows(spark, library):
     assert got.groupBy("ids").count().collect() == [(np.array(ids, "<u4").tobytes(), 4000)]
 
 
-@pytest.mark.parametrize("sample", [1, 40, 1 << 15])
-def test_the_sample_does_not_change_results(spark, library, sample):
+@pytest.mark.parametrize("least, counted", [(1, 1 << 19), (2, 1 << 19), (2, 50), (10 ** 6, 1 << 19)])
+def test_what_is_counted_does_not_change_results(spark, library, monkeypatch, least, counted):
+    from stratal.llm import bpe
+
+    monkeypatch.setattr(bpe, "COUNTED", counted)
     rng = random.Random(6)
     texts = [" ".join(rng.choice(["the", "of", f"w{rng.randrange(400)}", f"Ünique{k}x{rng.randrange(9)}"]) for _ in range(40)) for k in range(120)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
-    got = {r["doc_id"]: np.frombuffer(bytes(r["ids"]), "<u4").tolist() for r in bpe_encode(docs, PATH, sample=sample).collect()}
+    got = {r["doc_id"]: np.frombuffer(bytes(r["ids"]), "<u4").tolist() for r in bpe_encode(docs, PATH, least=least).collect()}
     assert got == {i: library.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
 
 
@@ -98,3 +101,15 @@ def test_a_word_over_several_batches_is_encoded_once(library):
     ids = {w: np.array(library.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in set(words)}
     assert out.column("k1").to_pylist() == list(range(n))
     assert out.column("ids").to_pylist() == [ids[w] for w in words]
+
+
+def test_counts_of_whole_texts(spark):
+    from collections import Counter
+
+    from stratal.llm.bpe import count_words
+
+    texts = ["a b a", "c a\tb", None, "", "d d d e", "E é é"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    want = Counter(w.lower() for t in texts for w in (t or "").split())
+    assert {r["word"]: r["n"] for r in count_words(docs).collect()} == want
+    assert {r["word"]: r["n"] for r in count_words(docs, 2).collect()} == {w: n for w, n in want.items() if n > 1}
