@@ -193,7 +193,10 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
         F.ceil(F.count("*") / F.lit(block_docs)), F.ceil(F.sum("n") / F.lit(block_shingles))).cast("int").alias("nb")),
         "near-blocks")
     wanted = materialize(sized.join(blocks, "cluster").select("rep", "node", "cluster", "nb", "bands", "d1", "d2"), "near-wanted")
-    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
+    # the narrow list of ids first: while it may be broadcast, only wanted texts leave the scan; beyond that size both
+    # joins use one shuffle by id
+    ids = materialize(wanted.select("rep").distinct(), "near-wanted-ids")
+    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).join(ids, "rep", "left_semi")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):

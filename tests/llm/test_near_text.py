@@ -124,3 +124,19 @@ def test_texts_that_share_an_id_stay_apart(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicate_texts(df).collect())
     assert got == [(3, 3, True), (5, 3, False), (5, 5, True), (7, 7, True), (7, 7, True)]
+
+
+def test_only_wanted_texts_are_shuffled(spark, monkeypatch):
+    """The texts meet the narrow id list in a broadcast join, before their exchange."""
+    from stratal.llm import near_text
+
+    seen = []
+    real = near_text.block_pairs
+    monkeypatch.setattr(near_text, "block_pairs", lambda df, *a: seen.append(df) or real(df, *a))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    near_text.near_duplicate_texts(docs, shingle=3, percent=85, bands=36, rows=7).count()
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    scan = plan.index("documents.parquet")
+    above = plan[:scan]
+    assert "BroadcastHashJoin [rep" in above and "LeftSemi" in above
+    assert "Exchange hashpartitioning(rep" not in above[above.index("LeftSemi"):]

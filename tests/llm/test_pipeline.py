@@ -101,3 +101,13 @@ def test_only_copies_go_under_a_shared_id(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(tuple(r) for r in P.near_duplicates(spark, docs, SF).collect())
     assert got == sorted([rows[0], rows[1], rows[3], rows[4]])
+
+
+def test_only_the_last_stage_is_left(spark):
+    from stratal.session import glob_paths, remove_path, scratch_root
+
+    before = set(glob_paths(spark, f"{scratch_root(spark)}/*"))
+    rows = P.run(spark, SF)
+    left = set(glob_paths(spark, f"{scratch_root(spark)}/*")) - before
+    assert len(left) == 1 and "/pipeline-bpe-" in left.pop() and rows.count() > 0
+    remove_path(spark, rows.inputFiles()[0].rsplit("/", 1)[0])
