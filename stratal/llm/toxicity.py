@@ -4,9 +4,10 @@ Method. Texts are cut into windows of ``WORDS`` words. A zstandard dictionary
 trained on toxic text and one trained on ordinary text compress each window;
 the bytes the toxic one saves are the window's gain. Whole texts of both kinds are
 mostly alike, so the two dictionaries share a base trained on other ordinary
-text, and are trained on the windows that the base compresses worst; one
-more round keeps the windows on which the two differ. What is left in the
-toxic dictionary is what recurs in toxic texts only.
+text, and are trained on the windows that the base compresses worst; then
+dictionaries of one half of the texts choose the windows of the other half
+on which the two differ. What is left in the toxic dictionary is what recurs
+in toxic texts only.
 
 Calibration. Gains of labelled windows (measured with dictionaries that did
 not see them, in two folds) give a weight per gain, the logarithm of how much
@@ -39,7 +40,7 @@ BASE, OWN = 1 << 16, 1 << 12  # bytes of the common base and of each class's own
 LEVEL = 12
 SEGMENT = 12  # length of the pieces a dictionary is made of
 SHARE = 0.2  # of the windows, those the base compresses worst
-KEEP = 3  # bytes of gain that keep a window for the second round
+KEEP = 3  # bytes of gain by which a window is chosen
 SPAN = 10  # gains beyond this count as this
 SAMPLE_ROWS, SAMPLE_CHARS, SAMPLE_TEXT = 2000, 3 << 20, 1 << 16
 PIECE = re.compile(rb"\S{1,%d}" % WORD_BYTES)
@@ -108,8 +109,13 @@ def features(gains: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.array([w.sum() / np.sqrt(n), w.mean(), np.sort(w)[-3:].mean(), np.log(n)])
 
 
-def _pair(base: bytes, measure: Sizes, toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
-    """The two dictionaries (own part in front of the base) of two sets of windows."""
+def _pair(base: bytes, measure: Sizes, toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> tuple[bytes, bytes]:
+    """The two dictionaries (own part in front of the base) of the windows of
+    two sets of texts.
+
+    First dictionaries are trained on every other text, and choose among
+    the windows of the texts they did not see: what only one text says does not return in another.
+    """
 
     def worst(items: list[bytes]) -> list[bytes]:
         if not items:
@@ -118,14 +124,16 @@ def _pair(base: bytes, measure: Sizes, toxic: list[bytes], ordinary: list[bytes]
         least = np.quantile(ratio, 1 - SHARE)
         return [x for x, r in zip(items, ratio) if r >= least]
 
-    a, b = worst(toxic), worst(ordinary)
-    for round_ in range(2):
-        own = dictionary(a, OWN, SEGMENT) + base, dictionary(b, OWN, SEGMENT) + base
-        if round_ == 0:
-            t, o = Sizes(own[0]), Sizes(own[1])
-            a = [x for x, g in zip(toxic, o(toxic) - t(toxic)) if g >= KEEP] or a
-            b = [x for x, g in zip(ordinary, t(ordinary) - o(ordinary)) if g >= KEEP] or b
-    return own
+    def trained(a: list[bytes], b: list[bytes]) -> tuple[bytes, bytes]:
+        return dictionary(a, OWN, SEGMENT) + base, dictionary(b, OWN, SEGMENT) + base
+
+    kept: tuple[list[bytes], list[bytes]] = [], []
+    for half in (0, 1):
+        t, o = map(Sizes, trained(worst(_flat(toxic[half::2])), worst(_flat(ordinary[half::2]))))
+        for out, own, other, texts in ((kept[0], t, o, toxic), (kept[1], o, t, ordinary)):
+            items = _flat(texts[1 - half::2])
+            out += [x for x, g in zip(items, other(items) - own(items)) if g >= KEEP]
+    return trained(kept[0] or worst(_flat(toxic)), kept[1] or worst(_flat(ordinary)))
 
 
 def _flat(lists) -> list[bytes]:
@@ -155,7 +163,7 @@ def fit(toxic: list[str], ordinary: list[str], rate: float) -> Model:
     # two folds: gains of texts that the dictionaries did not see
     gains: list[list[np.ndarray]] = [[], []]
     for fold in (0, 1):
-        pair = _pair(base, measure, _flat(tox[fold::2]), _flat(ord_[fold::2]))
+        pair = _pair(base, measure, tox[fold::2], ord_[fold::2])
         for k, lists in enumerate((tox, ord_)):
             gains[k] += _gains(pair, lists[1 - fold::2])
     counts = [np.bincount(np.concatenate(g) + SPAN, minlength=2 * SPAN + 1) + 1.0 for g in gains]
@@ -178,7 +186,7 @@ def fit(toxic: list[str], ordinary: list[str], rate: float) -> Model:
     best = int(np.argmax(2 * hit / (all_ + (each * y).sum())))
     after = value[order[best + 1]] if best + 1 < len(order) else value[order[best]] - 1
     factors[-1] -= (value[order[best]] + after) / 2
-    pair = _pair(base, measure, _flat(tox), _flat(ord_))
+    pair = _pair(base, measure, tox, ord_)
     return Model(*pair, weights, centre, scale, factors, rate, True)
 
 
