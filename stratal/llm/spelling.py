@@ -128,9 +128,9 @@ def near_pairs(words: list[str], group: np.ndarray, own: np.ndarray, piece: np.n
     m, width = len(words), int(sizes.max())
     fill = np.arange(width) < sizes[:, None]
     flat = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
-    codes = np.zeros((m, width), np.int64)
+    codes = np.zeros((m, width), np.int32)
     codes[fill] = flat + 1
-    ends = np.zeros((m, width), np.int64)
+    ends = np.zeros((m, width), np.int32)
     ends[fill[:, ::-1]] = flat + 1
     counts = np.bincount(np.repeat(np.arange(m), sizes) * LETTERS + flat % LETTERS, minlength=m * LETTERS)
     counts = counts.reshape(m, LETTERS)
