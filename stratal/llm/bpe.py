@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -173,12 +174,13 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     kind = kind.simpleString()
 
     def word_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Word codes of each text in two planes (low 16 bits, high 8 bits)."""
+        """Word codes of each text in three planes of bytes, compressed: the higher ones are mostly small numbers."""
+        pack = zstandard.ZstdCompressor(level=1)
         for b in slices(batches, "text", SLICE):
             words, off = split_words(b.column("text").to_pylist())
             code = pc.index_in(words, value_set=known.value).fill_null(RARE).to_numpy()
-            low, high = code.astype("<u2"), (code >> 16).astype("u1")
-            out = [low[i:j].tobytes() + high[i:j].tobytes() for i, j in zip(off[:-1], off[1:])]
+            planes = np.ascontiguousarray(code.astype("<u4").view("u1").reshape(-1, 4)[:, :3].T)
+            out = [pack.compress(planes[:, i:j].tobytes()) for i, j in zip(off[:-1], off[1:])]
             yield pa.RecordBatch.from_arrays([b.column("k1"), b.column("k2"), b.column("id"), pa.array(out, pa.binary())],
                                              names=["k1", "k2", "id", "codes"])
 
@@ -216,12 +218,12 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
         base, base_lens = hot_ids.value
         base_starts = np.append(np.cumsum(base_lens) - base_lens, 0)
         base_lens = np.append(base_lens, 0)
-        for b in slices(batches, "codes", 1 << 20):
-            planes = b.column("codes").to_pylist()
-            words = np.array([len(p) // 3 for p in planes])
-            code = np.concatenate([np.frombuffer(p, "<u2", n).astype(np.int64)
-                                   | (np.frombuffer(p, "u1", n, 2 * n).astype(np.int64) << 16)
-                                   for p, n in zip(planes, words)])
+        unpack = zstandard.ZstdDecompressor()
+        for b in slices(batches, "codes", 1 << 19):
+            planes = [np.frombuffer(unpack.decompress(p), "u1").reshape(3, -1) for p in b.column("codes").to_pylist()]
+            words = np.array([p.shape[1] for p in planes])
+            low, middle, high = np.concatenate(planes, axis=1).astype(np.int64)
+            code = low | middle << 8 | high << 16
             rare = code == RARE
             code[rare] = len(base_lens) - 1
             starts, sizes = base_starts[code], base_lens[code]
