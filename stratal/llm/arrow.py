@@ -29,6 +29,14 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
             start = stop
 
 
+def released(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; between two of them what Arrow's memory pool holds unused goes back to the system."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finalizer, element by element (uint64 in, uint64 out)."""
     x = x.astype(np.uint64, copy=True)

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratal.llm.arrow import slices
+from stratal.llm.arrow import released, slices
 from stratal.llm.tokens import encoder, id_column, spread
 from stratal.session import materialize
 
@@ -74,7 +74,7 @@ def count_words(docs: DataFrame, least: int = 1) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
         rows = 0
-        for b in slices(batches, "text", SLICE):
+        for b in slices(released(batches), "text", SLICE):
             words, _ = split_words(b.column("text").to_pylist())
             counts = words.value_counts()
             held.append(pa.Table.from_arrays([counts.field(0), counts.field(1)], names=["word", "n"]))
@@ -176,7 +176,7 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     def word_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Word codes of each text in three planes of bytes, compressed: the higher ones are mostly small numbers."""
         pack = zstandard.ZstdCompressor(level=1)
-        for b in slices(batches, "text", SLICE):
+        for b in slices(released(batches), "text", SLICE):
             words, off = split_words(b.column("text").to_pylist())
             code = pc.index_in(words, value_set=known.value).fill_null(RARE).to_numpy()
             planes = np.ascontiguousarray(code.astype("<u4").view("u1").reshape(-1, 4)[:, :3].T)
@@ -186,7 +186,7 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
 
     def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()  # equal rows of a task hand over their words once
-        for b in slices(batches, "text", SLICE):
+        for b in slices(released(batches), "text", SLICE):
             keys = list(zip(b.column("k1").to_pylist(), b.column("k2").to_pylist()))
             fresh = [k not in seen and not seen.add(k) for k in keys]
             if not all(fresh):
@@ -219,7 +219,7 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
         base_starts = np.append(np.cumsum(base_lens) - base_lens, 0)
         base_lens = np.append(base_lens, 0)
         unpack = zstandard.ZstdDecompressor()
-        for b in slices(batches, "codes", 1 << 19):
+        for b in slices(released(batches), "codes", 1 << 19):
             planes = [np.frombuffer(unpack.decompress(p), "u1").reshape(3, -1) for p in b.column("codes").to_pylist()]
             words = np.array([p.shape[1] for p in planes])
             low, middle, high = np.concatenate(planes, axis=1).astype(np.int64)

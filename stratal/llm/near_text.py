@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stratal.llm.arrow import groups, list_column, mix64, slices
+from stratal.llm.arrow import groups, list_column, mix64, released, slices
 from stratal.llm.components import Forest, block_pairs, components
 from stratal.session import materialize
 
@@ -273,7 +273,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     at = docs.columns.index(text_col)
 
     def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:  # the text stays inside the row: it moves once
+        for batch in released(batches):  # the text stays inside the row: it moves once
             named = pa.RecordBatch.from_arrays([*batch.columns, batch.column("row").field(at)], names=["id", "row", "text"])
             for b in slices([named], "text"):
                 d1, d2 = _digests([shingle_hashes(t, shingle) for t in b.column("text").to_pylist()])
