@@ -51,6 +51,7 @@ ID_CUE = re.compile(r"\b(?:Apache-2\.0|[AL]?GPL-[23]\.[01]|[AL]?GPLv[23](?:\.1)?
                     r"|(?<=\bOR )(?:MIT|ISC|Unlicense)\b|(?<=\bAND )(?:MIT|ISC|Unlicense)\b", re.ASCII)
 WORD = re.compile(r"[^\W_]+", re.ASCII)
 LEVEL = 9  # of the compression
+NEUTRAL = b" " + bytes(97 + (k * k + 7 * k // 3) % 26 for k in range(256))
 CLOSE = 3  # bytes: templates that save so much less than the first confirmed one are as good; fewer differences decide
 # Words that tell licences apart: required where a notice has them, never inside one that has not.
 NAMES = frozenset("""mit bsd apache gnu gpl lgpl agpl lesser library affero mozilla mpl cc cc0 nc sa nd noncommercial
@@ -158,8 +159,12 @@ def _compressors(templates: tuple[tuple[str, str], ...]) -> list[tuple[str, zsta
 
 
 def reductions(block: bytes, templates: tuple[tuple[str, str], ...]) -> list[int]:
-    """Bytes each template saves as raw dictionary of the block, in their order."""
+    """Bytes each template saves as raw dictionary of the block, in their order.
+
+    Letters of fewer than 64 bytes are stored as they are, longer rows of them in
+    fewer bits: with neutral letters behind the block both sizes are of the second kind."""
     (_, alone), *primed = _compressors(templates)
+    block += NEUTRAL
     size = len(alone.compress(block))
     return [size - len(c.compress(block)) for _, c in primed]
 
