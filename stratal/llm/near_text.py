@@ -270,19 +270,38 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
               .unionByName(some.where("n = 0").select("id", "d1", "d2").distinct()))
     firsts = materialize(firsts, "near-firsts")
 
-    at = docs.columns.index(text_col)
+    # narrow rows go through Python: a text is known by its id and 128 bits of its hash
+    text = F.col(f"row.`{text_col}`")
+    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.struct("*").alias("row"))
+    keyed = plain.where("id IS NOT NULL").withColumn("h1", F.xxhash64(F.lit(1), text)).withColumn("h2", F.xxhash64(F.lit(2), text))
 
     def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in released(batches):  # the text stays inside the row: it moves once
-            named = pa.RecordBatch.from_arrays([*batch.columns, batch.column("row").field(at)], names=["id", "row", "text"])
-            for b in slices([named], "text"):
-                d1, d2 = _digests([shingle_hashes(t, shingle) for t in b.column("text").to_pylist()])
-                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("row"), pa.array(d1), pa.array(d2)],
-                                                 names=["id", "row", "d1", "d2"])
-
-    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.struct("*").alias("row"))
-    schema = ", ".join(f"{n} {t}" for n, t in plain.dtypes) + ", d1 long, d2 long"
-    copies = plain.where("id IS NOT NULL").mapInArrow(classed, schema).join(firsts, ["id", "d1", "d2"], "left_semi")
-    nth = F.row_number().over(W.partitionBy("id", "d1", "d2").orderBy(F.col("row")[text_col]))
-    one = copies.withColumn("nth", nth).where("nth = 1").select("row")
+        for b in slices(released(batches), "text"):
+            d1, d2 = _digests([shingle_hashes(t, shingle) for t in b.column("text").to_pylist()])
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in ("id", "h1", "h2")] + [pa.array(d1), pa.array(d2)],
+                                             names=["id", "h1", "h2", "d1", "d2"])
+
+    narrow = (keyed.select("id", "h1", "h2", text.alias("text"))
+              .mapInArrow(classed, "id long, h1 long, h2 long, d1 long, d2 long").join(firsts, ["id", "d1", "d2"], "left_semi"))
+    found = materialize(narrow.groupBy("id", "d1", "d2").agg(F.count("*").alias("rows"), F.min("h1").alias("h1"), F.min("h2").alias("h2")),
+                        "near-kept")
+    hashes = ["id", "h1", "h2"]
+    single = keyed.join(found.where("rows = 1").select(*hashes), hashes, "left_semi").select("row")
+    # several rows of one id and set: the smallest text, and of equal rows one
+    several = found.where("rows > 1").select("id").distinct()
+    alone = found.where("rows = 1").select(*hashes)
+    copies = keyed.join(several, "id", "left_semi").join(alone, hashes, "left_anti").withColumn("text", text)
+    schema = f"row {dict(plain.dtypes)['row']}, id long, text string, d1 long, d2 long"
+
+    def judged_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(released(batches), "text"):
+            d1, d2 = _digests([shingle_hashes(t, shingle) for t in b.column("text").to_pylist()])
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("id"), b.column("text"), pa.array(d1), pa.array(d2)],
+                                             names=["row", "id", "text", "d1", "d2"])
+
+    nth = F.row_number().over(W.partitionBy("id", "d1", "d2").orderBy("text"))
+    wanted = found.where("rows > 1").select("id", "d1", "d2")
+    chosen = (copies.select("row", "id", "text").mapInArrow(judged_rows, schema).join(wanted, ["id", "d1", "d2"], "left_semi")
+              .withColumn("nth", nth).where("nth = 1").select("row"))
+    one = single.unionByName(chosen)
     return one.unionByName(plain.where("id IS NULL").select("row")).select("row.*")
