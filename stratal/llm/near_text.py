@@ -38,10 +38,11 @@ from pyspark.sql import functions as F
 
 from stratal.llm.arrow import groups, list_column, mix64, released, slices
 from stratal.llm.components import Forest, block_pairs, components
-from stratal.session import materialize
+from stratal.session import arrow_batches, materialize
 
 BANDS, ROWS = 42, 6
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 1 << 20
+SKETCH_BYTES = 1 << 20  # text sketched at once: a round's arrays hold several numbers per word
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -117,7 +118,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int,
     """(id, n, d1, d2, bands): set size, 128-bit digest of the set, band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(released(batches), "text", SKETCH_BYTES):
             sets, owner, counts = _flat_sets(b.column("text").to_pylist(), size)
             flat = np.concatenate(sets) if counts.sum() else np.empty(0, np.uint64)
             keys = _band_hashes(sketch(flat, owner, len(sets), bands * rows), bands, rows)
@@ -173,7 +174,8 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
             block_docs: int, block_shingles: int) -> DataFrame:
     """(id, n, component, part, d1, d2) per row: part is a number of the
     component that no other component has; null where nothing can be linked."""
-    sk = materialize(sketches(docs, id_col, text_col, shingle, bands, rows), "near-sketch")
+    with arrow_batches(docs.sparkSession):
+        sk = materialize(sketches(docs, id_col, text_col, shingle, bands, rows), "near-sketch")
     full = sk.where("n > 0 AND id IS NOT NULL")
     classes = materialize(full.groupBy("d1", "d2").agg(
         F.min("id").alias("rep"), F.max("n").alias("n"), F.any_value("bands").alias("bands"))
@@ -199,7 +201,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).join(ids, "rep", "left_semi")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(released(batches), "text"):
             sets = [shingle_hashes(t, shingle) for t in b.column("text").to_pylist()]
             digests = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
             mine = [(x >> 64, x & (1 << 64) - 1) for x in digests]
@@ -221,8 +223,9 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     # ordered by the smallest id of the class, so a component's smallest node has its smallest id
     edges = links.select(F.struct(F.col("rep_a").alias("rep"), F.col("a").alias("node")).alias("a"),
                          F.struct(F.col("rep_b").alias("rep"), F.col("b").alias("node")).alias("b"))
-    final = materialize(components(edges, "near-links")
-                        .select("node.node", F.col("component.rep").alias("component"), F.col("component.node").alias("part")),
+    with arrow_batches(docs.sparkSession):
+        joined = components(edges, "near-links")
+    final = materialize(joined.select("node.node", F.col("component.rep").alias("component"), F.col("component.node").alias("part")),
                         "near-components")
     by_class = classes.select("d1", "d2", "rep", "node").join(final, "node", "left").select(
         "d1", "d2", F.coalesce("component", "rep").alias("component"), F.coalesce("part", "node").alias("part"))
@@ -283,8 +286,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     narrow = (keyed.select("id", "h1", "h2", text.alias("text"))
               .mapInArrow(classed, "id long, h1 long, h2 long, d1 long, d2 long").join(firsts, ["id", "d1", "d2"], "left_semi"))
-    found = materialize(narrow.groupBy("id", "d1", "d2").agg(F.count("*").alias("rows"), F.min("h1").alias("h1"), F.min("h2").alias("h2")),
-                        "near-kept")
+    with arrow_batches(docs.sparkSession):
+        found = materialize(narrow.groupBy("id", "d1", "d2").agg(F.count("*").alias("rows"), F.min("h1").alias("h1"), F.min("h2").alias("h2")),
+                            "near-kept")
     hashes = ["id", "h1", "h2"]
     single = keyed.join(found.where("rows = 1").select(*hashes), hashes, "left_semi").select("row")
     # several rows of one id and set: the smallest text, and of equal rows one

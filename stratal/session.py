@@ -109,6 +109,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, limit: int = 4 << 20) -> Iterator[None]:
+    """Jobs run inside send Python workers Arrow batches of about ``limit`` bytes at most.
+
+    A batch is held several times while it is sent: as Arrow vectors, as the
+    stream's bytes outside the heap, and in the worker. A smaller limit of the
+    session stays; the session's own is back at the end.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, f"{64 << 20}b")
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before) <= limit:
+        yield
+        return
+    spark.conf.set(key, f"{limit}b")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder of scratch tables under the shared checkpoint folder."""
     return f"{shared_checkpoint_dir(spark).rstrip('/')}/stratal-scratch"

@@ -140,3 +140,41 @@ def test_only_wanted_texts_are_shuffled(spark, monkeypatch):
     above = plan[:scan]
     assert "BroadcastHashJoin [rep" in above and "LeftSemi" in above
     assert "Exchange hashpartitioning(rep" not in above[above.index("LeftSemi"):]
+
+
+def test_texts_reach_python_in_small_arrow_batches(spark, monkeypatch):
+    """Every step that sends texts or sets to Python workers runs with bounded
+    Arrow batches; the session's own limit is back afterwards."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from stratal.llm import near_text
+    from stratal.session import arrow_batches
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    wide = spark.range(0, 6000, 1, 1).select(F.repeat(F.lit("word "), 400).alias("text"))
+    with arrow_batches(spark, 1 << 20):
+        assert max(r["n"] for r in wide.mapInArrow(sizes, "n long").collect()) < 1.1 * (1 << 20)
+    assert max(r["n"] for r in wide.mapInArrow(sizes, "n long").collect()) > 10 << 20
+
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", {}
+    before = spark.conf.get(key)
+    for name in ("materialize", "components"):
+        def spy(df, label, real=getattr(near_text, name)):
+            seen[label] = spark.conf.get(key)
+            return real(df, label)
+        monkeypatch.setattr(near_text, name, spy)
+    rows = list(enumerate(near_copies(20, 60, 3, 4)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert near_text.drop_near_duplicates(df).count() >= 1
+    assert {seen[x] for x in ("near-sketch", "near-links", "near-kept")} == {f"{4 << 20}b"}
+    assert spark.conf.get(key) == before
+    spark.conf.set(key, "1m")
+    try:
+        near_text.drop_near_duplicates(df)
+        assert seen["near-links"] == spark.conf.get(key) == "1m"  # a smaller limit stays
+    finally:
+        spark.conf.set(key, before)
