@@ -27,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratal.llm.arrow import slices
+from stratal.llm.arrow import released, slices
 from stratal.llm.tokens import id_column, text_encoder
-from stratal.session import materialize
+from stratal.session import arrow_batches, materialize
 
 MAX_BITS, STEP = 16, 256
 FILE_IDS, BLOCK_IDS = 8 << 20, 1 << 20
+TEXT_BYTES = 8 << 20  # text per Arrow batch to the tokenizer, where each distinct piece is looked up once
 MAX_RANGES = 1 << 14  # tasks that write files, and their bounds on the driver; a range is cut into files by size
 DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<u4"), ("at", "<u4")])
 BLOCK = "<IQII"
@@ -89,10 +90,11 @@ class Code:
     def __init__(self, symbols: np.ndarray, lengths: np.ndarray, max_bits: int):
         self.symbols, self.lengths, self.max_bits = symbols.astype(np.uint32), lengths.astype(np.uint8), max_bits
         self.codes = canonical_codes(self.lengths)
-        self.place = None  # place of an id among the symbols, where a table of all ids is small
+        self.direct = None  # lengths and codes by id, where a table of all ids is small
         if len(symbols) and int(self.symbols[-1]) < DENSE:
-            self.place = np.zeros(int(self.symbols[-1]) + 1, np.int32)
-            self.place[self.symbols] = np.arange(len(symbols))
+            top = int(self.symbols[-1]) + 1
+            self.direct = np.zeros(top, np.uint8), np.zeros(top, np.uint32)
+            self.direct[0][self.symbols], self.direct[1][self.symbols] = self.lengths, self.codes
 
     @classmethod
     def from_counts(cls, symbols: np.ndarray, counts: np.ndarray, max_bits: int = MAX_BITS) -> Code:
@@ -115,22 +117,28 @@ class Code:
     def encode(self, ids: np.ndarray, counts: np.ndarray, step: int = STEP) -> tuple[bytes, np.ndarray, list[np.ndarray]]:
         """Byte-aligned streams of consecutive documents: (bytes, byte size
         per document, checkpoints per document)."""
-        place = np.searchsorted(self.symbols, ids) if self.place is None else self.place[ids]
-        lens = self.lengths[place].astype(np.int64)
+        if self.direct is None:
+            place = np.searchsorted(self.symbols, ids)
+            lens, value = self.lengths[place].astype(np.int64), self.codes[place].astype(np.uint64)
+        else:
+            lens, value = self.direct[0][ids].astype(np.int64), self.direct[1][ids].astype(np.uint64)
         ends = np.concatenate([[0], np.cumsum(lens)])
         through = np.concatenate([[0], np.cumsum(counts)])
         sizes = (ends[through[1:]] - ends[through[:-1]] + 7) // 8
         byte_at = np.concatenate([[0], np.cumsum(sizes)])
         base = np.repeat(byte_at[:-1] * 8 - ends[through[:-1]], counts)
         pos = ends[:-1] + base
-        value = self.codes[place].astype(np.uint64) << (32 - lens - (pos & 7)).astype(np.uint64)
-        out = np.zeros(int(byte_at[-1]) + 4, np.int64)
-        first = pos >> 3
-        for k in range(4):  # disjoint bits: adding is or-ing
-            part = ((value >> np.uint64(24 - 8 * k)) & np.uint64(255)).astype(np.float64)
-            out += np.bincount(first + k, part, len(out)).astype(np.int64)
+        out = np.zeros((int(byte_at[-1]) >> 3) + 2, np.uint64)
+        if len(ids):  # disjoint bits in words of 64; a word's codes follow one another, its last one may run into the next word
+            word, room = pos >> 6, 64 - (pos & 63) - lens
+            first = np.concatenate([[0], np.flatnonzero(np.diff(word)) + 1])
+            over = np.flatnonzero(room < 0)
+            part = value << (room & 63).view(np.uint64)
+            part[over] = value[over] >> (-room[over]).view(np.uint64)
+            out[word[first]] = np.bitwise_or.reduceat(part, first)
+            out[word[over] + 1] |= value[over] << (64 + room[over]).view(np.uint64)
         marks = [ends[np.arange(through[i] + step, through[i + 1], step)] - ends[through[i]] for i in range(len(counts))]
-        return out[:byte_at[-1]].astype(np.uint8).tobytes(), sizes, marks
+        return out.astype(">u8").tobytes()[:byte_at[-1]], sizes, marks
 
     def table(self) -> tuple[np.ndarray, np.ndarray]:
         """Symbol and length for every window of max_bits bits."""
@@ -179,23 +187,29 @@ def parts(content: bytes) -> Iterator[tuple[bytes, bytes]]:
         at += size + 1
 
 
-def tokenize(docs: DataFrame, path: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def tokenize(docs: DataFrame, path: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text",
+             counted: bool = False) -> DataFrame:
     """(id, n, ids): ids as little-endian unsigned 32-bit integers, the end
-    id included; a null text is an empty one."""
+    id included; a null text is an empty one. ``counted`` adds a column
+    ``counts``: in one row of every slice the slice's (id, count) pairs, else null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = text_encoder(path)
-        for b in slices(batches, "text"):
+        for b in slices(released(batches), "text", TEXT_BYTES + (1 << 20)):
             ids, counts = enc.encode([t or "" for t in b.column("text").to_pylist()])
             if end_id is not None:
                 through = np.cumsum(counts)
                 ids = np.insert(ids, through, end_id)
                 counts = counts + 1
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(counts, pa.int64()), id_column(ids, counts)],
-                                             names=["id", "n", "ids"])
+            cols = [b.column("id"), pa.array(counts, pa.int64()), id_column(ids, counts)]
+            if counted:
+                sums = np.bincount(ids)
+                at = np.flatnonzero(sums)
+                cols.append(pa.array([np.stack([at, sums[at]], 1).astype("<u4").tobytes(), *[None] * (len(b) - 1)], pa.binary()))
+            yield pa.RecordBatch.from_arrays(cols, names=["id", "n", "ids", "counts"][:len(cols)])
 
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return plain.mapInArrow(run, "id long, n long, ids binary")
+    return plain.mapInArrow(run, "id long, n long, ids binary" + ", counts binary" * counted)
 
 
 def _ids(column: pa.Array) -> np.ndarray:
@@ -205,20 +219,34 @@ def _ids(column: pa.Array) -> np.ndarray:
 
 
 def global_code(tokens: DataFrame, max_bits: int = MAX_BITS) -> Code:
-    """The code of the global counts: summed per task, then by Spark; one row
-    per distinct id (the vocabulary bounds them) reaches the driver."""
+    """The code of the global counts: summed per task (from the column
+    ``counts`` if there is one, see ``tokenize``), then by Spark; one row per
+    distinct id (the vocabulary bounds them) reaches the driver."""
+    counted = "counts" in tokens.columns
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if counted:
+            for b in batches:
+                for x in b.column("counts"):
+                    both = np.frombuffer(x.as_buffer(), "<u4").reshape(-1, 2)
+                    yield both[:, 0], both[:, 1]
+            return
+        for b in slices(batches, "ids"):
+            got = np.bincount(_ids(b.column("ids")))
+            yield np.arange(len(got)), got
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(0, np.int64)
-        for b in slices(batches, "ids"):
-            got = np.bincount(_ids(b.column("ids")))
-            if len(got) > len(sums):
-                sums = np.concatenate([sums, np.zeros(len(got) - len(sums), np.int64)])
-            sums[:len(got)] += got
+        for at, got in pairs(batches):
+            top = int(at[-1]) + 1 if len(at) else 0
+            if top > len(sums):
+                sums = np.concatenate([sums, np.zeros(top - len(sums), np.int64)])
+            sums[at] += got
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["sym", "n"])
 
-    rows = tokens.select("ids").mapInArrow(count, "sym long, n long").groupBy("sym").agg(F.sum("n").alias("n")).toArrow()
+    read = tokens.select("counts").where("counts IS NOT NULL") if counted else tokens.select("ids")
+    rows = read.mapInArrow(count, "sym long, n long").groupBy("sym").agg(F.sum("n").alias("n")).toArrow()
     return Code.from_counts(rows.column("sym").to_numpy(), rows.column("n").to_numpy(), max_bits)
 
 
@@ -268,7 +296,8 @@ def write_token_files(tokens: DataFrame, out: str, max_bits: int = MAX_BITS, ste
     order of id (nulls first, repeated ids together), about ``file_ids`` ids a
     file. ``tokens`` is read several times: pass a stored table. A column
     ``salt`` spreads the rows of one id that fills several files; without it
-    a hash of their ids does, which keeps equal rows together."""
+    a hash of their ids does, which keeps equal rows together. A column
+    ``counts`` (see ``tokenize``) saves counting the ids again."""
     spark = tokens.sparkSession
     code = spark.sparkContext.broadcast(global_code(tokens, max_bits).pack())
     salt = F.col("salt") if "salt" in tokens.columns else F.xxhash64("ids")
@@ -398,7 +427,8 @@ def token_round_trip(docs: DataFrame, tokenizer_path: str, out: str, end_id: int
     id that fills several files: inside each of them);
     an empty table writes no documents.
     """
-    tokens = tokenize(docs, tokenizer_path, end_id, id_col, text_col).withColumn("salt", F.monotonically_increasing_id())
-    tokens = materialize(tokens, "tokens")
+    tokens = tokenize(docs, tokenizer_path, end_id, id_col, text_col, counted=True).withColumn("salt", F.monotonically_increasing_id())
+    with arrow_batches(docs.sparkSession, TEXT_BYTES):
+        tokens = materialize(tokens, "tokens")
     write_token_files(tokens, out)
     return read_token_files(docs.sparkSession, out)

@@ -15,6 +15,11 @@ import pyarrow.compute as pc
 GROUP = 512  # strings per call of the library
 MEMORY = 1 << 19  # pieces a Python worker remembers
 ODD = re.compile("[\x00\x1c-\x1f]")  # where white space of Python and of the library differ, and our mark
+_LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+# where the split pattern ends a word whatever stands around: a letter before an ASCII character that is none, a single
+# line end before the next word
+CUT = re.compile(rf"(?<=[{_LETTERS}])(?=[\t-\r!-@\[-`{{-~])|(?<=[!-~{_LETTERS}]\n)(?=[!-~{_LETTERS}])")
+LEAD = re.compile(r"(?:^| )(?:\s|\Z)")
 
 
 class Encoder:
@@ -92,14 +97,19 @@ class TextEncoder:
 
     The split pattern always starts a new word at a space that a non-space
     follows, so a text is its first piece and the pieces " x..." after it;
-    each is looked up, and only unknown pieces go to the library. At most
-    ``memory`` pieces are remembered per worker; beyond it pieces are encoded
-    anew per slice. Texts with control characters on which the white-space
+    each is looked up. Unknown pieces are cut further where the pattern always
+    ends a word as well (``CUT``: before punctuation, after a line end), so
+    that a word is one unit whatever follows it, and only unknown units go to
+    the library. At most ``memory`` units are remembered per worker; beyond it
+    units are encoded anew per slice. Texts with control characters on which the white-space
     classes differ, or with special tokens, go to the library whole.
     """
 
     def __init__(self, path: str, memory: int = MEMORY):
         self.encoder, self.memory = encoder(path), memory
+        tokenizer = self.encoder.tokenizer
+        tokens = map(tokenizer.id_to_token, range(tokenizer.get_vocab_size()))
+        self.spaced = np.array([(t or "")[:1] == "\u0120" for t in tokens])  # the byte-level sign of a space
         self.codes: dict[str, int] = {}
         self.flat = np.empty(1 << 20, np.uint32)
         self.starts = np.empty(1 << 16, np.int64)
@@ -118,37 +128,86 @@ class TextEncoder:
         self.flat[self.used:used] = ids
         self.n, self.used = n, used
 
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per word) of words behind a space: only a word's first id begins with one."""
+        if words:
+            lines = [" " + " ".join(words[k:k + GROUP]) for k in range(0, len(words), GROUP)]
+            found = self.encoder.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in found])
+            first = np.flatnonzero(self.spaced[ids])
+            if len(first) == len(words) and first[0] == 0:
+                return ids, np.diff(np.append(first, len(ids)))
+        return self.encoder.flat([" " + w for w in words])
+
+    def _units(self, units: list[str], extra: dict[str, int]) -> np.ndarray:
+        """Codes of units; what is not known goes to the library, each once."""
+        found = np.fromiter(map(self.codes.get, units, repeat(-2)), np.int64, len(units))
+        gaps = np.flatnonzero(found == -2)
+        wanted = [units[i] for i in gaps]
+        new = [u for u in dict.fromkeys(wanted) if u not in extra]
+        # remembered units are stored before all others
+        base, room = self.n, max(0, self.memory - len(self.codes)) if self.n == len(self.codes) else 0
+        new.sort(key=str.isalpha)
+        plain = sum(map(str.isalpha, new))  # words of letters behind a space, last
+        self._store(*self.encoder.flat([u[1:] if u[:1] == "\0" else " " + u for u in new[:len(new) - plain]]))
+        self._store(*self._words(new[len(new) - plain:]))
+        now = dict(zip(new, range(base, base + len(new))))
+        self.codes.update(zip(new[:room], range(base, base + room)))
+        extra.update(zip(new[room:], range(base + room, base + len(new))))
+        found[gaps] = [now[u] if u in now else extra[u] for u in wanted]
+        return found
+
     def _lookup(self, pieces: list[str], extra: dict[str, int]) -> np.ndarray:
-        """Codes of pieces ('\0' marks a text's first piece); -1: not a piece."""
+        """Codes of distinct pieces ('\0' marks a text's first piece); -1: not a piece."""
         found = np.fromiter(map(self.codes.get, pieces, repeat(-2)), np.int64, len(pieces))
         gaps = np.flatnonzero(found == -2)
         wanted = [pieces[i] for i in gaps]
-        good = [p for p in dict.fromkeys(wanted) if p not in extra]
-        bodies = [p[1:] if p[:1] == "\0" else " " + p for p in good]
-        blob = "".join(bodies)
-        odd = bool(ODD.search(blob)) or self.encoder.has_special(blob)
-        if odd or any(p[:1].isspace() or not p for p in good):
-            bad = [not p or p[0].isspace() or odd and bool(ODD.search(x) or self.encoder.has_special(x))
-                   for p, x in zip(good, bodies)]
-            extra.update((p, -1) for p, b in zip(good, bad) if b)
-            bodies = [x for x, b in zip(bodies, bad) if not b]
-            good = [p for p, b in zip(good, bad) if not b]
-        base, room = self.n, max(0, self.memory - len(self.codes))
-        self._store(*self.encoder.flat(bodies))
-        self.codes.update(zip(good[:room], range(base, base + room)))
-        extra.update(zip(good[room:], range(base + room, base + len(good))))
-        if len(gaps):
-            late = np.fromiter(map(self.codes.get, wanted, repeat(-2)), np.int64, len(wanted))
-            still = np.flatnonzero(late == -2)
-            late[still] = [extra[wanted[i]] for i in still]
+        good = [p for p in wanted if p not in extra] if extra else wanted
+        blob = " ".join(good)
+        odd = bool(ODD.search(blob.replace("\0", ""))) or self.encoder.has_special(blob)
+        if odd or LEAD.search(blob):
+            bad = {p for p in good if not p or p[0].isspace() or odd and bool(ODD.search(p.lstrip("\0")) or self.encoder.has_special(p))}
+            extra.update(dict.fromkeys(bad, -1))
+            good = [p for p in good if p not in bad]
+        spaced = [p for p in good if " " in p] if blob.count(" ") >= len(good) else []  # of texts cut by hand
+        if spaced:
+            good = [p for p in good if " " not in p]
+        if not good and not spaced:
+            found[gaps] = [extra[p] for p in wanted]
+            return found
+        letters = np.fromiter(map(str.isalpha, good), bool, len(good))  # each a unit itself
+        mixed, plain = [good[i] for i in np.flatnonzero(~letters)], [good[i] for i in np.flatnonzero(letters)]
+        # "\x1f" between the units of a piece, "\0" before those that no space precedes
+        cut = CUT.sub("\x1f\0", " ".join(mixed))
+        units = cut.replace(" ", "\x1f").split("\x1f") if mixed else []
+        raw = np.frombuffer(cut.encode(), np.uint8)
+        first = np.flatnonzero(np.concatenate([[True], raw[(raw == 32) | (raw == 31)] == 32])) if mixed else np.empty(0, np.int64)
+        codes = self._units(units + plain + spaced, extra)
+        size = np.diff(np.append(first, len(units)))
+        own, many = codes[first], size > 1
+        if many.any():  # pieces of several units: stored for this slice
+            parts, size = codes[:len(units)][np.repeat(many, size)], size[many]
+            lens = self.lens[parts]
+            own[many] = np.arange(self.n, self.n + len(size))
+            self._store(spread(self.flat, self.starts[parts], lens), np.add.reduceat(lens, np.cumsum(size) - size))
+        if len(good) == len(wanted):
+            late = np.empty(len(good), np.int64)
+            late[~letters], late[letters] = own, codes[len(units):]
             found[gaps] = late
+        else:
+            at = dict(zip(mixed + plain + spaced, [*own.tolist(), *codes[len(units):].tolist()]))
+            found[gaps] = [at[p] if p in at else extra[p] for p in wanted]
         return found
 
     def _codes(self, lists: pa.ListArray, extra: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
         """(code of every piece, first piece of each text and the end): each
         distinct piece of the slice is looked up once."""
         coded = lists.flatten().dictionary_encode()
-        codes = self._lookup(coded.dictionary.to_pylist(), extra)
+        one = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+        pieces = pc.binary_join(one, " ")[0].as_py().split(" ")  # far faster than value by value
+        if len(pieces) != len(coded.dictionary):  # none, or some with spaces
+            pieces = coded.dictionary.to_pylist()
+        codes = self._lookup(pieces, extra)
         return codes[coded.indices.to_numpy()] if len(coded) else codes, lists.offsets.to_numpy().astype(np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -181,3 +181,34 @@ def test_ranges_are_bounded(spark, monkeypatch):
     tokens = spark.range(5000).selectExpr("id", "CAST(3 AS long) AS n")
     plan = huffman.plan_ranges(tokens, 1)
     assert plan.total <= 21 and len(plan.cuts) <= 20
+
+
+def test_a_word_goes_to_the_library_once_whatever_follows_it(library):
+    """Punctuation and line ends are cut off, so new combinations of known words are not encoded again."""
+    enc = TextEncoder(PATH)
+    words = ["alpha", "beta", "garçon", "delta", "omega"]
+    enc.encode([" ".join(["start", *words, *words]), "Alpha x, y. z\nAlpha\nbeta\ndelta"])
+    sent = []
+    real, rest = enc.encoder.flat, enc._words
+    enc.encoder = type("Spy", (), {"flat": lambda _, x: sent.extend(x) or real(x), "has_special": enc.encoder.has_special, "one": enc.encoder.one,
+                                 "tokenizer": enc.encoder.tokenizer})()
+    enc._words = lambda x: sent.extend(x) or rest(x)
+    text = " ".join(f"start {a}, {b}." for a in words for b in words) + "\nAlpha beta,\ndelta"
+    ids, counts = enc.encode([text])
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids and counts.tolist() == [len(ids)]
+    assert all(w not in x for x in sent for w in words)
+    odd = ["a.\n\nb", "a.\n b", "don't.\nIt's", "naïveā.x", "Ωmega,\nb", "x\u0301y.z", "a\u00aab,c", "a1.\nb2", "a\r\nb", "a.\n\u00a0b", " a.\n", "q\n"]
+    got = np.split(*(lambda i, c: (i, np.cumsum(c)[:-1]))(*enc.encode(odd)))
+    assert [x.tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in odd]
+
+
+def test_counts_come_with_the_tokens(spark, library):
+    from stratal.llm.huffman import global_code
+
+    rows = [(i, f"text {i % 7}, of words" * (i % 5)) for i in range(300)] + [(None, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    tokens = tokenize(docs, PATH, 2, counted=True).cache()
+    again = global_code(tokens.drop("counts"))
+    code = global_code(tokens.drop("ids"))  # the ids themselves are not needed
+    assert code.symbols.tolist() == again.symbols.tolist() and code.lengths.tolist() == again.lengths.tolist()
+    tokens.unpersist()
