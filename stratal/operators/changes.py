@@ -38,23 +38,66 @@ def file_hashes(spark: SparkSession, path: str, glob: str | None = None,
     moves), or with ``key='name'`` the file name only (not unique under
     recursive reads); hash = SHA-256 of the bytes.
 
-    Each file is one row of the binary-file source, so files are hashed in
-    parallel across tasks; a file must be below that source's 2 GiB limit
-    and fit a task's memory. Meant for artefacts; use ``content_hash`` for
-    table data.
+    The binary-file source lists the files, one row each, so they are hashed
+    in parallel across tasks. The bytes are not a column of these rows: the
+    task streams them through the digest, so a file of any length takes a
+    buffer of memory. One file is read by one task, since SHA-256 goes
+    through the bytes in order. Meant for artefacts; use ``content_hash``
+    for table data.
     """
     if key not in ("path", "relative", "name"):
         raise ValueError(f"key must be path, relative or name, not {key!r}")
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path)
+    name = F.col("path")
     if key == "relative":
         root = qualified(spark, path).rstrip("/") + "/"
-        files = files.withColumn("path", F.regexp_replace("path", "^" + re.escape(root), ""))
+        name = F.regexp_replace("path", "^" + re.escape(root), "")
     elif key == "name":
-        files = files.withColumn("path", F.element_at(F.split("path", "/"), -1))
-    return content_hash(files, "path", "content")
+        name = F.element_at(F.split("path", "/"), -1)
+    return reader.load(path).select(name.alias("key"), _streamed_sha256(spark, F.col("path")).alias("hash"))
+
+
+def _streamed_sha256(spark: SparkSession, path: Column) -> Column:
+    """SHA-256 hex of the files that ``path`` names, streamed from the store inside the tasks.
+
+    ``sha2`` needs a whole file as one value. Object expressions (as typed
+    Datasets use them) call Hadoop's ``open`` and commons-codec's digest of a
+    stream instead; both are on Spark's own class path. The stream is closed
+    at its end. A file that cannot be read fails the query, also under
+    ``spark.sql.files.ignoreCorruptFiles``.
+    """
+    jvm = spark._jvm
+    expressions, seq, none = jvm.org.apache.spark.sql.catalyst.expressions, jvm.PythonUtils.toSeq, jvm.scala.Option.empty()
+    named, column = jvm.java.lang.Class.forName, jvm.org.apache.spark.sql.classic.ExpressionUtils
+
+    def typed(name: str):
+        return jvm.org.apache.spark.sql.types.ObjectType(named(name))
+
+    def new(name: str, arg):
+        return expressions.objects.NewInstance(named(name), seq([arg]), seq([]), True, typed(name), none)
+
+    def call(target, method: str, returns: str, *args):
+        return expressions.objects.Invoke(target, method, typed(returns), seq(list(args)), seq([]), True, True, True)
+
+    def static(name: str, method: str, returns, arg):
+        return expressions.objects.StaticInvoke(named(name), returns, method, seq([arg]), seq([]), True, True, True, none)
+
+    # the session's Hadoop settings, broadcast as the file sources do
+    sent = jvm.org.apache.spark.util.SerializableConfiguration.broadcast(
+        spark._jsc.sc(), spark._jsparkSession.sessionState().newHadoopConf())
+    held = call(expressions.Literal(sent, typed("org.apache.spark.broadcast.Broadcast")), "value",
+                "org.apache.spark.util.SerializableConfiguration")
+    conf = call(held, "value", "org.apache.hadoop.conf.Configuration")
+    place = new("org.apache.hadoop.fs.Path", call(column.expression(path._jc), "toString", "java.lang.String"))
+    fs = call(place, "getFileSystem", "org.apache.hadoop.fs.FileSystem", conf)
+    stream = new("org.apache.commons.io.input.AutoCloseInputStream",
+                 call(fs, "open", "org.apache.hadoop.fs.FSDataInputStream", place))
+    digest = static("org.apache.commons.codec.digest.DigestUtils", "sha256Hex", typed("java.lang.String"), stream)
+    out = static("org.apache.spark.unsafe.types.UTF8String", "fromString",
+                 jvm.org.apache.spark.sql.types.DataTypes.StringType, digest)
+    return type(path)(column.column(out))
 
 
 def _unique(manifest: DataFrame) -> DataFrame:
