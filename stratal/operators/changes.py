@@ -44,6 +44,10 @@ def file_hashes(spark: SparkSession, path: str, glob: str | None = None,
     buffer of memory. One file is read by one task, since SHA-256 goes
     through the bytes in order. Meant for artefacts; use ``content_hash``
     for table data.
+
+    A session that sets ``spark.sql.files.ignoreCorruptFiles`` leaves
+    unreadable files out; there each file is still one value, below the
+    source's 2 GiB limit and within a task's memory.
     """
     if key not in ("path", "relative", "name"):
         raise ValueError(f"key must be path, relative or name, not {key!r}")
@@ -56,7 +60,10 @@ def file_hashes(spark: SparkSession, path: str, glob: str | None = None,
         name = F.regexp_replace("path", "^" + re.escape(root), "")
     elif key == "name":
         name = F.element_at(F.split("path", "/"), -1)
-    return reader.load(path).select(name.alias("key"), _streamed_sha256(spark, F.col("path")).alias("hash"))
+    # only the source leaves unreadable files out, and only if it reads the contents itself
+    leaves_out = spark.conf.get("spark.sql.files.ignoreCorruptFiles") == "true"
+    digest = sha256_hex("content") if leaves_out else _streamed_sha256(spark, F.col("path"))
+    return reader.load(path).select(name.alias("key"), digest.alias("hash"))
 
 
 def _streamed_sha256(spark: SparkSession, path: Column) -> Column:
@@ -65,8 +72,7 @@ def _streamed_sha256(spark: SparkSession, path: Column) -> Column:
     ``sha2`` needs a whole file as one value. Object expressions (as typed
     Datasets use them) call Hadoop's ``open`` and commons-codec's digest of a
     stream instead; both are on Spark's own class path. The stream is closed
-    at its end. A file that cannot be read fails the query, also under
-    ``spark.sql.files.ignoreCorruptFiles``.
+    at its end.
     """
     jvm = spark._jvm
     expressions, seq, none = jvm.org.apache.spark.sql.catalyst.expressions, jvm.PythonUtils.toSeq, jvm.scala.Option.empty()

@@ -63,3 +63,17 @@ def test_streams_are_closed(spark, tmp_path):
         except FileNotFoundError:  # closed meanwhile
             pass
     assert not [x for x in held if x.startswith(str(tmp_path))]
+
+
+def test_unreadable_files_fail_or_are_left_out_as_the_session_says(spark, tmp_path):
+    (tmp_path / "good.bin").write_bytes(b"good")
+    (tmp_path / "broken.bin").write_bytes(b"broken")
+    (tmp_path / ".broken.bin.crc").write_bytes(b"crc\0\0\0\x02\0" + b"\1\2\3\4")  # not its checksum
+    with pytest.raises(Exception, match="[Cc]hecksum"):
+        file_hashes(spark, str(tmp_path), "*.bin").collect()
+    spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
+    try:
+        rows = file_hashes(spark, str(tmp_path), "*.bin", key="name").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.ignoreCorruptFiles")
+    assert [(r["key"], r["hash"]) for r in rows] == [("good.bin", _sha256(tmp_path / "good.bin"))]
